@@ -1,0 +1,26 @@
+"""The whole job: raw pages to bronze to checked silver and gold."""
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from scorelake.plans.bronze import load_months
+from scorelake.plans.refresh import refresh
+from scorelake.seeds import BRANDS, HIGHLY_RATED_THRESHOLD, console_mapping
+from scorelake.sources.layout import Build, Layout
+
+
+def run(
+    spark: SparkSession,
+    layout: Layout,
+    months: Sequence[str],
+    mapping: DataFrame | None = None,
+    brands: Sequence[str] = BRANDS,
+    threshold: int = HIGHLY_RATED_THRESHOLD,
+    lines: bool = False,
+) -> tuple[DataFrame, Build, list]:
+    """Load ``months`` and refresh; returns the month report, the build and its checks."""
+    report = load_months(spark, layout.raw, layout.bronze, months, lines=lines)
+    mapping = console_mapping(spark) if mapping is None else mapping
+    build, checks = refresh(spark, layout, mapping, brands, threshold)
+    return report, build, checks
