@@ -8,14 +8,13 @@ WITH games AS (
         strftime(o_orderdate, '%Y-%m-%d') AS released,
         NULLIF(o_custkey % 101, 0) AS metacritic,
         CASE WHEN o_orderkey % 53 <> 0 THEN list_transform(
-            range(1, o_orderkey % 6 + 1),
-            lambda k: CASE WHEN k <> 2 OR o_orderkey % 31 <> 0 THEN struct_pack(
-                platform := struct_pack(
-                    name := 'Console ' || ((o_custkey + k * (o_orderkey % 11)) % 23))) END)
+            range(o_custkey % 69, o_custkey % 69 + o_orderkey % 6),
+            lambda p: CASE WHEN p % 13 <> 6 THEN struct_pack(
+                platform := struct_pack(name := 'Console ' || (p * 2 // 3 * 7 % 23))) END)
         END AS platforms,
         CASE WHEN o_orderkey % 59 <> 0 THEN list_transform(
-            range(1, o_custkey % 4 + 1),
-            lambda k: struct_pack(name := 'Genre ' || ((o_orderkey * k) % 7)))
+            range(o_orderkey % 7, o_orderkey % 7 + o_custkey % 4),
+            lambda p: struct_pack(name := 'Genre ' || (p % 7)))
         END AS genres,
         CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
             THEN struct_pack(name := o_orderpriority) END AS esrb_rating,

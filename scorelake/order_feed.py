@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LISTED_CONSOLES = 23
+GENRES = 7
+# Lists are runs of these lengths at most, cut from a fixed round of entries.
 MAX_PLATFORMS = 5
 MAX_GENRES = 3
+PLATFORM_ROUND = 69
 BRAND_ORDER = ["EUROPE", "AMERICA", "AFRICA"]
 ALL_BRANDS = ["AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST"]
 COLORS = {"EUROPE": "#003791", "AMERICA": "#107C10", "AFRICA": "#E60012"}
@@ -30,17 +33,19 @@ def games(spark: SparkSession, folder: str) -> DataFrame:
     """Rows ``(downloaded_at, game, date)``, as bronze holds them."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     released = F.col("o_orderdate").cast("date")
-    rating = F.when(
-        F.col("o_orderpriority") != "4-NOT SPECIFIED", _label(F.lit(None), F.col("o_orderpriority"))
+    rating = F.struct(
+        F.lit(None).cast("bigint").alias("id"),
+        F.col("o_orderpriority").alias("name"),
+        F.lit(None).cast("string").alias("slug"),
     )
     game = F.struct(
         key.alias("id"),
         F.concat(F.lit("Édition №"), key).alias("name"),
         F.date_format(released, "yyyy-MM-dd").alias("released"),
         F.when(customer % 101 != 0, customer % 101).alias("metacritic"),
-        F.when(key % 53 != 0, _platforms(key, customer)).alias("platforms"),
+        F.when(key % 53 != 0, _platforms(customer, key)).alias("platforms"),
         F.when(key % 59 != 0, _genres(key, customer)).alias("genres"),
-        rating.alias("esrb_rating"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", rating).alias("esrb_rating"),
     )
     return table(spark, folder, "orders").select(
         F.lit(DOWNLOADED_AT).cast("timestamp").alias("downloaded_at"),
@@ -56,7 +61,7 @@ def console_mapping(spark: SparkSession, folder: str) -> DataFrame:
         nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
         .filter("r_name <> 'ASIA'")
         .select(
-            _console_name(F.col("n_nationkey")).alias("console_name"),
+            F.concat(F.lit("Console "), F.col("n_nationkey")).alias("console_name"),
             F.col("r_name").alias("brand"),
             (F.col("n_nationkey") % 2 == 0).alias("is_handheld"),
         )
@@ -69,32 +74,27 @@ def listed_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return console_mapping(spark, folder).filter(~F.col("console_name").isin(*unlisted))
 
 
-def _console_name(key: Column) -> Column:
-    return F.concat(F.lit("Console "), key.cast("string"))
+def _run(entries: list[str], start: Column, wanted: Column) -> Column:
+    # One SQL literal: building as many columns call by call takes far longer.
+    fixed = F.expr(f"array({', '.join(entries)})")
+    return F.slice(fixed, (start + 1).cast("int"), wanted.cast("int"))
 
 
-def _label(key: Column, name: Column) -> Column:
-    text = F.lit(None).cast("string")
-    return F.struct(key.cast("bigint").alias("id"), name.alias("name"), text.alias("slug"))
+def _entry(key: int, name: str) -> str:
+    return f"named_struct('id', {key}L, 'name', '{name}', 'slug', CAST(NULL AS STRING))"
 
 
-def _first(entries: list[Column], wanted: Column) -> Column:
-    return F.slice(F.array(*entries), F.lit(1), wanted.cast("int"))
-
-
-def _platforms(key: Column, customer: Column) -> Column:
-    """Up to five consoles; every eleventh game lists one console again and again."""
+def _platforms(start: Column, wanted: Column) -> Column:
+    """Up to five consoles in a row; the round repeats some and has gaps."""
     entries = []
-    for place in range(1, MAX_PLATFORMS + 1):
-        console = (customer + place * (key % 11)) % LISTED_CONSOLES
-        entry = F.struct(_label(console, _console_name(console)).alias("platform"))
-        entries.append(F.when(key % 31 != 0, entry) if place == 2 else entry)
-    return _first(entries, key % (MAX_PLATFORMS + 1))
+    for place in range(PLATFORM_ROUND + MAX_PLATFORMS):
+        console = place * 2 // 3 * 7 % LISTED_CONSOLES
+        entry = f"named_struct('platform', {_entry(console, f'Console {console}')})"
+        entries.append(entry if place % 13 != 6 else "NULL")
+    return _run(entries, start % PLATFORM_ROUND, wanted % (MAX_PLATFORMS + 1))
 
 
-def _genres(key: Column, customer: Column) -> Column:
-    entries = []
-    for place in range(1, MAX_GENRES + 1):
-        genre = (key * place) % 7
-        entries.append(_label(genre, F.concat(F.lit("Genre "), genre.cast("string"))))
-    return _first(entries, customer % (MAX_GENRES + 1))
+def _genres(start: Column, wanted: Column) -> Column:
+    genres = (place % GENRES for place in range(GENRES + MAX_GENRES))
+    entries = [_entry(genre, f"Genre {genre}") for genre in genres]
+    return _run(entries, start % GENRES, wanted % (MAX_GENRES + 1))
