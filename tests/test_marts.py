@@ -1,0 +1,163 @@
+import random
+
+import pytest
+from helpers import silver
+from pyspark.sql import functions as F
+
+from scorelake import order_feed as feed
+from scorelake.functions import percentage, round2
+from scorelake.operators import marts
+from scorelake.operators.games import games_by_console
+from scorelake.plans import dashboard
+from scorelake.seeds import CONSOLE_MAPPING, console_mapping
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def by_console(spark, rows):
+    return games_by_console(silver(spark, rows), console_mapping(spark))
+
+
+def measures(mart, key):
+    return {row[key]: tuple(row)[-4:] for row in mart.collect()}
+
+
+def test_repeated_console_counts_twice_in_the_average_only(spark):
+    table = by_console(spark, [("a", 90, ["Wii", "Wii"]), ("b", 60, ["Wii"])])
+    assert measures(marts.console_mart(table), "console_name") == {"Wii": (80.0, 2, 1, 50.0)}
+    assert measures(marts.brand_mart(table), "brand") == {"Nintendo": (75.0, 2, 1, 50.0)}
+
+
+def test_a_game_counts_once_per_brand(spark):
+    table = by_console(spark, [("a", 90, ["Wii", "GameCube", "PSP"]), ("b", 70, ["Wii"])])
+    assert measures(marts.brand_mart(table), "brand") == {
+        "Nintendo": (80.0, 2, 1, 50.0),
+        "Sony": (90.0, 1, 1, 100.0),
+    }
+
+
+def test_one_id_with_two_scores(spark):
+    table = by_console(spark, [("a", 90, ["Wii"]), ("a", 70, ["Wii"])])
+    assert measures(marts.brand_mart(table), "brand") == {"Nintendo": (80.0, 2, 1, 50.0)}
+    assert measures(marts.console_mart(table), "console_name") == {"Wii": (80.0, 1, 1, 100.0)}
+
+
+def test_threshold_is_inclusive_and_a_parameter(spark):
+    rows = [("a", None, ["Wii"]), ("b", 79, ["Wii"]), ("c", 80, ["Wii"]), ("d", 81, ["Wii"])]
+    table = by_console(spark, rows)
+    assert measures(marts.brand_mart(table), "brand") == {"Nintendo": (80.0, 4, 2, 50.0)}
+    assert measures(marts.brand_mart(table, 81), "brand") == {"Nintendo": (80.0, 4, 1, 25.0)}
+    assert measures(marts.console_mart(table, 79), "console_name") == {"Wii": (80.0, 4, 3, 75.0)}
+
+
+def test_group_without_ids_has_no_share(spark):
+    table = by_console(spark, [(None, 90, ["Wii"]), (None, 70, ["Wii"])])
+    assert measures(marts.brand_mart(table), "brand") == {"Nintendo": (80.0, 0, 0, None)}
+    assert measures(marts.console_mart(table), "console_name") == {"Wii": (80.0, 0, 0, None)}
+
+
+def test_group_without_scores_has_no_average(spark):
+    table = by_console(spark, [("a", None, ["Wii"])])
+    assert measures(marts.brand_mart(table), "brand") == {"Nintendo": (None, 1, 0, 0.0)}
+    assert measures(marts.console_mart(table), "console_name") == {"Wii": (None, 1, 0, 0.0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_console_mart_equals_the_direct_distinct_counts(spark, seed):
+    rng = random.Random(seed)
+    names = [row[0] for row in CONSOLE_MAPPING] + [None, "Dreamcast"]
+    rows = []
+    for _ in range(800):
+        # A third of the rows are of one game.
+        id = "hot" if rng.random() < 0.33 else rng.choice([None, *map(str, range(200))])
+        score = rng.choice([None, *range(70, 91)])
+        rows.append((id, score, rng.choices(names, k=rng.randint(0, 6))))
+    table = by_console(spark, rows)
+    high = F.count_distinct(marts.highly_rated_id())
+    direct = table.groupBy(*marts.CONSOLE_KEYS).agg(
+        round2(F.avg("metacritic_score")).alias("average"),
+        F.count_distinct("game_id").alias("games"),
+        high.alias("high"),
+        percentage(high, F.count_distinct("game_id")).alias("share"),
+    )
+    assert sorted(direct.collect()) == sorted(marts.console_mart(table).collect())
+
+
+def test_invariants(spark):
+    games = silver_of_feed(spark)
+    table = games_by_console(games, feed.console_mapping(spark, FOLDER))
+    brands, consoles = marts.brand_mart(table).collect(), marts.console_mart(table).collect()
+    for row in [*brands, *consoles]:
+        assert 0 <= row.percentage_of_highly_rated_games <= 100
+        assert row.number_of_highly_rated_games <= row.number_of_games
+        assert 1 <= row.avg_metacritic_score <= 100
+    for brand in brands:
+        listed = [row.number_of_games for row in consoles if row.brand == brand.brand]
+        assert max(listed) <= brand.number_of_games <= sum(listed)
+
+
+def silver_of_feed(spark):
+    from scorelake.operators.games import to_silver
+
+    return to_silver(feed.games(spark, FOLDER))
+
+
+def test_brand_mart_over_order_lines(spark):
+    """Each line lists its order once, on the console of the line's supplier."""
+    read = {name: feed.table(spark, FOLDER, name) for name in ("lineitem", "orders", "supplier")}
+    nation, region = (feed.table(spark, FOLDER, name) for name in ("nation", "region"))
+    listed = (
+        read["lineitem"]
+        .join(read["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.col("o_orderkey").cast("string").alias("game_id"),
+            F.when(F.col("o_custkey") % 101 != 0, F.col("o_custkey") % 101)
+            .cast("int")
+            .alias("metacritic_score"),
+            F.array("n_name").alias("console_names"),
+        )
+    )
+    mapping = (
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .filter("r_name <> 'ASIA'")
+        .select(
+            F.col("n_name").alias("console_name"),
+            F.col("r_name").alias("brand"),
+            (F.col("n_nationkey") % 2 == 0).alias("is_handheld"),
+        )
+    )
+    table = games_by_console(listed, mapping)
+    assert table.count() == 47_904
+    assert measures(marts.brand_mart(table), "brand") == {
+        "AFRICA": (50.12, 6155, 1219, 19.81),
+        "AMERICA": (50.2, 9357, 1854, 19.81),
+        "EUROPE": (50.13, 6791, 1346, 19.82),
+        "MIDDLE EAST": (50.33, 9889, 1960, 19.82),
+    }
+
+
+def test_dashboard_tables(spark):
+    rows = [("a", 90, ["Wii", "PSP", "Xbox"]), ("b", 70, ["Wii"])]
+    table = by_console(spark, rows)
+    brands = marts.brand_mart(table)
+    metrics = dashboard.brand_metrics(brands).collect()
+    assert [tuple(row) for row in metrics] == [
+        ("Sony", 90.0, 1),
+        ("Microsoft", 90.0, 2),
+        ("Nintendo", 80.0, 3),
+    ]
+    chart = dashboard.brand_chart(brands).toPandas()
+    assert list(chart["bar_label"]) == ["1 out of 1", "1 out of 1", "1 out of 2"]
+    assert list(chart["color"]) == ["#003791", "#107C10", "#E60012"]
+    points = {row.console_name: row for row in dashboard.console_chart(marts.console_mart(table)).collect()}
+    assert points["Wii"].color == "#E60012"
+    assert (points["Wii"].number_of_highly_rated_games, points["Wii"].number_of_games) == (1, 2)
+
+
+def test_unknown_brand_comes_last_without_a_name(spark):
+    brands = marts.brand_mart(by_console(spark, [("a", 90, ["Wii", "PSP", "Xbox"])]))
+    shown = dashboard.brand_metrics(brands, ["Nintendo", "Sony"]).collect()
+    assert [row.brand for row in shown] == ["Nintendo", "Sony", None]
+    assert len(dashboard.brand_metrics(brands, ["Nintendo"], tiles=2).collect()) == 2
