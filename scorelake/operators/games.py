@@ -41,13 +41,16 @@ def source_slice(
     last_month: str,
     score_range: tuple[int, int] = SCORE_RANGE,
 ) -> DataFrame:
-    """Scored games released in the given months, by release; no score, no row."""
+    """Scored games released in the given months, by release; no score, no row.
+
+    The row number last in the order lets the sort spread copies of one game over tasks.
+    """
     first, _ = month_bounds(F.lit(f"{first_month}-01").cast("date"))
     _, last = month_bounds(F.lit(f"{last_month}-01").cast("date"))
     return silver.filter(
         F.col("release_date").between(first, last)
         & F.col("metacritic_score").between(*score_range)
-    ).orderBy("release_date", "game_id")
+    ).orderBy("release_date", "game_id", F.monotonically_increasing_id())
 
 
 def unnest_consoles(silver: DataFrame, *columns: str) -> DataFrame:

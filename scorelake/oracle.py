@@ -204,13 +204,9 @@ SELECT o_orderkey AS id,
 FROM orders""",
     "bar_label": _GAMES + f" SELECT console_name, {_LABEL} AS bar_label FROM ({_CONSOLES})",
     "ordered_category": _GAMES
-    + """
-SELECT game_id,
-       CASE WHEN console_names[1] IN ('Console 7', 'Console 3', 'Console 19', 'Console 0')
-            THEN console_names[1] END AS category,
-       CASE console_names[1] WHEN 'Console 7' THEN 1 WHEN 'Console 3' THEN 2
-            WHEN 'Console 19' THEN 3 WHEN 'Console 0' THEN 4 END AS display_order
-FROM silver ORDER BY display_order NULLS LAST, game_id""",
+    + f"""
+SELECT * REPLACE ({_KNOWN} AS brand), {_RANK} AS display_order
+FROM ({_brands()}) ORDER BY display_order NULLS LAST""",
     "month_key": _GAMES
     + " SELECT game_id, strftime(release_date, '%Y-%m') AS month FROM silver",
     "month_bounds": _GAMES

@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from scorelake import order_feed as feed
 from scorelake.functions import (
     count_label,
-    display_rank,
-    known_category,
     month_bounds,
     month_calendar,
     month_key,
@@ -263,18 +261,8 @@ def bar_label(spark, folder):
 
 
 def ordered_category(spark, folder):
-    """Games by their first listed console's place in a fixed order, unknown ones last."""
-    order = [f"Console {key}" for key in (7, 3, 19, 0)]
-    first = F.get("console_names", F.lit(0))
-    return (
-        _silver(spark, folder)
-        .select(
-            "game_id",
-            known_category(first, order).alias("category"),
-            display_rank(first, order).alias("display_order"),
-        )
-        .orderBy(F.asc_nulls_last("display_order"), "game_id")
-    )
+    """Brands in a fixed order; the one outside it loses its name and comes last."""
+    return dashboard.ordered_brands(agg_brands(spark, folder), feed.BRAND_ORDER)
 
 
 def month_key_of_release(spark, folder):

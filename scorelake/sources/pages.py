@@ -74,11 +74,13 @@ def paginate(
     """Pack rows ``(game, date)`` into pages of one month, ordered by release.
 
     Rows are numbered inside their own partition and cut every ``page_size`` numbers,
-    so a page never gathers more than that, however many games a month has.
+    so a page never gathers more than that, however many games a month has. The whole
+    game breaks ties, so a task that runs again numbers its rows alike.
     """
     stamp = F.current_timestamp() if downloaded_at is None else F.lit(downloaded_at)
-    numbered = games.sortWithinPartitions("date", "game.released", "game.id").withColumn(
-        "page", F.floor(F.monotonically_increasing_id() / page_size)
+    ordered = games.sortWithinPartitions("date", "game.released", "game.id", "game")
+    numbered = ordered.withColumn(
+        "page", F.expr(f"monotonically_increasing_id() div {page_size}")
     )
     entry = F.struct("game.released", "game.id", "game")
     return (
