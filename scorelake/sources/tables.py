@@ -5,11 +5,15 @@ from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorelake.schemas import BRONZE, MAPPING, SILVER
 from scorelake.sources import storage
 
+# More groups even out large months, but leave small ones in more files.
+SPREAD = 4
+
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A month-partitioned table, columns in the order of ``schema``."""
@@ -28,10 +32,9 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     """Write ``table`` below ``path/date=YYYY-MM``, replacing the months it has rows for.
 
     ``compact`` shuffles rows of a month together first, for input scattered over many
-    tasks; the rebalance lets adaptive execution split a month too big for one task
-    and join small ones. Input already laid out by month needs no shuffle.
+    tasks; input already laid out by month needs no shuffle.
     """
-    source = table.hint("rebalance", "date") if compact else table
+    source = _by_month(table) if compact else table
     (
         source.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -40,6 +43,17 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     )
 
 
+def _by_month(table: DataFrame) -> DataFrame:
+    """Rows of a month in few tasks, however large the month.
+
+    The task a row comes from spreads a month over ``SPREAD`` groups; it stays the same
+    when a task runs again, unlike a random number. The rebalance lets adaptive execution
+    split groups that are still too big and join small ones.
+    """
+    spread = F.pmod(F.spark_partition_id(), F.lit(SPREAD))
+    return table.withColumn("spread", spread).hint("rebalance", "date", "spread").drop("spread")
+
+
 def replace_months(
     spark: SparkSession,
     table: DataFrame,
