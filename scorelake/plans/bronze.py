@@ -6,13 +6,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scorelake.functions import month_calendar
 from scorelake.operators.games import unnest_results
-from scorelake.schemas import PAGE
-from scorelake.seeds import ALL_MONTHS_WROTE
-from scorelake.sources.pages import malformed_months, read_pages
+from scorelake.seeds import ALL_MONTHS_WROTE, FIRST_MONTH, LAST_MONTH
+from scorelake.sources.pages import ONE_PER_FILE, PageFormat, malformed_months, read_pages
 from scorelake.sources.tables import replace_months
 
 
@@ -21,8 +19,7 @@ def load_months(
     raw: str,
     bronze: str,
     months: Sequence[str],
-    schema: T.StructType = PAGE,
-    lines: bool = False,
+    form: PageFormat = ONE_PER_FILE,
 ) -> DataFrame:
     """Replace ``months`` of bronze with what raw holds; returns ``(month, status)``.
 
@@ -31,14 +28,14 @@ def load_months(
     """
     months, failed = sorted(set(months)), set()
     try:
-        loaded = _replace(spark, raw, bronze, months, schema, lines)
+        loaded = _replace(spark, raw, bronze, months, form)
     except (PySparkException, Py4JJavaError) as error:
         if "MALFORMED_RECORD" not in str(error):
             raise
-        bad = malformed_months(spark, raw, months, schema, lines).collect()
+        bad = malformed_months(spark, raw, months, form).collect()
         failed = {row["month"] for row in bad}
         sound = [month for month in months if month not in failed]
-        loaded = _replace(spark, raw, bronze, sound, schema, lines)
+        loaded = _replace(spark, raw, bronze, sound, form)
     return month_report(*[_month_table(spark, part) for part in (months, loaded, failed)])
 
 
@@ -46,14 +43,13 @@ def backfill(
     spark: SparkSession,
     raw: str,
     bronze: str,
-    first_month: str,
-    last_month: str,
-    schema: T.StructType = PAGE,
-    lines: bool = False,
+    first_month: str = FIRST_MONTH,
+    last_month: str = LAST_MONTH,
+    form: PageFormat = ONE_PER_FILE,
 ) -> DataFrame:
     """``load_months`` over every month from ``first_month`` to ``last_month``."""
     calendar = month_calendar(spark, first_month, last_month).collect()
-    return load_months(spark, raw, bronze, [row["month"] for row in calendar], schema, lines)
+    return load_months(spark, raw, bronze, [row["month"] for row in calendar], form)
 
 
 def month_report(calendar: DataFrame, loaded: DataFrame, failed: DataFrame) -> DataFrame:
@@ -81,8 +77,10 @@ def write_failed_months(
     failed_months_text(report, all_well).write.mode("overwrite").text(path)
 
 
-def _replace(spark, raw, bronze, months, schema, lines) -> list[str]:
-    games = unnest_results(read_pages(spark, raw, months, schema, lines))
+def _replace(
+    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
+) -> list[str]:
+    games = unnest_results(read_pages(spark, raw, months, form))
     return replace_months(spark, games, bronze, months)
 
 

@@ -1,12 +1,21 @@
-"""Tables the dashboard draws; each has a handful of rows, ready for ``toPandas()``."""
+"""Tables the dashboard draws: a row per brand or console of the published marts."""
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.functions import count_label, display_rank, known_category, value_lookup
+from scorelake.plans.refresh import current_build
 from scorelake.seeds import BRAND_COLORS, BRANDS
+from scorelake.sources.layout import Layout
+from scorelake.sources.tables import read_mart
+
+
+def load_mart(spark: SparkSession, layout: Layout, name: str) -> pd.DataFrame:
+    """A published mart as a local frame; a mart has one row per console at most."""
+    return read_mart(spark, current_build(spark, layout).gold, name).toPandas()
 
 
 def ordered_brands(brands: DataFrame, order: Sequence[str] = BRANDS) -> DataFrame:

@@ -8,6 +8,7 @@ from scorelake.plans.bronze import load_months
 from scorelake.plans.refresh import refresh
 from scorelake.seeds import BRANDS, HIGHLY_RATED_THRESHOLD, console_mapping
 from scorelake.sources.layout import Build, Layout
+from scorelake.sources.pages import ONE_PER_FILE, PageFormat
 
 
 def run(
@@ -17,10 +18,10 @@ def run(
     mapping: DataFrame | None = None,
     brands: Sequence[str] = BRANDS,
     threshold: int = HIGHLY_RATED_THRESHOLD,
-    lines: bool = False,
+    form: PageFormat = ONE_PER_FILE,
 ) -> tuple[DataFrame, Build, list]:
     """Load ``months`` and refresh; returns the month report, the build and its checks."""
-    report = load_months(spark, layout.raw, layout.bronze, months, lines=lines)
+    report = load_months(spark, layout.raw, layout.bronze, months, form)
     mapping = console_mapping(spark) if mapping is None else mapping
     build, checks = refresh(spark, layout, mapping, brands, threshold)
     return report, build, checks

@@ -17,6 +17,7 @@ from scorelake.functions import (
 from scorelake.operators import marts, quality
 from scorelake.operators import games as ops
 from scorelake.plans import bronze, dashboard, pipeline, refresh
+from scorelake.seeds import PAGE_SIZE
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
 from scorelake.sources import tables
@@ -42,8 +43,8 @@ def _scored(games: DataFrame) -> DataFrame:
     return games.filter(F.col("game.metacritic").isNotNull())
 
 
-def _pages(games: DataFrame) -> DataFrame:
-    return raw_pages.paginate(games.select("game", "date"), feed.DOWNLOADED_AT)
+def _pages(games: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    return raw_pages.paginate(games.select("game", "date"), feed.DOWNLOADED_AT, page_size)
 
 
 def _joined(names: str) -> F.Column:
@@ -76,14 +77,15 @@ def _flat_silver(silver: DataFrame) -> DataFrame:
 
 def json_page_scan(spark, folder):
     raw = work_folder(spark, "json_page_scan")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw)
+    # A file per page: large pages keep the files few.
+    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=2_000), raw)
     return _flat(ops.unnest_results(raw_pages.read_pages(spark, raw)))
 
 
 def partition_column_scan(spark, folder):
     raw = work_folder(spark, "partition_column_scan")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, lines=True)
-    scanned = raw_pages.read_pages(spark, raw, lines=True)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, form=raw_pages.ONE_PER_LINE)
+    scanned = raw_pages.read_pages(spark, raw, form=raw_pages.ONE_PER_LINE)
     return scanned.groupBy("date").agg(F.sum(F.size("results")).alias("games"))
 
 
@@ -168,7 +170,7 @@ def full_refresh(spark, folder):
 def json_page_sink(spark, folder):
     """What the text of the written pages holds: games, kept nulls, unescaped letters."""
     raw = work_folder(spark, "json_page_sink")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, lines=True)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, form=raw_pages.ONE_PER_LINE)
     text = spark.read.schema("value string, date string").text(raw)
     return text.groupBy("date").agg(
         F.sum(F.regexp_count("value", F.lit('"released":'))).alias("games"),
@@ -181,13 +183,13 @@ def backfill_report(spark, folder):
     """Months with pages, without any, and with a page that cannot be read."""
     layout = Layout(work_folder(spark, "backfill_report"))
     games = feed.games(spark, folder).filter(~F.col("date").isin(*MISSING_MONTHS))
-    raw_pages.write_pages(_pages(games), layout.raw, lines=True)
+    raw_pages.write_pages(_pages(games), layout.raw, raw_pages.ONE_PER_LINE)
     broken = games.filter(F.col("date") == MALFORMED_MONTH).select(
         F.col("game.name").alias("results"), "date"
     )
     broken.write.mode("append").partitionBy("date").json(layout.raw)
     return bronze.backfill(
-        spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, lines=True
+        spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, raw_pages.ONE_PER_LINE
     )
 
 
@@ -356,8 +358,10 @@ def dq_summary(spark, folder):
 
 def bronze_games(spark, folder):
     layout = Layout(work_folder(spark, "bronze_games"))
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), layout.raw, lines=True)
-    bronze.backfill(spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, lines=True)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), layout.raw, raw_pages.ONE_PER_LINE)
+    bronze.backfill(
+        spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, raw_pages.ONE_PER_LINE
+    )
     return _flat(tables.read_bronze(spark, layout.bronze))
 
 
@@ -375,7 +379,7 @@ def console_chart(spark, folder):
 
 def pipeline_end_to_end(spark, folder):
     layout = Layout(work_folder(spark, "pipeline_end_to_end"))
-    raw_pages.write_pages(_pages(_scored(feed.games(spark, folder))), layout.raw, lines=True)
+    raw_pages.write_pages(_pages(_scored(feed.games(spark, folder))), layout.raw, raw_pages.ONE_PER_LINE)
     calendar = month_calendar(spark, FIRST_MONTH, LAST_MONTH).collect()
     pipeline.run(
         spark,
@@ -383,7 +387,7 @@ def pipeline_end_to_end(spark, folder):
         [row["month"] for row in calendar],
         feed.listed_mapping(spark, folder),
         feed.ALL_BRANDS,
-        lines=True,
+        form=raw_pages.ONE_PER_LINE,
     )
     gold = refresh.current_build(spark, layout).gold
     return tables.read_mart(spark, gold, refresh.BRAND_MART)

@@ -30,6 +30,14 @@ class Layout:
     def bucket(cls, name: str, scheme: str = "s3a") -> "Layout":
         return cls(f"{scheme}://{name}")
 
+    @classmethod
+    def of(cls, environment: str, place: str) -> "Layout":
+        """``local`` below a project folder, ``prod`` in a bucket."""
+        known = {"local": cls.local, "prod": cls.bucket}
+        if environment not in known:
+            raise ValueError(f"environment is one of {', '.join(known)}, not {environment}")
+        return known[environment](place)
+
     @property
     def raw(self) -> str:
         return f"{self.root}/raw"
@@ -46,5 +54,9 @@ class Layout:
     def published(self) -> str:
         return f"{self.root}/published"
 
+    @property
+    def failed_months(self) -> str:
+        return f"{self.root}/artifacts/failed_bronze_months"
+
     def build(self, version: str) -> Build:
         return Build(f"{self.builds}/{version}")

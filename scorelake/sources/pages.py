@@ -1,6 +1,7 @@
 """Raw pages: JSON objects ``{downloaded_at, results: [game, ...]}`` in month folders."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,38 +14,46 @@ from scorelake.seeds import PAGE_SIZE
 CORRUPT = "_corrupt_record"
 
 
+@dataclass(frozen=True)
+class PageFormat:
+    """How pages are stored: one per file, indented or not, or one per line."""
+
+    schema: T.StructType = field(default_factory=lambda: PAGE)
+    lines: bool = False
+    file_pattern: str = "*.json"
+
+
+ONE_PER_FILE = PageFormat()
+ONE_PER_LINE = PageFormat(lines=True)
+
+
 def read_pages(
     spark: SparkSession,
     raw: str,
     months: Sequence[str] | None = None,
-    schema: T.StructType = PAGE,
-    lines: bool = False,
-    file_pattern: str = "*.json",
+    form: PageFormat = ONE_PER_FILE,
 ) -> DataFrame:
     """Pages under ``raw/date=YYYY-MM``; a page that does not fit the schema raises.
 
-    A file holds one page, however it is indented, or with ``lines`` one page per
-    line. ``months`` prunes folders; a month without a folder simply has no pages.
+    ``months`` prunes folders; a month without a folder simply has no pages.
     """
-    return _scan(spark, raw, months, schema, lines, file_pattern, "FAILFAST")
+    return _scan(spark, raw, months, form, form.schema, "FAILFAST")
 
 
 def malformed_months(
     spark: SparkSession,
     raw: str,
     months: Sequence[str] | None = None,
-    schema: T.StructType = PAGE,
-    lines: bool = False,
-    file_pattern: str = "*.json",
+    form: PageFormat = ONE_PER_FILE,
 ) -> DataFrame:
     """Months with pages that do not fit the schema: how many, and what could be read.
 
     Only fields a query uses are parsed, so a bad one goes unseen unless all are used:
     collect every column.
     """
-    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    pages = _scan(spark, raw, months, marked, lines, file_pattern, "PERMISSIVE")
-    fields = [name for name in schema.names if name != "date"]
+    marked = T.StructType([*form.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    pages = _scan(spark, raw, months, form, marked, "PERMISSIVE")
+    fields = [name for name in form.schema.names if name != "date"]
     return (
         pages.groupBy(F.col("date").alias("month"))
         .agg(
@@ -55,14 +64,21 @@ def malformed_months(
     )
 
 
-def _scan(spark, raw, months, schema, lines, file_pattern, mode) -> DataFrame:
+def _scan(
+    spark: SparkSession,
+    raw: str,
+    months: Sequence[str] | None,
+    form: PageFormat,
+    schema: T.StructType,
+    mode: str,
+) -> DataFrame:
     pages = (
         spark.read.schema(schema)
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", not lines)
+        .option("multiLine", not form.lines)
         .option("basePath", raw)
-        .option("pathGlobFilter", file_pattern)
+        .option("pathGlobFilter", form.file_pattern)
         .json(raw)
     )
     return pages if months is None else pages.filter(F.col("date").isin(*months))
@@ -94,11 +110,11 @@ def paginate(
     )
 
 
-def write_pages(pages: DataFrame, raw: str, lines: bool = False) -> None:
+def write_pages(pages: DataFrame, raw: str, form: PageFormat = ONE_PER_FILE) -> None:
     """Write pages below ``raw/date=YYYY-MM``, replacing the months they belong to.
 
-    One indented page per file, or with ``lines`` one page per line of larger files,
-    which is the form to land when there are many: files then stay few and splittable.
+    One indented page per file, or one page per line of larger files. The latter is the
+    form to land when there are many pages: files stay few, and can be split on reading.
     """
     writer = (
         pages.write.mode("overwrite")
@@ -107,6 +123,6 @@ def write_pages(pages: DataFrame, raw: str, lines: bool = False) -> None:
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
         .partitionBy("date")
     )
-    if not lines:
+    if not form.lines:
         writer = writer.option("maxRecordsPerFile", 1).option("pretty", True)
     writer.json(raw)

@@ -98,6 +98,6 @@ def test_silver_checks_scan_twice(spark, silver_path):
 
 def test_raw_months_prune_folders(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    pages.write_pages(pages.paginate(feed.games(spark, FOLDER)), raw, lines=True)
-    one = pages.read_pages(spark, raw, ["1996-06"], lines=True)
+    pages.write_pages(pages.paginate(feed.games(spark, FOLDER)), raw, pages.ONE_PER_LINE)
+    one = pages.read_pages(spark, raw, ["1996-06"], pages.ONE_PER_LINE)
     assert "PartitionFilters: [isnotnull(date" in formatted(one)

@@ -3,9 +3,10 @@ import time
 import pytest
 from helpers import game, land
 
+from scorelake import job
 from scorelake.functions import month_calendar
 from scorelake.operators.quality import QualityGateError
-from scorelake.plans import bronze, pipeline, refresh
+from scorelake.plans import bronze, dashboard, pipeline, refresh
 from scorelake.seeds import ALL_MONTHS_FETCHED, ALL_MONTHS_WROTE, CONSOLE_MAPPING, console_mapping
 from scorelake.sources import storage
 from scorelake.sources.layout import Layout
@@ -99,6 +100,8 @@ def test_pipeline(spark, tmp_path, layout):
     assert consoles.filter("console_name = 'Wii'").first().avg_metacritic_score == 80.0
     assert refresh.current_build(spark, layout) == build
     assert read_silver(spark, build.silver).count() == 2
+    local = dashboard.load_mart(spark, layout, refresh.BRAND_MART)
+    assert sorted(local["brand"]) == ["Microsoft", "Nintendo", "Sony"]
 
 
 @pytest.mark.parametrize(
@@ -150,3 +153,20 @@ def test_threshold_reaches_the_marts(spark, tmp_path, layout):
     _, build, _ = pipeline.run(spark, layout, ["2022-02"], threshold=70)
     brands = read_mart(spark, build.gold, refresh.BRAND_MART)
     assert {row.percentage_of_highly_rated_games for row in brands.collect()} == {100.0}
+
+
+def test_job(spark, tmp_path, layout):
+    land(tmp_path / "raw", "2022-02", good_games())
+    options = ["--root", layout.root, "--first", "2022-01", "--last", "2022-03"]
+    job.main(["run", *options], spark)
+    assert dashboard.load_mart(spark, layout, refresh.CONSOLE_MART).shape == (20, 7)
+    lines = [row.value for row in spark.read.text(layout.failed_months).collect()]
+    assert lines == [ALL_MONTHS_WROTE]
+    file = tmp_path / "mapping.csv"
+    file.write_text("console_name,brand,is_handheld\nDreamcast,Sega,false\n")
+    job.main(
+        ["refresh", "--root", layout.root, "--mapping", str(file), "--brands", "Sega", "--threshold", "70"],
+        spark,
+    )
+    (mart,) = dashboard.load_mart(spark, layout, refresh.BRAND_MART).values.tolist()
+    assert mart == ["Sega", 70.0, 1, 1, 100.0]

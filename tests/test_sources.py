@@ -97,20 +97,20 @@ def test_stamp_is_the_time_of_the_run_unless_given(spark):
     assert stamped.select(F.expr("downloaded_at BETWEEN now() - INTERVAL 1 HOUR AND now()")).first()[0]
 
 
-@pytest.mark.parametrize("lines", [True, False])
-def test_pages_hold_forty_games_at_most_and_every_game(spark, tmp_path, lines):
+@pytest.mark.parametrize("form", [pages.ONE_PER_FILE, pages.ONE_PER_LINE])
+def test_pages_hold_forty_games_at_most_and_every_game(spark, tmp_path, form):
     """Even when a single month holds a third of all games."""
     games = feed.games(spark, FOLDER).withColumn(
         "date", F.when(F.col("game.id") % 3 == 0, F.lit("1996-06")).otherwise(F.col("date"))
     )
     packed = pages.paginate(games.repartition(5), AT)
-    pages.write_pages(packed, str(tmp_path), lines=lines)
-    read = pages.read_pages(spark, str(tmp_path), lines=lines)
+    pages.write_pages(packed, str(tmp_path), form=form)
+    read = pages.read_pages(spark, str(tmp_path), form=form)
     sizes = [row.n for row in read.select(F.size("results").alias("n")).collect()]
     assert max(sizes) == 40
     # Only the end of a partition or of its part of a month cuts a page short.
     assert len(sizes) <= sum(sizes) / 40 + 5 * (81 + 1)
-    assert landed_ids(spark, tmp_path, lines=lines) == ids(games)
+    assert landed_ids(spark, tmp_path, form=form) == ids(games)
 
 
 def test_pages_are_ordered_by_release(spark):
@@ -128,12 +128,12 @@ def test_pages_written_again_replace_their_month(spark, tmp_path):
 
 def test_a_month_landed_without_games_loses_its_pages(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    write = partial(pages.write_pages, lines=True)
+    write = partial(pages.write_pages, form=pages.ONE_PER_LINE)
     both = bronze(spark, [game(1)]).union(bronze(spark, [game(2)], "2022-03"))
     months = ["2022-02", "2022-03"]
     for games in (both, both.filter("date = '2022-03'")):
         tables.replace_months(spark, pages.paginate(games, AT), raw, months, write)
-    assert landed_ids(spark, raw, lines=True) == [("2022-03", 2)]
+    assert landed_ids(spark, raw, form=pages.ONE_PER_LINE) == [("2022-03", 2)]
 
 
 # Month tables
@@ -269,7 +269,18 @@ def test_storage(spark, tmp_path):
     assert not storage.exists(spark, root)
 
 
+def test_file_pattern(spark, tmp_path):
+    land(tmp_path, "2022-02", [game(1)])
+    (tmp_path / "date=2022-02" / "notes.json").write_text("no page")
+    form = pages.PageFormat(file_pattern="page_*.json")
+    assert landed_ids(spark, tmp_path, form=form) == [("2022-02", 1)]
+
+
 def test_layout():
+    assert Layout.of("local", "/work/games") == Layout.local("/work/games")
+    assert Layout.of("prod", "lake") == Layout.bucket("lake")
+    with pytest.raises(ValueError, match="staging"):
+        Layout.of("staging", "lake")
     assert Layout.local("/work/games/").raw == "/work/games/data/raw"
     layout = Layout.bucket("lake")
     assert layout.bronze == "s3a://lake/bronze"
