@@ -26,7 +26,7 @@ HEADLINE = [
     "partition_replace",
     "json_page_scan",
     "bronze_games",
-    "pipeline_end_to_end",
+    "end_to_end_load",
 ]
 
 

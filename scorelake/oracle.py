@@ -260,5 +260,5 @@ FROM ({_brands()}) ORDER BY display_order NULLS LAST""",
 SELECT console_name, brand, number_of_highly_rated_games, percentage_of_highly_rated_games,
        number_of_games, {_COLOR} AS color
 FROM ({_CONSOLES})""",
-    "pipeline_end_to_end": _SCORED_GAMES + _brands(),
+    "end_to_end_load": _SCORED_GAMES + _brands(),
 }

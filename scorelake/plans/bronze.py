@@ -36,7 +36,7 @@ def load_months(
         failed = {row["month"] for row in bad}
         sound = [month for month in months if month not in failed]
         loaded = _replace(spark, raw, bronze, sound, form)
-    return month_report(*[_month_table(spark, part) for part in (months, loaded, failed)])
+    return month_report(*[month_table(spark, part) for part in (months, loaded, failed)])
 
 
 def backfill(
@@ -84,5 +84,5 @@ def _replace(
     return replace_months(spark, games, bronze, months)
 
 
-def _month_table(spark: SparkSession, months: Iterable[str]) -> DataFrame:
+def month_table(spark: SparkSession, months: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(month,) for month in sorted(months)], "month string")

@@ -16,7 +16,7 @@ from scorelake.functions import (
 )
 from scorelake.operators import marts, quality
 from scorelake.operators import games as ops
-from scorelake.plans import bronze, dashboard, pipeline, refresh
+from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
 from scorelake.seeds import PAGE_SIZE
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
@@ -76,16 +76,16 @@ def _flat_silver(silver: DataFrame) -> DataFrame:
 
 
 def json_page_scan(spark, folder):
-    raw = work_folder(spark, "json_page_scan")
+    path = work_folder(spark, "json_page_scan")
     # A file per page: large pages keep the files few.
-    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=2_000), raw)
-    return _flat(ops.unnest_results(raw_pages.read_pages(spark, raw)))
+    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=2_000), path)
+    return _flat(ops.unnest_results(raw_pages.read_pages(spark, path)))
 
 
 def partition_column_scan(spark, folder):
-    raw = work_folder(spark, "partition_column_scan")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, form=raw_pages.ONE_PER_LINE)
-    scanned = raw_pages.read_pages(spark, raw, form=raw_pages.ONE_PER_LINE)
+    path = work_folder(spark, "partition_column_scan")
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), path, form=raw_pages.ONE_PER_LINE)
+    scanned = raw_pages.read_pages(spark, path, form=raw_pages.ONE_PER_LINE)
     return scanned.groupBy("date").agg(F.sum(F.size("results")).alias("games"))
 
 
@@ -169,9 +169,9 @@ def full_refresh(spark, folder):
 
 def json_page_sink(spark, folder):
     """What the text of the written pages holds: games, kept nulls, unescaped letters."""
-    raw = work_folder(spark, "json_page_sink")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), raw, form=raw_pages.ONE_PER_LINE)
-    text = spark.read.schema("value string, date string").text(raw)
+    path = work_folder(spark, "json_page_sink")
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), path, form=raw_pages.ONE_PER_LINE)
+    text = spark.read.schema("value string, date string").text(path)
     return text.groupBy("date").agg(
         F.sum(F.regexp_count("value", F.lit('"released":'))).alias("games"),
         F.sum(F.regexp_count("value", F.lit('"metacritic":null'))).alias("null_scores"),
@@ -377,18 +377,15 @@ def console_chart(spark, folder):
     return dashboard.console_chart(agg_consoles(spark, folder), feed.COLORS)
 
 
-def pipeline_end_to_end(spark, folder):
-    layout = Layout(work_folder(spark, "pipeline_end_to_end"))
-    raw_pages.write_pages(_pages(_scored(feed.games(spark, folder))), layout.raw, raw_pages.ONE_PER_LINE)
+def end_to_end_load(spark, folder):
+    layout = Layout(work_folder(spark, "end_to_end_load"))
     calendar = month_calendar(spark, FIRST_MONTH, LAST_MONTH).collect()
-    pipeline.run(
-        spark,
-        layout,
-        [row["month"] for row in calendar],
-        feed.listed_mapping(spark, folder),
-        feed.ALL_BRANDS,
-        form=raw_pages.ONE_PER_LINE,
-    )
+    months = [row["month"] for row in calendar]
+    games = feed.games(spark, folder)
+    raw.land_months(spark, games, layout.raw, months, feed.DOWNLOADED_AT)
+    mapping = feed.listed_mapping(spark, folder)
+    form = raw_pages.ONE_PER_LINE
+    end_to_end.run(spark, layout, months, mapping, feed.ALL_BRANDS, form=form)
     gold = refresh.current_build(spark, layout).gold
     return tables.read_mart(spark, gold, refresh.BRAND_MART)
 
@@ -437,5 +434,5 @@ QUERIES = {
     "brand_metrics": brand_metrics,
     "brand_chart": brand_chart,
     "console_chart": console_chart,
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "end_to_end_load": end_to_end_load,
 }

@@ -6,6 +6,8 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+from scorelake.sources import storage
+
 
 def local_session(cpus: int | str = "*", app_name: str = "scorelake") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -28,11 +30,14 @@ def _local_folder() -> str:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    It is deleted when the driver ends. Only a local session may go without that setting;
+    it gets a temporary folder of its machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_folder()
-    return f"{shared.rstrip('/')}/scorelake/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/scorelake/{name}-{uuid.uuid4().hex}"
+    storage.make_temporary(spark, folder)
+    return folder

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from scorelake.schemas import PAGE
 from scorelake.seeds import PAGE_SIZE
+from scorelake.sources.tables import by_month
 
 CORRUPT = "_corrupt_record"
 
@@ -114,10 +115,12 @@ def write_pages(pages: DataFrame, raw: str, form: PageFormat = ONE_PER_FILE) ->
     """Write pages below ``raw/date=YYYY-MM``, replacing the months they belong to.
 
     One indented page per file, or one page per line of larger files. The latter is the
-    form to land when there are many pages: files stay few, and can be split on reading.
+    form to land when there are many pages: with pages of a month brought together first,
+    files stay few, and they can be split on reading.
     """
     writer = (
-        pages.write.mode("overwrite")
+        (by_month(pages) if form.lines else pages)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

@@ -27,6 +27,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return files.delete(folder, True)
 
 
+def make_temporary(spark: SparkSession, path: str) -> None:
+    """Create a folder that goes, with all it holds by then, when the driver's JVM ends."""
+    files, folder = _resolve(spark, path)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     files, folder = _resolve(spark, source)
     _, destination = _resolve(spark, target)

@@ -34,7 +34,7 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     ``compact`` shuffles rows of a month together first, for input scattered over many
     tasks; input already laid out by month needs no shuffle.
     """
-    source = _by_month(table) if compact else table
+    source = by_month(table) if compact else table
     (
         source.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -43,7 +43,7 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     )
 
 
-def _by_month(table: DataFrame) -> DataFrame:
+def by_month(table: DataFrame) -> DataFrame:
     """Rows of a month in few tasks, however large the month.
 
     The task a row comes from spreads a month over ``SPREAD`` groups; it stays the same

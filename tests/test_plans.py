@@ -1,15 +1,17 @@
 import time
 
 import pytest
-from helpers import game, land
+from helpers import AT, game, land
 
 from scorelake import job
 from scorelake.functions import month_calendar
 from scorelake.operators.quality import QualityGateError
-from scorelake.plans import bronze, dashboard, pipeline, refresh
+from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
 from scorelake.seeds import ALL_MONTHS_FETCHED, ALL_MONTHS_WROTE, CONSOLE_MAPPING, console_mapping
 from scorelake.sources import storage
+from scorelake.schemas import GAME
 from scorelake.sources.layout import Layout
+from scorelake.sources.pages import ONE_PER_FILE, ONE_PER_LINE, read_pages
 from scorelake.sources.tables import read_bronze, read_mart, read_silver
 
 ALL_NAMES = [row[0] for row in CONSOLE_MAPPING]
@@ -80,13 +82,41 @@ def test_month_report(spark):
     assert statuses(report) == {"2022-01": "loaded", "2022-02": "empty", "2022-03": "failed"}
 
 
+def test_landing_a_source(spark, layout):
+    rows = [
+        game(1, 90, released="2022-01-31"),
+        game(2, None, released="2022-01-31"),
+        game(3, 0, released="2022-01-01"),
+        game(4, 100, released="2022-02-28"),
+        game(5, 50, released="2022-03-01"),
+        game(6, 1, released="2022-01-01"),
+        game(7, 1, released=None),
+    ]
+    months = ["2022-01", "2022-02", "2022-04"]
+    for form in (ONE_PER_LINE, ONE_PER_FILE):
+        source = source_of(spark, rows)
+        report = raw.land_months(spark, source, layout.raw, months, AT, form)
+        assert statuses(report) == {"2022-01": "loaded", "2022-02": "loaded", "2022-04": "empty"}
+        pages = read_pages(spark, layout.raw, form=form).select("date", "results.id").collect()
+        assert sorted((row.date, row.id) for row in pages) == [("2022-01", [6, 1]), ("2022-02", [4])]
+    text = bronze.failed_months_text(report, ALL_MONTHS_FETCHED)
+    assert [row.value for row in text.collect()] == [ALL_MONTHS_FETCHED]
+    # A month the source no longer has loses its pages.
+    raw.land_months(spark, source_of(spark, rows[3:4]), layout.raw, months, AT)
+    assert [row.date for row in read_pages(spark, layout.raw, form=ONE_PER_LINE).collect()] == ["2022-02"]
+
+
+def source_of(spark, rows):
+    return spark.createDataFrame([(row,) for row in rows], f"game {GAME.simpleString()}").coalesce(1)
+
+
 def good_games():
     return [game(1, 90, ALL_NAMES), game(2, 70, ["Wii", "PSP", "Dreamcast"])]
 
 
-def test_pipeline(spark, tmp_path, layout):
+def test_end_to_end(spark, tmp_path, layout):
     land(tmp_path / "raw", "2022-02", good_games())
-    report, build, checks = pipeline.run(spark, layout, ["2022-02", "2022-03"])
+    report, build, checks = end_to_end.run(spark, layout, ["2022-02", "2022-03"])
     assert statuses(report) == {"2022-02": "loaded", "2022-03": "empty"}
     assert len(checks) == 12
     brands = read_mart(spark, build.gold, refresh.BRAND_MART).collect()
@@ -113,10 +143,10 @@ def test_pipeline(spark, tmp_path, layout):
 )
 def test_failing_checks_keep_the_last_good_build(spark, tmp_path, layout, bad, check):
     land(tmp_path / "raw", "2022-02", [game(1, 90, ALL_NAMES)])
-    _, good, _ = pipeline.run(spark, layout, ["2022-02"])
+    _, good, _ = end_to_end.run(spark, layout, ["2022-02"])
     land(tmp_path / "raw", "2022-03", bad)
     with pytest.raises(QualityGateError, match=check):
-        pipeline.run(spark, layout, ["2022-03"])
+        end_to_end.run(spark, layout, ["2022-03"])
     assert refresh.current_build(spark, layout) == good
     assert read_silver(spark, good.silver).count() == 1
     failed = [name for name in storage.child_names(spark, layout.builds) if name not in good.root]
@@ -126,7 +156,7 @@ def test_failing_checks_keep_the_last_good_build(spark, tmp_path, layout, bad, c
 def test_coverage_gates_the_marts(spark, tmp_path, layout):
     land(tmp_path / "raw", "2022-02", [game(1, 90, ALL_NAMES[1:])])
     with pytest.raises(QualityGateError, match="coverage console_mapping.console_name: 1"):
-        pipeline.run(spark, layout, ["2022-02"])
+        end_to_end.run(spark, layout, ["2022-02"])
 
 
 def test_mapping_gates_everything(spark, tmp_path, layout):
@@ -139,7 +169,7 @@ def test_mapping_gates_everything(spark, tmp_path, layout):
 
 def test_old_builds_go_only_when_newer_ones_are_published(spark, tmp_path, layout):
     land(tmp_path / "raw", "2022-02", good_games())
-    builds = [pipeline.run(spark, layout, ["2022-02"])[1] for _ in range(2)]
+    builds = [end_to_end.run(spark, layout, ["2022-02"])[1] for _ in range(2)]
     time.sleep(0.01)
     builds.append(refresh.refresh(spark, layout, console_mapping(spark))[0])
     assert refresh.drop_old_builds(spark, layout) == [builds[0].root.rsplit("/", 1)[1]]
@@ -150,7 +180,7 @@ def test_old_builds_go_only_when_newer_ones_are_published(spark, tmp_path, layou
 
 def test_threshold_reaches_the_marts(spark, tmp_path, layout):
     land(tmp_path / "raw", "2022-02", good_games())
-    _, build, _ = pipeline.run(spark, layout, ["2022-02"], threshold=70)
+    _, build, _ = end_to_end.run(spark, layout, ["2022-02"], threshold=70)
     brands = read_mart(spark, build.gold, refresh.BRAND_MART)
     assert {row.percentage_of_highly_rated_games for row in brands.collect()} == {100.0}
 
