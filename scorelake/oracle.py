@@ -136,6 +136,12 @@ _SUMMARY = " UNION ALL ".join(
     ]
 )
 
+# What the checks of a build ask of scored games and of consoles 0 to 22.
+_PASSING = f"""
+(SELECT COUNT(*) = COUNT(DISTINCT game_id) FROM silver)
+AND (SELECT COUNT(*) = 0 FROM ({_UNSEEN}) AS unseen
+     WHERE console_name NOT IN ('Console 23', 'Console 24'))"""
+
 ORACLE = {
     "json_page_scan": _GAMES + _FLAT_GAMES,
     "partition_column_scan": _GAMES + " SELECT date, COUNT(*) AS games FROM games GROUP BY date",
@@ -162,7 +168,7 @@ FROM games GROUP BY date""",
 SELECT date, id, metacritic FROM games
 WHERE date NOT LIKE '1997-%' OR (metacritic >= 80 AND date <> '1997-05')""",
     "silver_write": _GAMES + _FLAT_SILVER,
-    "full_refresh": _SCORED_GAMES + _FLAT_SILVER,
+    "full_refresh": _SCORED_GAMES + _FLAT_SILVER + f" WHERE {_PASSING}",
     "json_page_sink": _GAMES
     + """
 SELECT date, COUNT(*) AS games, COUNT(*) - COUNT(metacritic) AS null_scores,
@@ -260,5 +266,5 @@ FROM ({_brands()}) ORDER BY display_order NULLS LAST""",
 SELECT console_name, brand, number_of_highly_rated_games, percentage_of_highly_rated_games,
        number_of_games, {_COLOR} AS color
 FROM ({_CONSOLES})""",
-    "end_to_end_load": _SCORED_GAMES + _brands(),
+    "end_to_end_load": _SCORED_GAMES + f" SELECT * FROM ({_brands()}) WHERE {_PASSING}",
 }

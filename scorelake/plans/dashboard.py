@@ -15,7 +15,10 @@ from scorelake.sources.tables import read_mart
 
 def load_mart(spark: SparkSession, layout: Layout, name: str) -> pd.DataFrame:
     """A published mart as a local frame; a mart has one row per console at most."""
-    return read_mart(spark, current_build(spark, layout).gold, name).toPandas()
+    build = current_build(spark, layout)
+    if build is None:
+        raise LookupError(f"nothing published under {layout.root}")
+    return read_mart(spark, build.gold, name).toPandas()
 
 
 def ordered_brands(brands: DataFrame, order: Sequence[str] = BRANDS) -> DataFrame:

@@ -56,16 +56,17 @@ def refresh(
     return build, checks
 
 
-def current_build(spark: SparkSession, layout: Layout) -> Build:
-    """The build published last."""
-    version = _published(spark, layout)[-1]
-    return layout.build(version)
+def current_build(spark: SparkSession, layout: Layout) -> Build | None:
+    """The build published last, None before the first."""
+    versions = _published(spark, layout)
+    return layout.build(versions[-1]) if versions else None
 
 
 def drop_old_builds(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
     """Delete builds older than the last ``keep`` published ones, failed builds included."""
-    oldest_kept = _published(spark, layout)[-keep:][0]
-    old = [name for name in storage.child_names(spark, layout.builds) if name < oldest_kept]
+    kept = _published(spark, layout)[-keep:]
+    names = storage.child_names(spark, layout.builds) if kept else []
+    old = [name for name in names if name < kept[0]]
     for name in old:
         storage.delete(spark, f"{layout.builds}/{name}")
     return old
@@ -81,5 +82,7 @@ def _publish(spark: SparkSession, layout: Layout, version: str) -> None:
 
 def _published(spark: SparkSession, layout: Layout) -> list[str]:
     """Published versions, one per refresh, oldest first."""
+    if not storage.exists(spark, layout.published):
+        return []
     versions = spark.read.schema("version string").parquet(layout.published)
     return [row["version"] for row in versions.orderBy("version").collect()]

@@ -17,6 +17,7 @@ from scorelake.functions import (
 from scorelake.operators import marts, quality
 from scorelake.operators import games as ops
 from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
+from scorelake.schemas import SILVER
 from scorelake.seeds import PAGE_SIZE
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
@@ -163,8 +164,10 @@ def full_refresh(spark, folder):
             refresh.refresh(spark, layout, mapping, feed.ALL_BRANDS)
         except quality.QualityGateError:
             pass
-    silver = tables.read_silver(spark, refresh.current_build(spark, layout).silver)
-    return _flat_silver(silver)
+    build = refresh.current_build(spark, layout)
+    if build is None:
+        return _flat_silver(spark.createDataFrame([], SILVER))
+    return _flat_silver(tables.read_silver(spark, build.silver))
 
 
 def json_page_sink(spark, folder):
@@ -378,6 +381,7 @@ def console_chart(spark, folder):
 
 
 def end_to_end_load(spark, folder):
+    """What readers find after one run: the brand mart, or nothing if a check failed."""
     layout = Layout(work_folder(spark, "end_to_end_load"))
     calendar = month_calendar(spark, FIRST_MONTH, LAST_MONTH).collect()
     months = [row["month"] for row in calendar]
@@ -385,9 +389,11 @@ def end_to_end_load(spark, folder):
     raw.land_months(spark, games, layout.raw, months, feed.DOWNLOADED_AT)
     mapping = feed.listed_mapping(spark, folder)
     form = raw_pages.ONE_PER_LINE
-    end_to_end.run(spark, layout, months, mapping, feed.ALL_BRANDS, form=form)
-    gold = refresh.current_build(spark, layout).gold
-    return tables.read_mart(spark, gold, refresh.BRAND_MART)
+    try:
+        _, build, _ = end_to_end.run(spark, layout, months, mapping, feed.ALL_BRANDS, form=form)
+    except quality.QualityGateError:
+        return agg_brands(spark, folder).limit(0)
+    return tables.read_mart(spark, build.gold, refresh.BRAND_MART)
 
 
 QUERIES = {

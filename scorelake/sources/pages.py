@@ -96,13 +96,10 @@ def paginate(
     """
     stamp = F.current_timestamp() if downloaded_at is None else F.lit(downloaded_at)
     ordered = games.sortWithinPartitions("date", "game.released", "game.id", "game")
-    numbered = ordered.withColumn(
-        "page", F.expr(f"monotonically_increasing_id() div {page_size}")
-    )
-    entry = F.struct("game.released", "game.id", "game")
+    numbered = ordered.withColumn("row", F.monotonically_increasing_id())
     return (
-        numbered.groupBy("date", "page")
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        numbered.groupBy("date", F.expr(f"row div {page_size}").alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct("row", "game"))).alias("entries"))
         .select(
             stamp.cast("timestamp").alias("downloaded_at"),
             F.col("entries.game").alias("results"),

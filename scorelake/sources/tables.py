@@ -12,7 +12,7 @@ from scorelake.schemas import BRONZE, MAPPING, SILVER
 from scorelake.sources import storage
 
 # More groups even out large months, but leave small ones in more files.
-SPREAD = 4
+SPREAD = 8
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -157,6 +157,10 @@ def test_coverage_gates_the_marts(spark, tmp_path, layout):
     land(tmp_path / "raw", "2022-02", [game(1, 90, ALL_NAMES[1:])])
     with pytest.raises(QualityGateError, match="coverage console_mapping.console_name: 1"):
         end_to_end.run(spark, layout, ["2022-02"])
+    assert refresh.current_build(spark, layout) is None
+    assert refresh.drop_old_builds(spark, layout) == []
+    with pytest.raises(LookupError):
+        dashboard.load_mart(spark, layout, refresh.BRAND_MART)
 
 
 def test_mapping_gates_everything(spark, tmp_path, layout):
