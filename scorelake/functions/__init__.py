@@ -1,5 +1,11 @@
 from scorelake.functions.display import count_label, display_rank, known_category, value_lookup
-from scorelake.functions.months import month_bounds, month_calendar, month_key, months_between
+from scorelake.functions.months import (
+    month_bounds,
+    month_calendar,
+    month_key,
+    months_between,
+    strict_date,
+)
 from scorelake.functions.numbers import percentage, round2, to_int
 
 __all__ = [
@@ -12,6 +18,7 @@ __all__ = [
     "months_between",
     "percentage",
     "round2",
+    "strict_date",
     "to_int",
     "value_lookup",
 ]

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.functions import month_bounds, to_int
+from scorelake.functions import month_bounds, strict_date, to_int
 from scorelake.operators.joins import join_dimension
 from scorelake.seeds import SCORE_RANGE
 
@@ -26,7 +26,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         "date",
         F.col("game.name").alias("game_name"),
-        F.to_date("game.released", "yyyy-MM-dd").alias("release_date"),
+        strict_date(F.col("game.released")).alias("release_date"),
         (score.cast("int") if whole else to_int(score)).alias("metacritic_score"),
         F.col("game.id").cast("string").alias("game_id"),
         F.col("game.platforms.platform.name").alias("console_names"),

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.functions import month_key
+from scorelake.functions import month_key, strict_date
 from scorelake.plans.bronze import month_report, month_table
 from scorelake.seeds import SCORE_RANGE
 from scorelake.sources.pages import ONE_PER_LINE, PageFormat, paginate, write_pages
@@ -29,7 +29,7 @@ def land_months(
     ``(month, status)``; a month the source has nothing for ends up without pages.
     """
     months = sorted(set(months))
-    released = F.to_date("game.released", "yyyy-MM-dd")
+    released = strict_date(F.col("game.released"))
     scored = source.filter(F.col("game.metacritic").between(*score_range)).select(
         "game", month_key(released).alias("date")
     )

@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,12 +74,17 @@ def replace_months(
     staged, replaced = f"{path}/_staged-{run}", f"{path}/_replaced-{run}"
     write(table.filter(table["date"].isin(*months)), staged)
     landed = set(storage.child_names(spark, staged))
-    for month in months:
+
+    def swap(month: str) -> None:
         folder = f"date={month}"
         if storage.exists(spark, f"{path}/{folder}"):
             storage.move(spark, f"{path}/{folder}", f"{replaced}/{folder}")
         if folder in landed:
             storage.move(spark, f"{staged}/{folder}", f"{path}/{folder}")
+
+    # A move is a copy on an object store, so months are swapped side by side.
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(swap, months))
     storage.delete(spark, staged)
     storage.delete(spark, replaced)
     return [month for month in months if f"date={month}" in landed]

@@ -45,10 +45,17 @@ def test_silver_keeps_null_lists_and_scores(spark):
     assert found.release_date is None
 
 
-@pytest.mark.parametrize("released", ["2022-02", "soon", "2022-13-01"])
-def test_bad_release_raises(spark, released):
-    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|CAST_INVALID_INPUT"):
-        games.to_silver(bronze(spark, [game(released=released)])).collect()
+@pytest.mark.parametrize("ansi", [True, False])
+@pytest.mark.parametrize(
+    "released", ["2022-02", "soon", "2022-13-01", "", "2022-2-03", "2022-02-03 ", "2022-02-03T00"]
+)
+def test_bad_release_raises(spark, released, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not a YYYY-MM-DD date|CAST_INVALID_INPUT"):
+            games.to_silver(bronze(spark, [game(released=released)])).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_score_too_large_raises(spark):

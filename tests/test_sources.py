@@ -205,7 +205,7 @@ def test_a_month_too_big_for_one_task_is_split(spark, tmp_path):
         .alias("date"),
     )
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(setting, "1m")
+    spark.conf.set(setting, "256k")
     try:
         tables.write_months(rows, path, compact=True)
     finally:
