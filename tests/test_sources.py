@@ -197,7 +197,7 @@ def test_failing_replace_leaves_the_table_alone(spark, tmp_path):
 def test_a_month_too_big_for_one_task_is_split(spark, tmp_path):
     """Two thirds of the rows are of one month; several tasks write it."""
     path = str(tmp_path / "t")
-    rows = spark.range(0, 300_000, 1, 8).select(
+    rows = spark.range(0, 300_000, 1, 32).select(
         F.current_timestamp().alias("downloaded_at"),
         F.uuid().alias("game"),
         F.when(F.col("id") % 3 == 0, F.format_string("1999-%02d", (F.col("id") % 12 + 1)))
