@@ -47,7 +47,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         )
         bronze.write_failed_months(report, layout.failed_months)
     if options.job != "backfill":
-        mapping = read_mapping(spark, options.mapping) if options.mapping else console_mapping(spark)
+        mapping = console_mapping(spark)
+        if options.mapping:
+            mapping = read_mapping(spark, options.mapping)
         refresh.refresh(spark, layout, mapping, options.brands, options.threshold)
         refresh.drop_old_builds(spark, layout)
 

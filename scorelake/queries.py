@@ -79,7 +79,7 @@ def _flat_silver(silver: DataFrame) -> DataFrame:
 def json_page_scan(spark, folder):
     path = work_folder(spark, "json_page_scan")
     # A file per page: large pages keep the files few.
-    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=2_000), path)
+    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=20_000), path)
     return _flat(ops.unnest_results(raw_pages.read_pages(spark, path)))
 
 
@@ -111,10 +111,11 @@ def seed_scan(spark, folder):
         .groupBy("console_name")
         .agg(F.count("*").alias("listings"))
     )
+    listed = F.coalesce("listings", F.lit(0)).alias("listings")
     return (
         tables.read_mapping(spark, path)
         .join(listings, "console_name", "left")
-        .select("console_name", "brand", "is_handheld", F.coalesce("listings", F.lit(0)).alias("listings"))
+        .select("console_name", "brand", "is_handheld", listed)
     )
 
 
