@@ -66,7 +66,8 @@ def replace_months(
 
     The new rows are written aside in full before any month is touched, so a failing
     load leaves the table as it was. A month without new rows is removed; months not
-    listed stay. The folders moved are one per month.
+    listed stay. The folders moved are one per month; should the driver be lost between
+    two of them, loading the same months again completes the work.
     """
     months = sorted(set(months))
     run = uuid.uuid4().hex
