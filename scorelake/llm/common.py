@@ -3,14 +3,18 @@
 import re
 import sys
 import unicodedata
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import scorelake
 from scorelake.session import work_folder
 
 #: Low bits of ``monotonically_increasing_id``: the row's place in its partition.
@@ -18,6 +22,29 @@ PLACE_BITS = (1 << 33) - 1
 CHUNK_BYTES = 4 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, as ``--py-files`` would, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(scorelake.__file__).parent
+        archive = Path(SparkFiles.getRootDirectory(), "package", f"{package.name}.zip")
+        archive.parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(archive, "w") as file:
+            for module in sorted(package.rglob("*.py")):
+                file.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
+def arrow_map(frame: DataFrame, run: Callable, schema) -> DataFrame:
+    """``frame.mapInArrow(run, schema)`` on executors that have this package."""
+    ship(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -79,11 +106,7 @@ def map_chunks(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch
         for chunk in chunks(batches, column):
             yield work(chunk)
 
-    return frame.mapInArrow(run, schema)
-
-
-def count_of(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0))
+    return arrow_map(frame, run, schema)
 
 
 @lru_cache(maxsize=8)
