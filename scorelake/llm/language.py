@@ -13,9 +13,10 @@ up the different words of a small batch in these arrays by binary search. The pr
 language of the lowest cross-entropy for each letter; ``score`` is that language's share of the
 likelihood, worked out on ``SURE`` letters at most, so that it stays a graded number.
 
-Rejection: part of the sample is left out of the counts, and its cross-entropies give, for each
-language, a centre and a spread. A text is rejected if it has no letters, or its cross-entropy
-is over the centre by more than ``FAR`` spreads and ``MARGIN`` nats, the more so the fewer
+Rejection looks at the cross-entropy with each word in the language that suits it best, so that a
+quotation in another language does no harm. Part of the sample is left out of the counts; its
+values give a centre and a spread for each language. A text is rejected if it has no letters, or
+is over the centre by more than ``FAR`` spreads and ``MARGIN`` nats, and more than that the fewer
 letters it has: only text that is far from every language goes.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; with no labelled
@@ -49,8 +50,8 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 @lru_cache(maxsize=1)
 def _patterns() -> tuple[re.Pattern, re.Pattern]:
-    """Words as runs of letters: for texts of the basic plane, and for all."""
-    return re.compile(f"[{class_of('L', 0xFFFF)}]+"), re.compile(f"[{class_of('L')}]+")
+    """Runs of letters, in texts of the basic plane and in all, that no digit touches."""
+    return re.compile(rf"\b[{class_of('L', 0xFFFF)}]+\b"), re.compile(rf"\b[{class_of('L')}]+\b")
 
 
 _BEYOND = re.compile("[\U00010000-\U0010ffff]")
@@ -60,7 +61,10 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     basic, every = _patterns()
-    return (every if _BEYOND.search(text) else basic).findall(text.lower())
+    text = text.lower()
+    words = (every if _BEYOND.search(text) else basic).findall(text)
+    # Letters among digits, as in keys, say little; they count where there is nothing else.
+    return words or re.findall(f"[{class_of('L')}]+", text)
 
 
 def _mixed(value: np.ndarray) -> np.ndarray:
@@ -119,8 +123,9 @@ class Model:
         logs[begins] = 0.0  # the mark of the begin is given
         return np.add.reduceat(logs, begins, axis=0) if len(words) else logs[:0]
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per letter of each text in every language, and its number of letters."""
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per letter of each text in every language, that of its words each in the
+        best one, and its number of letters."""
         known: dict[str, int] = {}
         ids, counts, letters = [], [], []
         for text in texts:
@@ -128,21 +133,23 @@ class Model:
             ids.extend([known.setdefault(word, len(known)) for word in words])
             counts.append(len(words))
             letters.append(sum(map(len, words)))
-        total = np.zeros((len(texts), len(self.languages)))
+        total = np.zeros((len(texts), len(self.languages) + 1))
         if ids:
             scores = self.word_scores(list(known))
+            scores = np.column_stack([scores, scores.max(axis=1)])
             some = np.flatnonzero(counts)
             ends = np.cumsum(counts)
             starts = (ends - counts)[some]
             total[some] = np.add.reduceat(scores[np.array(ids)], starts, axis=0)
         size = np.array(letters) + np.array(counts)
-        return -total / np.maximum(size, 1)[:, None], np.array(letters)
+        entropy = -total / np.maximum(size, 1)[:, None]
+        return entropy[:, :-1], entropy[:, -1], np.array(letters)
 
     def judged(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Prediction, score, cross-entropy and whether it is rejected, of each text."""
+        """Prediction, score, cross-entropy in that language and whether it is rejected, of each text."""
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), bool)
-        entropy, letters = self.entropies(texts)
+        entropy, mixed, letters = self.entropies(texts)
         best = entropy.argmin(axis=1)
         lowest = entropy.min(axis=1)
         sure = np.minimum(letters, SURE)[:, None]
@@ -151,7 +158,7 @@ class Model:
         beyond = np.zeros(len(texts), bool)
         if self.centre is not None:
             limit = self.centre + np.maximum(FAR * self.spread, MARGIN)
-            beyond = lowest > (limit + 4 / np.sqrt(np.maximum(letters, 1))[:, None])[np.arange(len(texts)), best]
+            beyond = mixed > (limit + 4 / np.sqrt(np.maximum(letters, 1))[:, None])[np.arange(len(texts)), best]
         names = [UNKNOWN if none else self.languages[n] for n, none in zip(best, lacking, strict=True)]
         return names, np.where(lacking, 0.0, score), lowest, lacking | beyond
 
@@ -276,12 +283,9 @@ def fitted(docs: DataFrame, most: int = SAMPLE, order: int = ORDER) -> Model:
 
     def measure(batches):
         for chunk in chunks(batches, "text"):
-            entropy, letters = model.entropies(chunk.column("text").to_pylist())
-            own = [model.languages.index(lang) if lang in model.languages else 0 for lang in chunk.column("lang").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("lang"), pa.array(entropy[np.arange(len(own)), own]), pa.array(letters)],
-                names=["lang", "entropy", "letters"],
-            )
+            _, mixed, letters = model.entropies(chunk.column("text").to_pylist())
+            columns = [chunk.column("lang"), pa.array(mixed), pa.array(letters)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "entropy", "letters"])
 
     apart = sample.filter(F.col("rank") % APART == 0).select("lang", "text")
     measured = arrow_map(apart, measure, "lang string, entropy double, letters long").filter("letters >= 100")
