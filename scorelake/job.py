@@ -2,6 +2,7 @@
 
     python -m scorelake.job run --root s3a://lake --first 2022-01 --last 2022-03
     python -m scorelake.job backfill --root s3a://lake
+    python -m scorelake.job land --root s3a://lake --source s3a://source/games
     python -m scorelake.job refresh --root s3a://lake --mapping s3a://lake/mapping.csv
 """
 
@@ -10,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from scorelake.plans import bronze, refresh
+from scorelake.functions import month_calendar
+from scorelake.plans import bronze, raw, refresh
 from scorelake.seeds import (
+    ALL_MONTHS_FETCHED,
     BRANDS,
     FIRST_MONTH,
     HIGHLY_RATED_THRESHOLD,
@@ -19,17 +22,21 @@ from scorelake.seeds import (
     console_mapping,
 )
 from scorelake.sources.layout import Layout
-from scorelake.sources.pages import ONE_PER_FILE, ONE_PER_LINE
+from scorelake.sources.pages import PageFormat
 from scorelake.sources.tables import read_mapping
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="scorelake.job")
-    parser.add_argument("job", choices=["backfill", "refresh", "run"])
+    parser.add_argument("job", choices=["backfill", "land", "refresh", "run"])
     parser.add_argument("--root", required=True, help="folder or bucket of the lake")
     parser.add_argument("--first", default=FIRST_MONTH, help="first month, YYYY-MM")
     parser.add_argument("--last", default=LAST_MONTH, help="last month, YYYY-MM")
-    parser.add_argument("--lines", action="store_true", help="raw files hold a page per line")
+    parser.add_argument(
+        "--lines", action="store_true", default=None, help="raw files hold a page per line, else as recorded"
+    )
+    parser.add_argument("--files", default="*.json", help="pattern of raw files that are pages")
+    parser.add_argument("--source", help="Parquet table with a column game, to land from")
     parser.add_argument("--mapping", help="CSV with the console mapping, else the built-in one")
     parser.add_argument("--brands", nargs="+", default=BRANDS, help="brands the mapping may have")
     parser.add_argument("--threshold", type=int, default=HIGHLY_RATED_THRESHOLD)
@@ -40,8 +47,14 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     options = parse(arguments)
     spark = spark or SparkSession.builder.appName("scorelake").getOrCreate()
     layout = Layout(options.root.rstrip("/"))
+    if options.job == "land":
+        land(spark, layout, options)
+        return
     if options.job != "refresh":
-        form = ONE_PER_LINE if options.lines else ONE_PER_FILE
+        form = PageFormat(lines=options.lines, file_pattern=options.files)
+        outside = bronze.months_outside(spark, layout.raw, options.first, options.last)
+        if outside:
+            print(f"not read, outside {options.first} to {options.last}: {', '.join(outside)}")
         report = bronze.backfill(
             spark, layout.raw, layout.bronze, options.first, options.last, form
         )
@@ -54,5 +67,13 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         refresh.drop_old_builds(spark, layout)
 
 
+def land(spark: SparkSession, layout: Layout, options: argparse.Namespace) -> None:
+    """Land the source's months as pages and write which of them failed."""
+    calendar = month_calendar(spark, options.first, options.last).collect()
+    months = [row["month"] for row in calendar]
+    report = raw.land_months(spark, spark.read.parquet(options.source), layout.raw, months)
+    bronze.write_failed_months(report, layout.failed_landings, ALL_MONTHS_FETCHED)
+
+
 if __name__ == "__main__":
     main()

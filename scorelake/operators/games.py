@@ -10,8 +10,16 @@ from scorelake.seeds import SCORE_RANGE
 
 
 def unnest_results(pages: DataFrame) -> DataFrame:
-    """One row per game of each page; a page without games gives none."""
-    return pages.select("downloaded_at", F.explode("results").alias("game"), "date")
+    """One row per game of each page, with its document; a page without games gives none."""
+    if "documents" not in pages.columns:
+        return pages.select("downloaded_at", F.explode("results").alias("game"), "date")
+    both = F.explode(F.arrays_zip("results", "documents")).alias("both")
+    return pages.select("downloaded_at", both, "date").select(
+        "downloaded_at",
+        F.col("both.results").alias("game"),
+        F.col("both.documents").alias("document"),
+        "date",
+    )
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
@@ -43,12 +51,14 @@ def source_slice(
 ) -> DataFrame:
     """Scored games released in the given months, by release; no score, no row.
 
+    A game lies in the folder of the month of its release, so other folders are not read.
     The row number last in the order lets the sort spread copies of one game over tasks.
     """
     first, _ = month_bounds(F.lit(f"{first_month}-01").cast("date"))
     _, last = month_bounds(F.lit(f"{last_month}-01").cast("date"))
     return silver.filter(
-        F.col("release_date").between(first, last)
+        F.col("date").between(first_month, last_month)
+        & F.col("release_date").between(first, last)
         & F.col("metacritic_score").between(*score_range)
     ).orderBy("release_date", "game_id", F.monotonically_increasing_id())
 

@@ -42,7 +42,7 @@ def games(spark: SparkSession, folder: str) -> DataFrame:
         key.alias("id"),
         F.concat(F.lit("Édition №"), key).alias("name"),
         released.alias("released"),
-        F.when(customer % 101 != 0, customer % 101).alias("metacritic"),
+        F.when(customer % 101 != 0, (customer % 101).cast("double")).alias("metacritic"),
         F.when(key % 53 != 0, _platforms(customer, key)).alias("platforms"),
         F.when(key % 59 != 0, _genres(key, customer)).alias("genres"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", rating).alias("esrb_rating"),
@@ -74,6 +74,50 @@ def listed_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return console_mapping(spark, folder).filter(~F.col("console_name").isin(*unlisted))
 
 
+def line_listings(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines as silver games: each lists its order on the nation of its supplier.
+
+    A listing for each line needs no list gathered from other rows.
+    """
+    read = {name: table(spark, folder, name) for name in ("lineitem", "orders", "supplier", "nation")}
+    customer = F.col("o_custkey") % 101
+    return (
+        read["lineitem"]
+        .join(read["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(read["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.col("o_orderkey").cast("string").alias("game_id"),
+            F.when(customer != 0, customer).cast("int").alias("metacritic_score"),
+            F.array("n_name").alias("console_names"),
+        )
+    )
+
+
+def nation_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations outside ASIA by their names."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    return (
+        nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+        .filter("r_name <> 'ASIA'")
+        .select(
+            F.col("n_name").alias("console_name"),
+            F.col("r_name").alias("brand"),
+            (F.col("n_nationkey") % 2 == 0).alias("is_handheld"),
+        )
+    )
+
+
+def months_around(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The month before the first order and the one after the last."""
+    first = F.add_months(F.min("o_orderdate").cast("date"), -1)
+    last = F.add_months(F.max("o_orderdate").cast("date"), 1)
+    row = table(spark, folder, "orders").agg(
+        F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM")
+    ).first()
+    return row[0] or "1970-01", row[1] or "1970-01"
+
+
 def _run(entries: list[str], start: Column, wanted: Column) -> Column:
     # One SQL literal: building as many columns call by call takes far longer.
     fixed = F.expr(f"array({', '.join(entries)})")

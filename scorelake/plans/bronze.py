@@ -1,17 +1,28 @@
 """Loading raw pages into the bronze table, any number of months in one job."""
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.functions import month_calendar
-from scorelake.operators.games import unnest_results
 from scorelake.seeds import ALL_MONTHS_WROTE, FIRST_MONTH, LAST_MONTH
-from scorelake.sources.pages import ONE_PER_FILE, PageFormat, malformed_months, read_pages
-from scorelake.sources.tables import replace_months
+from scorelake.sources import storage
+from scorelake.sources.pages import (
+    AS_RECORDED,
+    PageFormat,
+    PageFormError,
+    game_counts,
+    marked_pages,
+    raw_months,
+)
+from scorelake.sources.tables import by_month, publish_months, read_bronze, staging
+
+#: Months tried side by side when a load of all months together has failed.
+AT_ONCE = 8
 
 
 def load_months(
@@ -19,39 +30,108 @@ def load_months(
     raw: str,
     bronze: str,
     months: Sequence[str],
-    form: PageFormat = ONE_PER_FILE,
+    form: PageFormat = AS_RECORDED,
 ) -> DataFrame:
     """Replace ``months`` of bronze with what raw holds; returns ``(month, status)``.
 
-    All months load in a single job. Only when a page cannot be read does a second job
-    look for the months to blame; these keep the rows they had, and the others load.
+    All months load in a single job that reads each page once. A month with a page that
+    does not fit keeps the rows it had, and so does one whose pages are in another form
+    than asked for. Where files cannot be read at all, the job cannot go on, and each
+    month is tried by itself; the months that fail again are to blame.
     """
-    months, failed = sorted(set(months)), set()
+    months = sorted(set(months))
+    if not storage.exists(spark, raw):
+        raise FileNotFoundError(f"PATH_NOT_FOUND: {raw}")
     try:
-        loaded = _replace(spark, raw, bronze, months, form)
-    except (PySparkException, Py4JJavaError) as error:
-        if "MALFORMED_RECORD" not in str(error):
-            raise
-        bad = malformed_months(spark, raw, months, form).collect()
-        failed = {row["month"] for row in bad}
-        sound = [month for month in months if month not in failed]
-        loaded = _replace(spark, raw, bronze, sound, form)
+        loaded, failed = _load(spark, raw, bronze, months, form)
+    except (PySparkException, Py4JError, PageFormError):
+        loaded, failed = _load_apart(spark, raw, bronze, months, form)
     return month_report(*[month_table(spark, part) for part in (months, loaded, failed)])
 
 
+def _load(
+    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
+) -> tuple[list[str], list[str]]:
+    """Months loaded, and months with bad pages."""
+    pages = marked_pages(spark, raw, months, form)
+    # A bad page shows as a row without a game, in a folder apart from the games.
+    entries = F.arrays_zip("results", "documents")
+    games = pages.select(
+        "downloaded_at",
+        F.explode(F.when(F.col("bad"), F.array(F.lit(None))).otherwise(entries)).alias("entry"),
+        "bad",
+        "date",
+    ).select(
+        "downloaded_at",
+        F.col("entry.results").alias("game"),
+        F.col("entry.documents").alias("document"),
+        "bad",
+        "date",
+    )
+    with staging(spark, bronze) as staged:
+        by_month(games).write.partitionBy("bad", "date").parquet(staged)
+        failed = raw_months(spark, f"{staged}/bad=true")
+        landed = raw_months(spark, f"{staged}/bad=false")
+        sound = [month for month in months if month not in failed]
+        publish_months(spark, f"{staged}/bad=false", bronze, sound)
+    return [month for month in sound if month in landed], failed
+
+
+def _load_apart(
+    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
+) -> tuple[list[str], list[str]]:
+    """As ``_load``, month by month; any month's error is its own."""
+
+    def load(month: str) -> tuple[list[str], list[str]]:
+        try:
+            return _load(spark, raw, bronze, [month], form)
+        except (PySparkException, Py4JError, PageFormError):
+            return [], [month]
+
+    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+        outcomes = list(pool.map(load, months))
+    return [m for loaded, _ in outcomes for m in loaded], [m for _, failed in outcomes for m in failed]
+
+
 def backfill(
     spark: SparkSession,
     raw: str,
     bronze: str,
     first_month: str = FIRST_MONTH,
     last_month: str = LAST_MONTH,
-    form: PageFormat = ONE_PER_FILE,
+    form: PageFormat = AS_RECORDED,
 ) -> DataFrame:
     """``load_months`` over every month from ``first_month`` to ``last_month``."""
     calendar = month_calendar(spark, first_month, last_month).collect()
     return load_months(spark, raw, bronze, [row["month"] for row in calendar], form)
 
 
+def months_outside(spark: SparkSession, raw: str, first_month: str, last_month: str) -> list[str]:
+    """Raw months that a backfill from ``first_month`` to ``last_month`` does not read."""
+    return [m for m in raw_months(spark, raw) if not first_month <= m <= last_month]
+
+
+def unreconciled(
+    spark: SparkSession, raw: str, bronze: str, report: DataFrame, form: PageFormat = AS_RECORDED
+) -> DataFrame:
+    """Loaded or empty months of which raw and bronze do not hold as many games."""
+    done = report.filter("status <> 'failed'").select("month")
+    months = [row["month"] for row in done.collect()]  # the report's, one row for each month
+    landed = game_counts(marked_pages(spark, raw, months, form))
+    try:
+        rows = read_bronze(spark, bronze)
+    except AnalysisException:
+        rows = None  # no month has ever had a game
+    loaded = (
+        done.select("month", F.lit(0).cast("bigint").alias("loaded"))
+        if rows is None
+        else rows.groupBy(F.col("date").alias("month")).agg(F.count("*").alias("loaded"))
+    )
+    both = done.join(landed, "month", "left").join(loaded, "month", "left")
+    both = both.select("month", *(F.coalesce(name, F.lit(0)).alias(name) for name in ("games", "loaded")))
+    return both.filter("games <> loaded")
+
+
 def month_report(calendar: DataFrame, loaded: DataFrame, failed: DataFrame) -> DataFrame:
     """Every calendar month as ``loaded``, ``failed`` or, with nothing landed, ``empty``."""
     outcomes = loaded.select("month", F.lit("loaded").alias("outcome")).union(
@@ -77,12 +157,5 @@ def write_failed_months(
     failed_months_text(report, all_well).write.mode("overwrite").text(path)
 
 
-def _replace(
-    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
-) -> list[str]:
-    games = unnest_results(read_pages(spark, raw, months, form))
-    return replace_months(spark, games, bronze, months)
-
-
 def month_table(spark: SparkSession, months: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(month,) for month in sorted(months)], "month string")

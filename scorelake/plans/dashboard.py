@@ -2,7 +2,6 @@
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +12,12 @@ from scorelake.sources.layout import Layout
 from scorelake.sources.tables import read_mart
 
 
-def load_mart(spark: SparkSession, layout: Layout, name: str) -> pd.DataFrame:
-    """A published mart as a local frame; a mart has one row per console at most."""
+def load_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A published mart; whoever draws it turns it into a local frame."""
     build = current_build(spark, layout)
     if build is None:
         raise LookupError(f"nothing published under {layout.root}")
-    return read_mart(spark, build.gold, name).toPandas()
+    return read_mart(spark, build.gold, name)
 
 
 def ordered_brands(brands: DataFrame, order: Sequence[str] = BRANDS) -> DataFrame:

@@ -4,11 +4,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.plans.bronze import load_months
+from scorelake.operators.quality import count_check, gate
+from scorelake.plans.bronze import load_months, unreconciled
 from scorelake.plans.refresh import refresh
 from scorelake.seeds import BRANDS, HIGHLY_RATED_THRESHOLD, console_mapping
 from scorelake.sources.layout import Build, Layout
-from scorelake.sources.pages import ONE_PER_FILE, PageFormat
+from scorelake.sources.pages import AS_RECORDED, PageFormat
 
 
 def run(
@@ -18,10 +19,15 @@ def run(
     mapping: DataFrame | None = None,
     brands: Sequence[str] = BRANDS,
     threshold: int = HIGHLY_RATED_THRESHOLD,
-    form: PageFormat = ONE_PER_FILE,
+    form: PageFormat = AS_RECORDED,
 ) -> tuple[DataFrame, Build, list]:
-    """Load ``months`` and refresh; returns the month report, the build and its checks."""
+    """Load ``months`` and refresh; returns the month report, the build and its checks.
+
+    Nothing is built unless bronze holds as many games as raw, month by month.
+    """
     report = load_months(spark, layout.raw, layout.bronze, months, form)
+    differing = unreconciled(spark, layout.raw, layout.bronze, report, form)
+    gate(count_check(differing, "reconciled", "bronze_games", "date"))
     mapping = console_mapping(spark) if mapping is None else mapping
     build, checks = refresh(spark, layout, mapping, brands, threshold)
     return report, build, checks

@@ -2,7 +2,6 @@
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from scorelake.functions import month_key, strict_date
 from scorelake.plans.bronze import month_report, month_table
 from scorelake.seeds import SCORE_RANGE
 from scorelake.sources.pages import ONE_PER_LINE, PageFormat, paginate, write_pages
-from scorelake.sources.tables import replace_months
 
 
 def land_months(
@@ -34,5 +32,5 @@ def land_months(
         "game", month_key(released).alias("date")
     )
     pages = paginate(scored.filter(F.col("date").isin(*months)), downloaded_at)
-    landed = replace_months(spark, pages, raw, months, partial(write_pages, form=form))
+    landed = write_pages(pages, raw, form, months)
     return month_report(*[month_table(spark, part) for part in (months, landed, [])])

@@ -2,7 +2,7 @@
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,9 @@ from scorelake.sources.tables import (
 )
 
 BRAND_MART, CONSOLE_MART = "agg_brands", "agg_consoles"
+#: How a version tells when it was started, and the file that says a build is not written any more.
+STARTED = "%Y%m%dT%H%M%S%f"
+FINISHED = "_finished"
 
 
 def refresh(
@@ -36,37 +39,59 @@ def refresh(
     A failing check stops what depends on it: the build stays unpublished, readers keep
     the last good one, and ``QualityGateError`` names the failures.
     """
-    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    build = layout.build(version)
     checks = gate(mapping_checks(mapping, brands))
+    version = f"{datetime.now(timezone.utc):{STARTED}}-{uuid.uuid4().hex[:8]}"
+    build = layout.build(version)
+    try:
+        checks += _build(spark, layout, build, mapping, threshold)
+        _publish(spark, layout, version)
+    finally:
+        # Published or failed, nobody writes to it any more.
+        if storage.exists(spark, build.root):
+            storage.write_text(spark, f"{build.root}/{FINISHED}", version)
+    return build, checks
+
 
+def _build(
+    spark: SparkSession, layout: Layout, build: Build, mapping: DataFrame, threshold: int
+) -> list:
+    """Write silver and gold of a build; returns the checks it has passed."""
     # Bronze already lies by month, so rows go out again without a shuffle.
     write_months(to_silver(read_bronze(spark, layout.bronze)), build.silver)
     silver = read_silver(spark, build.silver)
-    checks += gate(silver_checks(silver, mapping))
+    checks = gate(silver_checks(silver, mapping))
 
     # The exploded rows cost less to derive twice than to keep.
     by_console = games_by_console(silver, mapping)
     write_mart(brand_mart(by_console, threshold), build.gold, BRAND_MART)
     write_mart(console_mart(by_console, threshold), build.gold, CONSOLE_MART)
     marts = (read_mart(spark, build.gold, name) for name in (BRAND_MART, CONSOLE_MART))
-    checks += gate(mart_checks(*marts))
-
-    _publish(spark, layout, version)
-    return build, checks
+    return checks + gate(mart_checks(*marts))
 
 
 def current_build(spark: SparkSession, layout: Layout) -> Build | None:
     """The build published last, None before the first."""
-    versions = _published(spark, layout)
-    return layout.build(versions[-1]) if versions else None
+    versions = _published(spark, layout, 1)
+    return layout.build(versions[0]) if versions else None
 
 
-def drop_old_builds(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
-    """Delete builds older than the last ``keep`` published ones, failed builds included."""
-    kept = _published(spark, layout)[-keep:]
+def drop_old_builds(
+    spark: SparkSession, layout: Layout, keep: int = 2, given_up: timedelta = timedelta(days=7)
+) -> list[str]:
+    """Delete finished builds but the ``keep`` published last, failed builds included.
+
+    A build that nobody has finished may still be written; it goes when its start lies
+    ``given_up`` back. Before the first publication nothing is deleted.
+    """
+    kept = _published(spark, layout, keep)
     names = storage.child_names(spark, layout.builds) if kept else []
-    old = [name for name in names if name < kept[0]]
+    limit = f"{datetime.now(timezone.utc) - given_up:{STARTED}}"
+    old = [
+        name
+        for name in names
+        if name not in kept
+        and (name < limit or storage.exists(spark, f"{layout.builds}/{name}/{FINISHED}"))
+    ]
     for name in old:
         storage.delete(spark, f"{layout.builds}/{name}")
     return old
@@ -80,9 +105,10 @@ def _publish(spark: SparkSession, layout: Layout, version: str) -> None:
     row.write.mode("append").parquet(layout.published)
 
 
-def _published(spark: SparkSession, layout: Layout) -> list[str]:
-    """Published versions, one per refresh, oldest first."""
+def _published(spark: SparkSession, layout: Layout, most: int) -> list[str]:
+    """The versions published last, the latest first; not when they were started counts."""
     if not storage.exists(spark, layout.published):
         return []
-    versions = spark.read.schema("version string").parquet(layout.published)
-    return [row["version"] for row in versions.orderBy("version").collect()]
+    versions = spark.read.schema("version string, published_at timestamp").parquet(layout.published)
+    latest = versions.orderBy(F.desc("published_at"), F.desc("version")).limit(most)
+    return [row["version"] for row in latest.collect()]

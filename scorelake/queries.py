@@ -1,6 +1,6 @@
 """Every operator as a query over the given tables: ``(spark, folder) -> DataFrame``."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake import order_feed as feed
@@ -18,18 +18,18 @@ from scorelake.operators import marts, quality
 from scorelake.operators import games as ops
 from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
 from scorelake.schemas import SILVER
-from scorelake.seeds import PAGE_SIZE
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
-from scorelake.sources import tables
+from scorelake.sources import storage, tables
 from scorelake.sources.layout import Layout
 
-FIRST_MONTH, LAST_MONTH = "1994-12", "2001-09"
 SLICE = ("1996-01", "1999-12")
 REPLACED_MONTHS = [f"1997-{month:02d}" for month in range(1, 13)]
 EMPTIED_MONTH = "1997-05"
 MISSING_MONTHS = ["1995-02", "1999-07"]
 MALFORMED_MONTH = "1996-06"
+UNREADABLE_MONTH = "1998-03"
+ERROR_MONTH = "2000-02"
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,8 +44,8 @@ def _scored(games: DataFrame) -> DataFrame:
     return games.filter(F.col("game.metacritic").isNotNull())
 
 
-def _pages(games: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    return raw_pages.paginate(games.select("game", "date"), feed.DOWNLOADED_AT, page_size)
+def _pages(games: DataFrame) -> DataFrame:
+    return raw_pages.paginate(games.select("game", "date"), feed.DOWNLOADED_AT)
 
 
 def _joined(names: str) -> F.Column:
@@ -53,17 +53,24 @@ def _joined(names: str) -> F.Column:
     return F.array_join(names, ";", "(none)")
 
 
-def _flat(bronze_games: DataFrame) -> DataFrame:
+def _months(spark: SparkSession, folder: str) -> list[str]:
+    """A month more than the orders have at either end; one row for each month."""
+    calendar = month_calendar(spark, *feed.months_around(spark, folder))
+    return [row["month"] for row in calendar.collect()]
+
+
+def _flat(bronze_games: DataFrame, *more: Column) -> DataFrame:
     return bronze_games.select(
         "date",
         F.col("game.id").alias("id"),
         F.col("game.name").alias("name"),
         F.col("game.released").alias("released"),
-        F.col("game.metacritic").alias("metacritic"),
+        F.col("game.metacritic").cast("bigint").alias("metacritic"),
         _joined("game.platforms.platform.name").alias("platforms"),
         _joined("game.genres.name").alias("genres"),
         F.col("game.esrb_rating.name").alias("rating"),
         F.unix_micros("downloaded_at").alias("downloaded_micros"),
+        *more,
     )
 
 
@@ -78,15 +85,14 @@ def _flat_silver(silver: DataFrame) -> DataFrame:
 
 def json_page_scan(spark, folder):
     path = work_folder(spark, "json_page_scan")
-    # A file per page: large pages keep the files few.
-    raw_pages.write_pages(_pages(feed.games(spark, folder), page_size=20_000), path)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), path)
     return _flat(ops.unnest_results(raw_pages.read_pages(spark, path)))
 
 
 def partition_column_scan(spark, folder):
     path = work_folder(spark, "partition_column_scan")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), path, form=raw_pages.ONE_PER_LINE)
-    scanned = raw_pages.read_pages(spark, path, form=raw_pages.ONE_PER_LINE)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), path)
+    scanned = raw_pages.read_pages(spark, path)
     return scanned.groupBy("date").agg(F.sum(F.size("results")).alias("games"))
 
 
@@ -133,7 +139,8 @@ def partitioned_write(spark, folder):
     tables.write_months(feed.games(spark, folder), path, compact=True)
     scanned = tables.read_bronze(spark, path)
     return scanned.groupBy("date").agg(
-        F.count("*").alias("games"), F.sum("game.metacritic").alias("score_sum")
+        F.count("*").alias("games"),
+        F.sum("game.metacritic").cast("bigint").alias("score_sum"),
     )
 
 
@@ -145,7 +152,7 @@ def partition_replace(spark, folder):
     for _ in range(2):
         tables.replace_months(spark, reload, path, REPLACED_MONTHS)
     return tables.read_bronze(spark, path).select(
-        "date", F.col("game.id").alias("id"), F.col("game.metacritic").alias("metacritic")
+        "date", F.col("game.id").alias("id"), F.col("game.metacritic").cast("bigint").alias("metacritic")
     )
 
 
@@ -174,7 +181,7 @@ def full_refresh(spark, folder):
 def json_page_sink(spark, folder):
     """What the text of the written pages holds: games, kept nulls, unescaped letters."""
     path = work_folder(spark, "json_page_sink")
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), path, form=raw_pages.ONE_PER_LINE)
+    raw_pages.write_pages(_pages(feed.games(spark, folder)), path)
     text = spark.read.schema("value string, date string").text(path)
     return text.groupBy("date").agg(
         F.sum(F.regexp_count("value", F.lit('"released":'))).alias("games"),
@@ -184,16 +191,20 @@ def json_page_sink(spark, folder):
 
 
 def backfill_report(spark, folder):
-    """Months with pages, without any, and with a page that cannot be read."""
+    """Months with pages, without any, and with a page that is malformed, an error or no text."""
     layout = Layout(work_folder(spark, "backfill_report"))
     games = feed.games(spark, folder).filter(~F.col("date").isin(*MISSING_MONTHS))
-    raw_pages.write_pages(_pages(games), layout.raw, raw_pages.ONE_PER_LINE)
-    broken = games.filter(F.col("date") == MALFORMED_MONTH).select(
-        F.col("game.name").alias("results"), "date"
-    )
-    broken.write.mode("append").partitionBy("date").json(layout.raw)
+    raw_pages.write_pages(_pages(games), layout.raw)
+    for month, name in ((MALFORMED_MONTH, "results"), (ERROR_MONTH, "detail")):
+        broken = games.filter(F.col("date") == month).select(F.col("game.name").alias(name), "date")
+        broken.write.mode("append").partitionBy("date").json(layout.raw)
+    if UNREADABLE_MONTH in raw_pages.raw_months(spark, layout.raw):
+        # Not what its name says it is.
+        path = f"{layout.raw}/date={UNREADABLE_MONTH}/page.json.gz"
+        storage.write_text(spark, path, "no compressed page")
+    form = raw_pages.PageFormat(file_pattern="*.json*")
     return bronze.backfill(
-        spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, raw_pages.ONE_PER_LINE
+        spark, layout.raw, layout.bronze, *feed.months_around(spark, folder), form
     )
 
 
@@ -209,7 +220,30 @@ def struct_field_nullsafe(spark, folder):
 
 
 def cast_date(spark, folder):
-    return _silver(spark, folder).select("game_id", "release_date")
+    """Releases written in five ways that name a day."""
+    iso, key = F.col("game.released"), F.col("game.id")
+    day = iso.cast("date")
+    released = (
+        F.when(key % 5 == 0, iso)
+        .when(key % 5 == 1, F.date_format(day, "yyyy/MM/dd"))
+        .when(key % 5 == 2, F.date_format(day, "yyyy-M-d"))
+        .when(key % 5 == 3, F.concat(F.lit(" "), iso, F.lit(" ")))
+        .otherwise(F.concat(iso, F.lit(" 10:11:12")))
+    )
+    written = F.col("game").withField("released", released)
+    games = feed.games(spark, folder).withColumn("game", written)
+    return ops.to_silver(games).select("game_id", "release_date")
+
+
+def fractional_scores(spark, folder):
+    """Scores with halves in the pages, landed, loaded and typed."""
+    layout = Layout(work_folder(spark, "fractional_scores"))
+    half = (F.col("game.metacritic") % 83) / 2
+    games = feed.games(spark, folder).withColumn("game", F.col("game").withField("metacritic", half))
+    raw_pages.write_pages(_pages(games), layout.raw)
+    bronze.backfill(spark, layout.raw, layout.bronze, *feed.months_around(spark, folder))
+    silver = ops.to_silver(tables.read_bronze(spark, layout.bronze))
+    return silver.select("game_id", "metacritic_score")
 
 
 def cast_int(spark, folder):
@@ -320,6 +354,12 @@ def agg_brands(spark, folder):
     return marts.brand_mart(_by_console(spark, folder))
 
 
+def agg_brands_lines(spark, folder):
+    """The brand mart with a listing for each order line."""
+    mapping = feed.nation_mapping(spark, folder)
+    return marts.brand_mart(ops.games_by_console(feed.line_listings(spark, folder), mapping))
+
+
 def agg_consoles(spark, folder):
     return marts.console_mart(_by_console(spark, folder))
 
@@ -361,12 +401,27 @@ def dq_summary(spark, folder):
 
 
 def bronze_games(spark, folder):
+    """Bronze from pages, with a field that only the games' own documents have."""
     layout = Layout(work_folder(spark, "bronze_games"))
-    raw_pages.write_pages(_pages(feed.games(spark, folder)), layout.raw, raw_pages.ONE_PER_LINE)
-    bronze.backfill(
-        spark, layout.raw, layout.bronze, FIRST_MONTH, LAST_MONTH, raw_pages.ONE_PER_LINE
+    tag = F.concat(F.lit("tag "), F.col("game.id"))
+    games = feed.games(spark, folder).withColumn("game", F.col("game").withField("tag", tag))
+    raw_pages.write_pages(_pages(games), layout.raw)
+    bronze.backfill(spark, layout.raw, layout.bronze, *feed.months_around(spark, folder))
+    loaded = tables.read_bronze(spark, layout.bronze)
+    return _flat(loaded, F.get_json_object("document", "$.tag").alias("tag"))
+
+
+def land_and_load(spark, folder):
+    """Every scored game, landed and loaded with what is written and read by default."""
+    layout = Layout(work_folder(spark, "land_and_load"))
+    months = _months(spark, folder)
+    raw.land_months(spark, feed.games(spark, folder), layout.raw, months, feed.DOWNLOADED_AT)
+    report = bronze.load_months(spark, layout.raw, layout.bronze, months)
+    differing = bronze.unreconciled(spark, layout.raw, layout.bronze, report)
+    quality.gate(quality.count_check(differing, "reconciled", "bronze_games", "date"))
+    return tables.read_bronze(spark, layout.bronze).select(
+        "date", F.col("game.id").alias("id"), F.col("game.metacritic").cast("bigint").alias("metacritic")
     )
-    return _flat(tables.read_bronze(spark, layout.bronze))
 
 
 def brand_metrics(spark, folder):
@@ -384,14 +439,12 @@ def console_chart(spark, folder):
 def end_to_end_load(spark, folder):
     """What readers find after one run: the brand mart, or nothing if a check failed."""
     layout = Layout(work_folder(spark, "end_to_end_load"))
-    calendar = month_calendar(spark, FIRST_MONTH, LAST_MONTH).collect()
-    months = [row["month"] for row in calendar]
+    months = _months(spark, folder)
     games = feed.games(spark, folder)
     raw.land_months(spark, games, layout.raw, months, feed.DOWNLOADED_AT)
     mapping = feed.listed_mapping(spark, folder)
-    form = raw_pages.ONE_PER_LINE
     try:
-        _, build, _ = end_to_end.run(spark, layout, months, mapping, feed.ALL_BRANDS, form=form)
+        _, build, _ = end_to_end.run(spark, layout, months, mapping, feed.ALL_BRANDS)
     except quality.QualityGateError:
         return agg_brands(spark, folder).limit(0)
     return tables.read_mart(spark, build.gold, refresh.BRAND_MART)
@@ -414,6 +467,7 @@ QUERIES = {
     "struct_field_nullsafe": struct_field_nullsafe,
     "cast_date": cast_date,
     "cast_int": cast_int,
+    "fractional_scores": fractional_scores,
     "nested_list_names": nested_list_names,
     "list_names": list_names,
     "conditional_value": conditional_value,
@@ -431,6 +485,7 @@ QUERIES = {
     "distinct_rows": distinct_rows,
     "distinct_names": distinct_names,
     "agg_brands": agg_brands,
+    "agg_brands_lines": agg_brands_lines,
     "agg_consoles": agg_consoles,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
@@ -438,6 +493,7 @@ QUERIES = {
     "dq_coverage": dq_coverage,
     "dq_summary": dq_summary,
     "bronze_games": bronze_games,
+    "land_and_load": land_and_load,
     "brand_metrics": brand_metrics,
     "brand_chart": brand_chart,
     "console_chart": console_chart,

@@ -30,24 +30,27 @@ LABEL = T.StructType(
     ]
 )
 
-# `released` stays text until the typed layer parses it strictly.
+# `released` stays text until the typed layer parses it strictly, and a score a fraction
+# until that layer rounds it.
 GAME = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("released", T.StringType()),
-        T.StructField("metacritic", T.LongType()),
+        T.StructField("metacritic", T.DoubleType()),
         T.StructField("platforms", T.ArrayType(PLATFORM_ENTRY)),
         T.StructField("genres", T.ArrayType(LABEL)),
         T.StructField("esrb_rating", LABEL),
     ]
 )
 
+# `documents` has the JSON text of each game with all its fields, whatever the schema names.
 # `date` is the YYYY-MM month; it lives in the folder name, not in the files.
 PAGE = T.StructType(
     [
         T.StructField("downloaded_at", T.TimestampType()),
         T.StructField("results", T.ArrayType(GAME)),
+        T.StructField("documents", T.ArrayType(T.StringType())),
         T.StructField("date", T.StringType()),
     ]
 )
@@ -56,6 +59,7 @@ BRONZE = T.StructType(
     [
         T.StructField("downloaded_at", T.TimestampType()),
         T.StructField("game", GAME),
+        T.StructField("document", T.StringType()),
         T.StructField("date", T.StringType()),
     ]
 )

@@ -58,5 +58,9 @@ class Layout:
     def failed_months(self) -> str:
         return f"{self.root}/artifacts/failed_bronze_months"
 
+    @property
+    def failed_landings(self) -> str:
+        return f"{self.root}/artifacts/failed_raw_months"
+
     def build(self, version: str) -> Build:
         return Build(f"{self.builds}/{version}")

@@ -1,88 +1,131 @@
 """Raw pages: JSON objects ``{downloaded_at, results: [game, ...]}`` in month folders."""
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.schemas import PAGE
+from scorelake.schemas import GAME, PAGE
 from scorelake.seeds import PAGE_SIZE
-from scorelake.sources.tables import by_month
+from scorelake.sources import storage
+from scorelake.sources.tables import by_month, publish_months, staging
 
 CORRUPT = "_corrupt_record"
+#: Beside the pages of a month: how they are stored. Spark does not read such files.
+FORM_FILE = "_form"
+
+
+class PageFormError(Exception):
+    """Raised when pages are to be read in another form than the one they were written in."""
 
 
 @dataclass(frozen=True)
 class PageFormat:
-    """How pages are stored: one per file, indented or not, or one per line."""
+    """How pages are stored: one per line, or one per file, indented or not.
+
+    Without ``lines`` each month is read as its folder records, and one that records
+    nothing, as downloads do, as a page per file.
+    """
 
-    schema: T.StructType = field(default_factory=lambda: PAGE)
-    lines: bool = False
+    lines: bool | None = None
     file_pattern: str = "*.json"
+    game: T.StructType = GAME
 
 
-ONE_PER_FILE = PageFormat()
+AS_RECORDED = PageFormat()
+ONE_PER_FILE = PageFormat(lines=False)
 ONE_PER_LINE = PageFormat(lines=True)
 
 
+def raw_months(spark: SparkSession, raw: str) -> list[str]:
+    """The months that raw has folders for."""
+    names = storage.child_names(spark, raw)
+    return [name.removeprefix("date=") for name in names if name.startswith("date=")]
+
+
 def read_pages(
     spark: SparkSession,
     raw: str,
     months: Sequence[str] | None = None,
-    form: PageFormat = ONE_PER_FILE,
+    form: PageFormat = AS_RECORDED,
 ) -> DataFrame:
     """Pages under ``raw/date=YYYY-MM``; a page that does not fit the schema raises.
 
-    ``months`` prunes folders; a month without a folder simply has no pages.
+    Only the folders of ``months`` are listed; a month without a folder has no pages.
     """
-    return _scan(spark, raw, months, form, form.schema, "FAILFAST")
+    complaint = F.raise_error(F.concat(F.lit("MALFORMED_RECORD: a page of "), F.col("date")))
+    results = F.when(F.col("bad"), complaint.cast(PAGE["results"].dataType)).otherwise(F.col("results"))
+    return marked_pages(spark, raw, months, form).select(
+        "downloaded_at", results.alias("results"), "documents", "date"
+    )
 
 
-def malformed_months(
+def marked_pages(
     spark: SparkSession,
     raw: str,
     months: Sequence[str] | None = None,
-    form: PageFormat = ONE_PER_FILE,
+    form: PageFormat = AS_RECORDED,
 ) -> DataFrame:
-    """Months with pages that do not fit the schema: how many, and what could be read.
+    """Pages with ``bad``: no JSON, no list of results, or a game that does not fit the schema.
 
-    Only fields a query uses are parsed, so a bad one goes unseen unless all are used:
-    collect every column.
+    ``documents`` has each game's own JSON text, with the fields outside the schema.
     """
-    marked = T.StructType([*form.schema.fields, T.StructField(CORRUPT, T.StringType())])
-    pages = _scan(spark, raw, months, form, marked, "PERMISSIVE")
-    fields = [name for name in form.schema.names if name != "date"]
-    return (
-        pages.groupBy(F.col("date").alias("month"))
-        .agg(
-            F.count(CORRUPT).alias("bad_pages"),
-            *[F.count(name).alias(f"with_{name}") for name in fields],
-        )
-        .filter("bad_pages > 0")
+    there = raw_months(spark, raw)
+    wanted = there if months is None else sorted(set(there) & set(months))
+    by_form: dict[bool, list[str]] = {}
+    for month in wanted:
+        by_form.setdefault(_lines(spark, raw, month, form), []).append(f"{raw}/date={month}")
+    scans = [_scan(spark, raw, folders, lines, form) for lines, folders in by_form.items()]
+    if not scans:
+        # Without any folder of raw at all this names the path that is missing.
+        scans = [_scan(spark, raw, [raw], True, form).filter("false")]
+    pages = reduce(DataFrame.unionByName, scans)
+    checked = T.StructType([*form.game.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    texts = F.transform("results", lambda game: F.to_json(game))
+    read = pages.select("downloaded_at", texts.alias("documents"), CORRUPT, "date").withColumn(
+        "read", F.transform("documents", lambda text: F.from_json(text, checked, options))
+    )
+    bad = (
+        F.col(CORRUPT).isNotNull()
+        | F.col("documents").isNull()
+        | F.exists("read", lambda one: one.isNull() | one[CORRUPT].isNotNull())
+    )
+    return read.select(
+        "downloaded_at",
+        F.transform("read", lambda one: one.dropFields(CORRUPT)).alias("results"),
+        "documents",
+        F.coalesce(bad, F.lit(True)).alias("bad"),
+        "date",
     )
 
 
+def _lines(spark: SparkSession, raw: str, month: str, form: PageFormat) -> bool:
+    recorded = storage.read_text(spark, f"{raw}/date={month}/{FORM_FILE}")
+    if form.lines is None:
+        return recorded == "line"
+    if recorded is not None and form.lines != (recorded == "line"):
+        raise PageFormError(f"pages of {month} are stored as one per {recorded}")
+    return form.lines
+
+
 def _scan(
-    spark: SparkSession,
-    raw: str,
-    months: Sequence[str] | None,
-    form: PageFormat,
-    schema: T.StructType,
-    mode: str,
+    spark: SparkSession, raw: str, folders: list[str], lines: bool, form: PageFormat
 ) -> DataFrame:
-    pages = (
-        spark.read.schema(schema)
-        .option("mode", mode)
+    schema = "downloaded_at timestamp, results array<variant>, date string"
+    return (
+        spark.read.schema(f"{schema}, {CORRUPT} string")
+        .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", not form.lines)
+        .option("multiLine", not lines)
         .option("basePath", raw)
         .option("pathGlobFilter", form.file_pattern)
-        .json(raw)
+        .json(folders)
     )
-    return pages if months is None else pages.filter(F.col("date").isin(*months))
 
 
 def paginate(
@@ -108,21 +151,45 @@ def paginate(
     )
 
 
-def write_pages(pages: DataFrame, raw: str, form: PageFormat = ONE_PER_FILE) -> None:
-    """Write pages below ``raw/date=YYYY-MM``, replacing the months they belong to.
+def write_pages(
+    pages: DataFrame,
+    raw: str,
+    form: PageFormat = ONE_PER_LINE,
+    months: Sequence[str] | None = None,
+) -> list[str]:
+    """Make the months of ``pages``, or the given ones, hold just these; returns those with pages.
 
-    One indented page per file, or one page per line of larger files. The latter is the
-    form to land when there are many pages: with pages of a month brought together first,
-    files stay few, and they can be split on reading.
+    One page per line of larger files, with pages of a month brought together first, so
+    that files stay few and can be split on reading; or one indented page per file. The
+    form is recorded beside the pages of each month.
     """
+    lines = form.lines is not False
+    if months is not None:
+        pages = pages.filter(F.col("date").isin(*months))
     writer = (
-        (by_month(pages) if form.lines else pages)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", False)
+        (by_month(pages) if lines else pages)
+        .write.option("ignoreNullFields", False)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
         .partitionBy("date")
     )
-    if not form.lines:
+    if not lines:
         writer = writer.option("maxRecordsPerFile", 1).option("pretty", True)
-    writer.json(raw)
+    with staging(pages.sparkSession, raw) as staged:
+        writer.json(staged)
+        landed = raw_months(pages.sparkSession, staged)
+        for month in landed:
+            path = f"{staged}/date={month}/{FORM_FILE}"
+            storage.write_text(pages.sparkSession, path, "line" if lines else "file")
+        publish_months(pages.sparkSession, staged, raw, landed if months is None else months)
+    return landed
+
+
+def game_counts(pages: DataFrame) -> DataFrame:
+    """How many games the pages of each month hold."""
+    return pages.groupBy(F.col("date").alias("month")).agg(
+        F.sum(_size(F.col("documents"))).alias("games")
+    )
+
+
+def _size(entries: Column) -> Column:
+    return F.coalesce(F.array_size(entries), F.lit(0)).cast("bigint")

@@ -34,6 +34,25 @@ def make_temporary(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(folder)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; one that is there already is replaced."""
+    files, file = _resolve(spark, path)
+    stream = files.create(file, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` has written, None when there is no such file."""
+    files, file = _resolve(spark, path)
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    text = bytes(stream.readNBytes(4096)).decode("utf-8")
+    stream.close()
+    return text
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     files, folder = _resolve(spark, source)
     _, destination = _resolve(spark, target)

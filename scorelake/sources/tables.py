@@ -1,9 +1,9 @@
-"""Parquet tables by month, single-file marts and the CSV dimension."""
+"""Parquet tables by month, marts and the CSV dimension."""
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +33,15 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     """Write ``table`` below ``path/date=YYYY-MM``, replacing the months it has rows for.
 
     ``compact`` shuffles rows of a month together first, for input scattered over many
-    tasks; input already laid out by month needs no shuffle.
+    tasks; input already laid out by month needs no shuffle. A new folder is written
+    plainly; only an existing one needs the overwrite that looks at each month.
     """
-    source = by_month(table) if compact else table
-    (
-        source.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    writer = (by_month(table) if compact else table).write.partitionBy("date")
+    if storage.child_names(table.sparkSession, path):
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
 
 
 def by_month(table: DataFrame) -> DataFrame:
@@ -55,45 +55,80 @@ def by_month(table: DataFrame) -> DataFrame:
     return table.withColumn("spread", spread).hint("rebalance", "date", "spread").drop("spread")
 
 
-def replace_months(
-    spark: SparkSession,
-    table: DataFrame,
-    path: str,
-    months: Sequence[str],
-    write: Callable[[DataFrame, str], None] = partial(write_months, compact=True),
-) -> list[str]:
-    """Make ``months`` of the table at ``path`` hold exactly ``table``; return those with rows.
+@contextmanager
+def staging(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder below ``path`` to write to, gone afterwards whatever happens."""
+    # Spark does not read folders whose names start with an underscore.
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    try:
+        yield staged
+    finally:
+        storage.delete(spark, staged)
 
-    The new rows are written aside in full before any month is touched, so a failing
-    load leaves the table as it was. A month without new rows is removed; months not
-    listed stay. The folders moved are one per month; should the driver be lost between
-    two of them, loading the same months again completes the work.
+
+def publish_months(spark: SparkSession, staged: str, path: str, months: Sequence[str]) -> None:
+    """Put the month folders of ``staged`` in the place of ``path``'s; a listed month without one goes.
+
+    A month whose new folder cannot be put in place gets its old one back, and the error
+    is raised when all months have been tried.
     """
-    months = sorted(set(months))
-    run = uuid.uuid4().hex
-    # Spark does not read folders whose names start with an underscore.
-    staged, replaced = f"{path}/_staged-{run}", f"{path}/_replaced-{run}"
-    write(table.filter(table["date"].isin(*months)), staged)
+    replaced = f"{path}/_replaced-{uuid.uuid4().hex}"
     landed = set(storage.child_names(spark, staged))
 
     def swap(month: str) -> None:
         folder = f"date={month}"
-        if storage.exists(spark, f"{path}/{folder}"):
+        had = storage.exists(spark, f"{path}/{folder}")
+        if had:
             storage.move(spark, f"{path}/{folder}", f"{replaced}/{folder}")
         if folder in landed:
-            storage.move(spark, f"{staged}/{folder}", f"{path}/{folder}")
+            try:
+                storage.move(spark, f"{staged}/{folder}", f"{path}/{folder}")
+            except Exception:
+                storage.delete(spark, f"{path}/{folder}")
+                if had:
+                    storage.move(spark, f"{replaced}/{folder}", f"{path}/{folder}")
+                raise
 
     # A move is a copy on an object store, so months are swapped side by side.
     with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(swap, months))
-    storage.delete(spark, staged)
+        errors = [error for error in pool.map(_error_of(swap), sorted(set(months))) if error]
+    if errors:
+        raise errors[0]
     storage.delete(spark, replaced)
+
+
+def _error_of(work: Callable[[str], None]) -> Callable[[str], Exception | None]:
+    def run(month: str) -> Exception | None:
+        try:
+            work(month)
+        except Exception as error:
+            return error
+        return None
+
+    return run
+
+
+def replace_months(
+    spark: SparkSession, table: DataFrame, path: str, months: Sequence[str]
+) -> list[str]:
+    """Make ``months`` of the table at ``path`` hold exactly ``table``; return those with rows.
+
+    The new rows are written aside in full before any month is touched, so a failing
+    load leaves the table as it was. A month without new rows is removed; months not
+    listed stay. The folders moved are one per month; should the driver be lost between
+    two of them, loading the same months again completes the work.
+    """
+    months = sorted(set(months))
+    with staging(spark, path) as staged:
+        write_months(table.filter(table["date"].isin(*months)), staged, compact=True)
+        landed = set(storage.child_names(spark, staged))
+        publish_months(spark, staged, path, months)
     return [month for month in months if f"date={month}" in landed]
 
 
 def write_mart(mart: DataFrame, gold: str, name: str) -> None:
-    """Write a finished mart as one file; its rows are one per console at most."""
-    mart.repartition(1).write.mode("overwrite").parquet(f"{gold}/{name}")
+    """Write a finished mart; adaptive execution joins a small one into a file, a large one stays spread."""
+    mart.hint("rebalance").write.mode("overwrite").parquet(f"{gold}/{name}")
 
 
 def read_mart(spark: SparkSession, gold: str, name: str) -> DataFrame:
@@ -112,6 +147,6 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_mapping(mapping: DataFrame, path: str) -> None:
-    mapping.select(*MAPPING.names).repartition(1).write.mode("overwrite").option(
+    mapping.select(*MAPPING.names).hint("rebalance").write.mode("overwrite").option(
         "header", True
     ).csv(path)

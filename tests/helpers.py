@@ -19,7 +19,7 @@ def game(id=1, score=80, consoles=("Wii",), released="2022-02-03", **other):
         "id": id,
         "name": f"Game {id}",
         "released": released,
-        "metacritic": score,
+        "metacritic": float(score) if isinstance(score, int) else score,
         "platforms": platforms,
         "genres": [{"id": 1, "name": "Action", "slug": "action"}],
         "esrb_rating": {"id": 1, "name": "Teen", "slug": "teen"},

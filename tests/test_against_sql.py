@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from scorelake.oracle import ORACLE
+from scorelake.queries import QUERIES
 
 FOLDER = Path("/root/testdata/sf0.01")
 
@@ -42,13 +44,14 @@ def _sorted_rows(rows, names):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, tables, name):
-    result = entry.queries()[name](spark, str(FOLDER))
-    cursor = tables.execute(entry.oracle_sql()[name])
+    result = QUERIES[name](spark, str(FOLDER))
+    cursor = tables.execute(ORACLE[name])
     expected_types = {column[0]: TYPE_NAMES[str(column[1])] for column in cursor.description}
     expected = _sorted_rows(cursor.fetchall(), list(expected_types))
     assert dict(result.dtypes) == expected_types

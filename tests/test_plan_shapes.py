@@ -64,6 +64,8 @@ def test_slice_reaches_the_scan(spark, silver_path):
     (pushed,) = re.findall(r"PushedFilters: (.*)", text)
     assert "GreaterThanOrEqual(metacritic_score,1)" in pushed
     assert "GreaterThanOrEqual(release_date,1996-01-01)" in pushed
+    (folders,) = re.findall(r"PartitionFilters: (.*)", text)
+    assert "1996-01" in folders and "1996-12" in folders
 
 
 def test_silver_needs_no_shuffle(spark, bronze_path):
@@ -98,6 +100,9 @@ def test_silver_checks_scan_twice(spark, silver_path):
 
 def test_raw_months_prune_folders(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    pages.write_pages(pages.paginate(feed.games(spark, FOLDER)), raw, pages.ONE_PER_LINE)
-    one = pages.read_pages(spark, raw, ["1996-06"], pages.ONE_PER_LINE)
-    assert "PartitionFilters: [isnotnull(date" in formatted(one)
+    pages.write_pages(pages.paginate(feed.games(spark, FOLDER)), raw)
+    one = pages.read_pages(spark, raw, ["1996-06"])
+    # Other months' folders are not even listed.
+    assert {path.rsplit("/", 2)[1] for path in one.inputFiles()} == {"date=1996-06"}
+    (location,) = re.findall(r"Location: (.*)", formatted(one))
+    assert "date=1996-06" in location and "1 paths" not in location.replace("(1 paths)", "")

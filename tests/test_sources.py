@@ -1,5 +1,4 @@
 import json
-from functools import partial
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -46,11 +45,13 @@ def test_months_prune_and_may_be_missing(spark, tmp_path):
     assert landed_ids(spark, tmp_path, months=["2022-04"]) == []
 
 
-def test_fields_outside_the_schema_are_left_out(spark, tmp_path):
+def test_fields_outside_the_schema_stay_in_the_document(spark, tmp_path):
     land(tmp_path, "2022-02", [game(1) | {"stores": [{"store": {"name": "x"}}], "tba": False}])
     read = unnest_results(pages.read_pages(spark, str(tmp_path)))
     assert read.select("game.*").columns == BRONZE["game"].dataType.names
-    assert read.count() == 1
+    (row,) = read.collect()
+    document = json.loads(row.document)
+    assert document["stores"] == [{"store": {"name": "x"}}] and document["tba"] is False
 
 
 def test_page_that_does_not_fit_raises(spark, tmp_path):
@@ -60,8 +61,39 @@ def test_page_that_does_not_fit_raises(spark, tmp_path):
     (tmp_path / "date=2022-04" / "page_1.json").write_text('{"results": [')
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         landed_ids(spark, tmp_path)
-    bad = pages.malformed_months(spark, str(tmp_path)).collect()
-    assert {row.month: row.bad_pages for row in bad} == {"2022-03": 1, "2022-04": 1}
+    marked = pages.marked_pages(spark, str(tmp_path)).select("date", "bad").collect()
+    assert {row.date: row.bad for row in marked} == {"2022-02": False, "2022-03": True, "2022-04": True}
+
+
+@pytest.mark.parametrize("body", ['{"detail": "no such page"}', '{"results": null}', "7", '{"results": 3}'])
+def test_a_page_without_results_is_malformed(spark, tmp_path, body):
+    land(tmp_path, "2022-02", [])
+    land(tmp_path, "2022-03", [game(1)])
+    (tmp_path / "date=2022-03" / "page_2.json").write_text(body)
+    marked = pages.marked_pages(spark, str(tmp_path)).select("date", "bad").collect()
+    assert sorted((row.date, row.bad) for row in marked) == [
+        ("2022-02", False),
+        ("2022-03", False),
+        ("2022-03", True),
+    ]
+
+
+def test_pages_are_read_in_the_form_they_were_written_in(spark, tmp_path):
+    raw = str(tmp_path)
+    games = feed.games(spark, "/root/testdata/sf0.001")
+    half = games.filter("date < '1998-01'")
+    pages.write_pages(pages.paginate(half, AT), raw, pages.ONE_PER_FILE)
+    pages.write_pages(pages.paginate(games.exceptAll(half), AT), raw)
+    assert landed_ids(spark, raw) == ids(games)
+    for form, month in ((pages.ONE_PER_FILE, "1999-01"), (pages.ONE_PER_LINE, "1996-01")):
+        with pytest.raises(pages.PageFormError, match=month):
+            landed_ids(spark, raw, months=[month], form=form)
+
+
+def test_fractional_scores_are_read(spark, tmp_path):
+    land(tmp_path, "2022-02", [game(1, 81.5), game(2, 80.0), game(3, 7)])
+    silver = to_silver(unnest_results(pages.read_pages(spark, str(tmp_path))))
+    assert {row.game_id: row.metacritic_score for row in silver.collect()} == {"1": 82, "2": 80, "3": 7}
 
 
 def test_a_poor_first_month_does_not_spoil_the_next(spark, tmp_path):
@@ -80,7 +112,7 @@ def test_a_poor_first_month_does_not_spoil_the_next(spark, tmp_path):
 def test_written_pages(spark, tmp_path):
     table = bronze(spark, [game(1, None, name="Pokémon", esrb_rating=None), game(2)])
     packed = pages.paginate(table.coalesce(1), AT)
-    pages.write_pages(packed, str(tmp_path))
+    pages.write_pages(packed, str(tmp_path), pages.ONE_PER_FILE)
     (file,) = tmp_path.glob("date=2022-02/*.json")
     text = file.read_text(encoding="utf-8")
     assert "Pokémon" in text and "\n  " in text
@@ -128,11 +160,10 @@ def test_pages_written_again_replace_their_month(spark, tmp_path):
 
 def test_a_month_landed_without_games_loses_its_pages(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    write = partial(pages.write_pages, form=pages.ONE_PER_LINE)
     both = bronze(spark, [game(1)]).union(bronze(spark, [game(2)], "2022-03"))
     months = ["2022-02", "2022-03"]
     for games in (both, both.filter("date = '2022-03'")):
-        tables.replace_months(spark, pages.paginate(games, AT), raw, months, write)
+        pages.write_pages(pages.paginate(games, AT), raw, months=months)
     assert landed_ids(spark, raw, form=pages.ONE_PER_LINE) == [("2022-03", 2)]
 
 
@@ -194,6 +225,36 @@ def test_failing_replace_leaves_the_table_alone(spark, tmp_path):
     assert ids(tables.read_bronze(spark, path)) == [("2022-02", 1)]
 
 
+def test_a_month_that_cannot_be_put_in_place_gets_its_rows_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    both = bronze(spark, [game(1)]).union(bronze(spark, [game(2)], "2022-03"))
+    tables.write_months(both, path)
+    move = storage.move
+
+    def failing(session, source, target):
+        if "_staged" in source and "2022-02" in source:
+            raise OSError("store is full")
+        move(session, source, target)
+
+    monkeypatch.setattr(storage, "move", failing)
+    new = bronze(spark, [game(8)]).union(bronze(spark, [game(9)], "2022-03"))
+    with pytest.raises(OSError, match="store is full"):
+        tables.replace_months(spark, new, path, ["2022-02", "2022-03"])
+    assert ids(tables.read_bronze(spark, path)) == [("2022-02", 1), ("2022-03", 9)]
+    assert not list(Path(path).glob("_staged*"))
+    monkeypatch.undo()
+    tables.replace_months(spark, new, path, ["2022-02", "2022-03"])
+    assert ids(tables.read_bronze(spark, path)) == [("2022-02", 8), ("2022-03", 9)]
+
+
+def test_a_failing_write_leaves_no_folder_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    broken = bronze(spark, [game(2)]).withColumn("downloaded_at", F.raise_error(F.lit("no")).cast("timestamp"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_months(spark, broken, path, ["2022-02"])
+    assert not list(Path(path).glob("_*"))
+
+
 def test_a_month_too_big_for_one_task_is_split(spark, tmp_path):
     """Two thirds of the rows are of one month; several tasks write it."""
     path = str(tmp_path / "t")
