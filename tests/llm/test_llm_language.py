@@ -1,0 +1,151 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+from llm_rows import documents, odd_texts
+
+from scorelake.llm import language
+from scorelake.llm.queries import QUERIES
+
+WORDS = {
+    "aa": "lorem ipsum dolor amet consec tetur adipis elit sed eiusmod tempor labore magna aliqua minim veniam".split(),
+    "bb": "warum nicht schön über straße wörter zwischen müssen können vielleicht geschichte freundschaft".split(),
+}
+
+
+def prose(rng, lang, count):
+    return " ".join(rng.choices(WORDS[lang], k=count))
+
+
+def labelled(rng, count=240):
+    return [(n, prose(rng, lang, rng.randint(20, 60)), lang) for n, lang in enumerate(rng.choices(list(WORDS), k=count))]
+
+
+def plain_counts(words, order):
+    """Sequence counts by definition: {size: {sequence: count}}."""
+    raw = defaultdict(Counter)
+    for word, times in words.items():
+        marked = language.BEGIN + word + language.END
+        for size in range(1, order + 1):
+            for at in range(len(marked) - size + 1):
+                raw[size][marked[at : at + size]] += times
+    counts = {order: dict(raw[order])}
+    for size in range(1, order):
+        before = defaultdict(set)
+        for longer in raw[size + 1]:
+            before[longer[1:]].add(longer[0])
+        counts[size] = {s: n if s[0] == language.BEGIN else len(before[s]) for s, n in raw[size].items()}
+        counts[size] = {s: n for s, n in counts[size].items() if n}
+    return counts
+
+
+def plain_likelihood(counts, letters, sequence):
+    """Interpolated Kneser-Ney, recursively."""
+    if not sequence:
+        return 1 / letters
+    table = {s: n for s, n in counts[len(sequence)].items() if s != language.BEGIN}
+    once, twice = (sum(n == k for n in table.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    same = {s: n for s, n in table.items() if s[:-1] == sequence[:-1]}
+    shorter = plain_likelihood(counts, letters, sequence[1:])
+    if not same:
+        return shorter
+    total = sum(same.values())
+    return max(same.get(sequence, 0) - discount, 0) / total + discount * len(same) / total * shorter
+
+
+def test_counts_and_likelihoods_follow_their_definition(spark):
+    order = 4
+    words = {"aa": Counter({"abab": 3, "aba": 1, "cab": 2, "é": 1}), "bb": Counter({"bcb": 2, "bb": 5})}
+    rows = [(lang, word, n) for lang, table in words.items() for word, n in table.items()]
+    got = language.sequence_counts(spark.createDataFrame(rows, "lang string, word string, count long"), order).toPandas()
+    expected = {lang: plain_counts(table, order) for lang, table in words.items()}
+    flat = {(lang, size, s): n for lang, sizes in expected.items() for size, table in sizes.items() for s, n in table.items()}
+    assert {(r.lang, r.size, r.sequence): r.times for r in got.itertuples()} == flat
+    model = language.model_from(got, order)
+    for word in ("abab", "cab", "bcbbcb", "zz", "a"):
+        marked = language.BEGIN + word + language.END
+        for n, lang in enumerate(model.languages):
+            likely = sum(
+                math.log(plain_likelihood(expected[lang], model.letters, marked[max(0, at - order + 1) : at + 1]))
+                for at in range(1, len(marked))
+            )
+            assert model.word_scores([word, "xx"])[0, n] == pytest.approx(likely, rel=1e-4)
+
+
+def test_texts_sum_up_their_words():
+    frame = pd.DataFrame(
+        [("aa", size, s, n) for size, table in plain_counts(Counter(WORDS["aa"]), 3).items() for s, n in table.items()],
+        columns=["lang", "size", "sequence", "times"],
+    )
+    model = language.model_from(frame, 3)
+    entropy, _, letters = model.entropies(["lorem, dolor", None, "", "lorem", "123"])
+    scores = model.word_scores(["lorem", "dolor"])[:, 0]
+    assert entropy[0, 0] == pytest.approx(-scores.sum() / 12) and entropy[3, 0] == pytest.approx(-scores[0] / 6)
+    assert letters.tolist() == [10, 0, 0, 5, 0]
+
+
+def test_words():
+    assert language.words_of("Ab, c_d e1f 2g ÉÀ-日本 x") == ["ab", "éà", "日本", "x"]
+    assert language.words_of("a1") == ["a"] and language.words_of("²Ⅷ 12") == []
+    assert language.words_of("𝒜b") == ["𝒜b".lower()] and language.words_of(None) == []
+
+
+def test_predictions_rejection_and_rows(spark):
+    rng = random.Random(1)
+    learn = labelled(rng)
+    texts = odd_texts(rng)
+    more = [(1000 + n, text, None) for n, text in enumerate(texts)]
+    junk = "".join(rng.choices("qxzjvkwyfg", k=900))
+    more += [(2000, prose(rng, "aa", 50) + " " + prose(rng, "bb", 50), "aa"), (2001, junk, "bb"), (None, prose(rng, "bb", 9), "bb")]
+    docs = documents(spark, learn + more + more[-1:], clashing=True)
+    model = language.fitted(docs)
+    assert model.languages == ["aa", "bb"]
+    judged = language.identify(docs, model)
+    got = judged.select("row.*", "lang_pred", "score", judged["rejected"].alias("goes")).collect()
+    assert len(got) == len(learn) + len(more) + 1
+    truth = {n: lang for n, _, lang in learn}
+    for row in got:
+        assert 0 <= row.score <= 1
+        if row.doc_id in truth:
+            assert row.lang_pred == truth[row.doc_id] and not row.goes
+        letters = any(c.isalpha() for c in row.text or "")
+        assert (row.lang_pred == "und") == (not letters)
+        assert letters or row.goes
+    by_id = {r.doc_id: r for r in got}
+    assert not by_id[2000].goes and by_id[2001].goes
+    assert by_id[None].lang_pred == "bb"
+
+
+def test_held_out_rows_and_labels_do_not_matter(spark):
+    rows = labelled(random.Random(2), 90)
+    held = {n for n, _, _ in rows if zlib.crc32(str(n).encode()) % 3 == 1}
+    spoiled = [(n, "qqq www " + text if n in held else text, "bb" if n in held else lang) for n, text, lang in rows]
+    one, two = (language.fitted(documents(spark, docs)) for docs in (rows, spoiled))
+    assert all((a == b).all() for a, b in zip(one.known + one.shares, two.known + two.shares, strict=True))
+
+
+def test_nothing_to_learn_from_and_no_rows(spark):
+    docs = documents(spark, [(0, "some words here", None), (1, None, "aa")])
+    judged = language.identify(docs, language.fitted(docs)).collect()
+    assert [(r.lang_pred, r.score, r.rejected) for r in judged] == [("und", 0.0, True)] * 2
+    empty = documents(spark, [])
+    assert language.identify(empty, language.fitted(empty)).count() == 0
+
+
+def test_the_sample_is_bounded(spark):
+    docs = documents(spark, [(n, f"text {n}", "aa") for n in range(2000)])
+    assert 20 <= language.sample_of(docs, most=50).count() <= 100
+
+
+def test_query_on_rows_never_learned_from(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = QUERIES["op8_kneser_ney"](spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in held]) > 0.98

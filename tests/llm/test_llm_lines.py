@@ -1,0 +1,96 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+from llm_rows import documents, odd_texts
+from pyspark.sql import functions as F
+
+from scorelake.llm import line_dedup
+from scorelake.llm.queries import QUERIES
+
+SPACE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def expected(rows, least=5):
+    """(doc_id, text) to (doc_id, kept text, lines, dropped), by definition; a null id is the smallest."""
+    low = -1
+    docs = defaultdict(set)
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            key = line.strip(SPACE).translate(LOWER)
+            if len(key) >= 40:
+                docs[key].add(low if doc is None else doc)
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = []
+        for line in lines:
+            have = docs.get(line.strip(SPACE).translate(LOWER), ())
+            if len(have) < least or max(have) == (low if doc is None else doc):
+                kept.append(line)
+        out.append((doc, "\n".join(kept) if text is not None else None, len(lines), len(lines) - len(kept)))
+    return Counter(out)
+
+
+def got(docs, **options):
+    rows = line_dedup.dedup(docs, **options).select("row.doc_id", "kept", "n_lines", "n_dropped")
+    return Counter(tuple(r) for r in rows.collect())
+
+
+def test_lines_of_all_kinds(spark):
+    rng = random.Random(1)
+    common = [("Line %d of a passage that many documents share, ß %d" % (n, n)) for n in range(9)]
+    exact = ["x" * 39, "y" * 40, "é" * 39 + "É", "  " + "Z" * 40 + "\t", "z" * 40 + "\r"]
+    rows = [(None, t) for t in odd_texts(rng)[:3]] + [(1000 + n, t) for n, t in enumerate(odd_texts(rng))]
+    for n in range(60):
+        lines = rng.choices(common + exact + ["", " ", "short"], k=rng.randint(0, 12))
+        rows.append((n, "\n".join(line.upper() if rng.random() < 0.3 else line for line in lines)))
+    rows += [rows[-1], rows[-1], (rows[-1][0], common[0] + "\n" + common[0]), (None, common[0]), (None, common[1])]
+    docs = documents(spark, rows, clashing=True)
+    assert got(docs) == expected(rows)
+    assert got(docs, batches=7) == expected(rows)
+    assert got(docs, least_docs=2, batches=1) == expected(rows, 2)
+
+
+def test_four_documents_keep_and_five_lose(spark):
+    line = "this line is long enough to be looked at, it is"
+    assert got(documents(spark, [line] * 4)) == expected([(n, line) for n in range(4)])
+    five = got(documents(spark, [line] * 5))
+    assert five == expected([(n, line) for n in range(5)])
+    assert sum(r[3] * times for r, times in five.items()) == 4
+
+
+def test_runs_are_compacted_level_by_level(spark):
+    store = line_dedup.LineRuns(spark, fan=2)
+    for batch in range(5):
+        rows = spark.createDataFrame([(n % 3, 0, 10 * batch + n) for n in range(6)], "a long, b long, doc long")
+        store.add(rows)
+        held = sum(len(level) * 2**at for at, level in enumerate(store.levels))
+        assert held == batch + 1 and all(len(level) < 2 for level in store.levels)
+    totals = {r.a: (r.docs, r["last"]) for r in line_dedup.merged(store.runs()).collect()}
+    assert totals == {a: (10, 40 + 3 + a) for a in range(3)}
+    assert store.frequent(11).count() == 0
+
+
+def test_cutting_lines_out(spark):
+    for lines in (["a"], ["a", "b", "c", "d"], [""]):
+        for mask in range(1 << len(lines)):
+            numbers = [n for n in range(len(lines)) if mask >> n & 1]
+            frame = spark.createDataFrame([(lines, numbers)], "lines array<string>, numbers array<int>")
+            kept = frame.select(line_dedup.without(F.col("lines"), F.col("numbers")).alias("kept")).first().kept
+            assert kept == [line for n, line in enumerate(lines) if n not in numbers]
+
+
+def test_no_rows(spark):
+    assert line_dedup.dedup(documents(spark, [])).count() == 0
+
+
+def test_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    rows = QUERIES["op9_line_runs"](spark, "/root/testdata/sf0.001").collect()
+    found = Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in rows)
+    assert found == Counter({
+        (doc, lines, dropped, hashlib.sha256((kept or "").encode()).hexdigest()): times
+        for (doc, kept, lines, dropped), times in expected(docs).items()
+    })

@@ -1,0 +1,128 @@
+import random
+import re
+from collections import Counter
+from datetime import date, timedelta
+
+from llm_rows import documents, odd_texts
+
+from scorelake.llm import pseudonyms as ps
+from scorelake.llm.queries import QUERIES
+
+KEY = b"test key"
+
+
+def one(text):
+    safe, spans = ps.pseudonymised(text, KEY)
+    return safe, [(kind, safe[start : start + length]) for kind, start, length in spans]
+
+
+def luhn(digits):
+    total = 0
+    for at, c in enumerate(reversed(digits)):
+        value = int(c) * (1 + at % 2)
+        total += value // 10 + value % 10
+    return total % 10 == 0
+
+
+def test_permutations_are_permutations():
+    for size in (1, 2, 10, 97, 1000):
+        assert sorted(ps.Permutation(KEY, "x", size).of(n) for n in range(size)) == list(range(size))
+    allowed = lambda n: n % 3 > 0
+    inside = [n for n in range(500) if allowed(n)]
+    assert sorted(ps.Permutation(KEY, "x", 500).of(n, allowed) for n in inside) == inside
+    assert [ps.Permutation(b"other", "x", 500).of(n) for n in range(9)] != [ps.Permutation(KEY, "x", 500).of(n) for n in range(9)]
+
+
+def test_cards_keep_their_check_digit_and_form():
+    for card in ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "378282246310005", "3782 822463 10005"):
+        safe, spans = one(f"pay {card}, now")
+        (kind, value), = spans
+        assert kind == "card" and re.sub(r"\d", "9", value) == re.sub(r"\d", "9", card) and value != card
+        assert luhn(re.sub(r"\D", "", value)) and safe == f"pay {value}, now"
+    forms = {re.sub(r"\D", "", one(c)[0]) for c in ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111")}
+    assert len(forms) == 1
+    assert one("4111 1111 1111 1112 is none") == ("4111 1111 1111 1112 is none", [])
+
+
+def test_dates_stay_dates_of_their_form():
+    rng = random.Random(1)
+    seen = {}
+    for _ in range(300):
+        day = date(1900, 1, 1) + timedelta(days=rng.randrange(73_000))
+        (_, iso), = one(f"born {day.isoformat()}.")[1]
+        date.fromisoformat(iso)
+        seen[day] = iso
+        (_, dotted), = one(f"{day.day:02d}.{day.month:02d}.{day.year}")[1]
+        assert "-".join(reversed(dotted.split("."))) == iso
+        (_, slashed), = one(f"{day.month}/{day.day}/{day.year}")[1]
+        month, dom, year = map(int, slashed.split("/"))
+        assert date(year, month, dom).isoformat() == iso
+        if day.day > 12:
+            (_, british), = one(f"{day.day}/{day.month}/{day.year}")[1]
+            dom, month, year = map(int, british.split("/"))
+            assert dom > 12 and date(year, month, dom)
+    assert len(set(seen.values())) == len(seen)
+    for none in ("2023-02-29", "1899-12-31", "31.04.2020", "13/13/2020", "2020-1-1", "1.2.3.4.5"):
+        assert one(none) == (none, [])
+
+
+def test_other_kinds():
+    for text, kind, form in (
+        ("078-05-1120", "ssn", r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}"),
+        ("10.0.255.1", "ip", r"(\d{1,3}\.){3}\d{1,3}"),
+        ("+1 (017) 555-7713", "phone", r"\+1 \(\d{3}\) \d{3}-\d{4}"),
+        ("555-123-4567", "phone", r"\d{3}-\d{3}-\d{4}"),
+        ("+49 30 1234 5678", "phone", r"\+49 \d\d \d{4} \d{4}"),
+        ("DE89 3704 0044 0532 0130 00", "iban", r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d"),
+        ("Jo.Doe+x9@mail7.example.com", "email", r"[A-Z][a-z]\.[A-Z][a-z]{2}\+[a-z]\d@[a-z]{4}\d\.[a-z]{7}\.com"),
+        ("renée.3@b.fr", "email", r"[a-z]{3}[^\W\d_a-z][a-z]\.\d@[a-z]\.fr"),
+    ):
+        safe, ((found, value),) = one(f"x {text} y")
+        assert found == kind and re.fullmatch(form, value) and value != text and safe == f"x {value} y", (text, safe)
+    (_, iban), = one("GB82WEST12345698765432")[1]
+    assert ps._remainder(iban[4:] + iban[:4]) == 1
+    safe, ((kind, value),) = one('token = "b44e15e09fd311c3cf31" end')
+    assert kind == "secret" and re.fullmatch("[a-z0-9]{20}", value) and safe == f'token = "{value}" end'
+    for none in ("000-12-3456", "256.1.1.1", "1.2.3.4.5", "DE00 3704 0044 0532 0130 00", "a@b", "in 2023 and 12345 more", "v1.2.3"):
+        assert one(none) == (none, [])
+
+
+def test_linked_and_distinct():
+    rng = random.Random(2)
+    mails = [f"u{n}.{rng.randrange(99)}@mail{n % 9}.example.com" for n in range(500)]
+    safe = [one(m)[0] for m in mails]
+    assert len(set(safe)) == len(set(mails)) and not set(safe) & set(mails)
+    assert [one(f"write {m}!")[1][0][1] for m in mails] == safe
+
+
+def test_rows(spark):
+    texts = odd_texts(random.Random(3)) + ["a@b.org a@b.org", "call 555-123-4567", "1" * 60_000, "a" * 60_000 + "@", "1." * 30_000]
+    docs = documents(spark, texts, clashing=True)
+    got = ps.pseudonymise(docs, KEY).select("row.doc_id", "row.part", "safe", "spans").collect()
+    assert len(got) == len(texts)
+    for row in got:
+        text = texts[row.doc_id]
+        assert row.safe == (None if text is None else ps.pseudonymised(text, KEY)[0]) and row.part == "part"
+        assert [len(row.safe[s.start : s.start + s.length]) for s in row.spans] == [s.length for s in row.spans]
+    repeated = documents(spark, [(1, "a@b.org"), (1, "a@b.org"), (None, "a@b.org")])
+    assert len({r.safe for r in ps.pseudonymise(repeated, KEY).collect()}) == 1
+    assert ps.pseudonymise(documents(spark, []), KEY).count() == 0
+    assert ps.pseudonymise(documents(spark, ["a@b.org"]).select("text"), KEY).first().safe != "a@b.org"
+
+
+def test_query_leaves_no_value_and_touches_nothing_else(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    value = re.compile(r"[\w.]+@[\w.]+\w|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d+\.\d+\.\d+\.\d+")
+    kinds = Counter()
+    for row in QUERIES["op5_feistel_pseudonyms"](spark, "/root/testdata/sf0.01").collect():
+        kinds.update(s.kind for s in row.spans)
+        old, at = texts[row.doc_id], 0
+        for found in value.findall(old):
+            assert found not in row.text
+        for span in row.spans:  # what lies between is as it was
+            between = row.text[at : span.start]
+            assert between in old
+            at = span.start + span.length
+        if not row.spans:
+            assert row.text == old
+    assert {"email", "phone", "ip", "card"} <= kinds.keys()
