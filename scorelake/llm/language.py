@@ -78,7 +78,7 @@ def sequence_hashes(points: np.ndarray, order: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         for back in range(order):
             shifted = np.zeros(len(points), np.uint64)
-            shifted[back:] = points[: len(points) - back]
+            shifted[back:] = points[: max(len(points) - back, 0)]
             total = total * MULTIPLIER + shifted + np.uint64(1)
         return _mixed(total + np.uint64(order))
 
@@ -241,6 +241,8 @@ def model_from(counts, order: int = ORDER) -> Model:
     column = {language: n for n, language in enumerate(languages)}
     letters = max(2, counts.loc[counts["size"] == 1, "sequence"].nunique())
     model = Model(languages, letters, [], [], [], [])
+    if not languages:
+        return model
     for size in range(1, order + 1):
         shares: dict[str, np.ndarray] = {}
         weights: dict[str, np.ndarray] = {}

@@ -87,6 +87,7 @@ def test_texts_sum_up_their_words():
     scores = model.word_scores(["lorem", "dolor"])[:, 0]
     assert entropy[0, 0] == pytest.approx(-scores.sum() / 12) and entropy[3, 0] == pytest.approx(-scores[0] / 6)
     assert letters.tolist() == [10, 0, 0, 5, 0]
+    assert model.entropies(["x"])[0].shape == (1, 1)
 
 
 def test_words():
