@@ -26,6 +26,8 @@ HEADLINE = [
     "partition_replace",
     "json_page_scan",
     "bronze_games",
+    "land_and_load",
+    "agg_brands_lines",
     "end_to_end_load",
 ]
 

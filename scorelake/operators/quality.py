@@ -55,6 +55,11 @@ def unseen_consoles(mapping: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def unseen_in_mart(mapping: DataFrame, consoles: DataFrame) -> DataFrame:
+    """``unseen_consoles`` from the console mart, which has each listed console of the mapping."""
+    return mapping.select("console_name").join(consoles, "console_name", "left_anti")
+
+
 def key_checks(
     table: DataFrame, name: str, key: str, required: Sequence[str] = ()
 ) -> DataFrame:
@@ -104,12 +109,16 @@ def mapping_checks(mapping: DataFrame, brands: Sequence[str]) -> DataFrame:
     )
 
 
+def game_checks(silver: DataFrame) -> DataFrame:
+    return key_checks(silver, "silver_games", "game_id", ["metacritic_score"])
+
+
+def coverage_check(unseen: DataFrame) -> DataFrame:
+    return count_check(unseen, "coverage", "console_mapping", "console_name")
+
+
 def silver_checks(silver: DataFrame, mapping: DataFrame) -> DataFrame:
-    return key_checks(silver, "silver_games", "game_id", ["metacritic_score"]).union(
-        count_check(
-            unseen_consoles(mapping, silver), "coverage", "console_mapping", "console_name"
-        )
-    )
+    return game_checks(silver).union(coverage_check(unseen_consoles(mapping, silver)))
 
 
 def mart_checks(brands: DataFrame, consoles: DataFrame) -> DataFrame:

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from scorelake.operators.games import games_by_console, to_silver
 from scorelake.operators.marts import brand_mart, console_mart
-from scorelake.operators.quality import gate, mapping_checks, mart_checks, silver_checks
+from scorelake.operators.quality import (
+    coverage_check,
+    game_checks,
+    gate,
+    mapping_checks,
+    mart_checks,
+    unseen_in_mart,
+)
 from scorelake.seeds import BRANDS, HIGHLY_RATED_THRESHOLD
 from scorelake.sources import storage
 from scorelake.sources.layout import Build, Layout
@@ -59,14 +66,16 @@ def _build(
     # Bronze already lies by month, so rows go out again without a shuffle.
     write_months(to_silver(read_bronze(spark, layout.bronze)), build.silver)
     silver = read_silver(spark, build.silver)
-    checks = gate(silver_checks(silver, mapping))
+    checks = gate(game_checks(silver))
 
     # The exploded rows cost less to derive twice than to keep.
     by_console = games_by_console(silver, mapping)
     write_mart(brand_mart(by_console, threshold), build.gold, BRAND_MART)
     write_mart(console_mart(by_console, threshold), build.gold, CONSOLE_MART)
-    marts = (read_mart(spark, build.gold, name) for name in (BRAND_MART, CONSOLE_MART))
-    return checks + gate(mart_checks(*marts))
+    brands, consoles = (read_mart(spark, build.gold, name) for name in (BRAND_MART, CONSOLE_MART))
+    # The finished mart tells which consoles are listed; silver is not scanned for that.
+    coverage = coverage_check(unseen_in_mart(mapping, consoles))
+    return checks + gate(coverage.union(mart_checks(brands, consoles)))
 
 
 def current_build(spark: SparkSession, layout: Layout) -> Build | None:

@@ -390,10 +390,12 @@ def dq_coverage(spark, folder):
 def dq_summary(spark, folder):
     silver, mapping = _silver(spark, folder), feed.console_mapping(spark, folder)
     by_console = ops.games_by_console(silver, mapping)
+    consoles = marts.console_mart(by_console)
     return quality.all_checks(
         quality.mapping_checks(mapping, feed.BRAND_ORDER),
-        quality.silver_checks(silver, mapping),
-        quality.mart_checks(marts.brand_mart(by_console), marts.console_mart(by_console)),
+        quality.game_checks(silver),
+        quality.coverage_check(quality.unseen_in_mart(mapping, consoles)),
+        quality.mart_checks(marts.brand_mart(by_console), consoles),
     )
 
 

@@ -2,6 +2,8 @@ import pytest
 from helpers import silver
 
 from scorelake.operators import quality
+from scorelake.operators.games import games_by_console
+from scorelake.operators.marts import console_mart
 from scorelake.seeds import BRANDS, CONSOLE_MAPPING, console_mapping
 
 ALL_NAMES = [row[0] for row in CONSOLE_MAPPING]
@@ -53,6 +55,9 @@ def test_silver_failures(spark):
     assert [tuple(row) for row in quality.repeated_values(table, "game_id").collect()] == [("a", 2)]
     unseen = quality.unseen_consoles(console_mapping(spark), table).collect()
     assert [row.console_name for row in unseen] == ["PlayStation 5"]
+    mart = console_mart(games_by_console(table, console_mapping(spark)))
+    in_mart = quality.unseen_in_mart(console_mapping(spark), mart).collect()
+    assert [row.console_name for row in in_mart] == ["PlayStation 5"]
 
 
 def test_an_empty_table_passes_key_checks(spark):
