@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,7 +72,8 @@ def marked_pages(
 ) -> DataFrame:
     """Pages with ``bad``: no JSON, no list of results, or a game that does not fit the schema.
 
-    ``documents`` has each game's own JSON text, with the fields outside the schema.
+    ``documents`` has each game's own JSON text, with the fields outside the schema, and
+    ``games`` says how many there are.
     """
     there = raw_months(spark, raw)
     wanted = there if months is None else sorted(set(there) & set(months))
@@ -87,9 +88,10 @@ def marked_pages(
     checked = T.StructType([*form.game.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     texts = F.transform("results", lambda game: F.to_json(game))
-    read = pages.select("downloaded_at", texts.alias("documents"), CORRUPT, "date").withColumn(
-        "read", F.transform("documents", lambda text: F.from_json(text, checked, options))
-    )
+    games = F.coalesce(F.array_size("results"), F.lit(0)).cast("bigint")
+    read = pages.select(
+        "downloaded_at", games.alias("games"), texts.alias("documents"), CORRUPT, "date"
+    ).withColumn("read", F.transform("documents", lambda text: F.from_json(text, checked, options)))
     bad = (
         F.col(CORRUPT).isNotNull()
         | F.col("documents").isNull()
@@ -99,6 +101,7 @@ def marked_pages(
         "downloaded_at",
         F.transform("read", lambda one: one.dropFields(CORRUPT)).alias("results"),
         "documents",
+        "games",
         F.coalesce(bad, F.lit(True)).alias("bad"),
         "date",
     )
@@ -185,11 +188,5 @@ def write_pages(
 
 
 def game_counts(pages: DataFrame) -> DataFrame:
-    """How many games the pages of each month hold."""
-    return pages.groupBy(F.col("date").alias("month")).agg(
-        F.sum(_size(F.col("documents"))).alias("games")
-    )
-
-
-def _size(entries: Column) -> Column:
-    return F.coalesce(F.array_size(entries), F.lit(0)).cast("bigint")
+    """How many games the marked pages of each month hold; their fields are not looked at."""
+    return pages.groupBy(F.col("date").alias("month")).agg(F.sum("games").alias("games"))
