@@ -64,9 +64,10 @@ def numbered(frame: DataFrame, order: list[str], into: str, name: str) -> tuple[
 
     A range sort deals the rows out; rows that are equal in ``order`` are told apart by where
     they were read, so a value that a third of all rows share is spread like any other. Only
-    one count for each partition is brought together. Keep ``frame`` narrow: it is sorted.
+    one count for each partition is brought together. Keep ``frame`` narrow: it is written before
+    it is sorted, as a range sort reads its input twice.
     """
-    told_apart = frame.withColumn("_tie", F.monotonically_increasing_id())
+    told_apart = saved(frame.withColumn("_tie", F.monotonically_increasing_id()), f"{name}-rows")
     keys = [*order, "_tie"]
     placed = saved(
         told_apart.repartitionByRange(*keys)
