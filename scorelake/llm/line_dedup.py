@@ -104,7 +104,9 @@ def dropped_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, batches: int =
     store = LineRuns(docs.sparkSession)
     for batch in range(batches):
         store.add(lines.filter(F.col("batch") == batch))
-    found = lines.join(store.frequent(least_docs), ["a", "b"]).filter(F.col("doc") < F.col("last"))
+    # Both sides are tables, so that adaptive execution can split the rows of a hot line.
+    frequent = saved(store.frequent(least_docs), "frequent-lines")
+    found = lines.join(frequent, ["a", "b"]).filter(F.col("doc") < F.col("last"))
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
 
 
