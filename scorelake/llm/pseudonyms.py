@@ -9,6 +9,10 @@ documents, however they are punctuated, and different values different ones; wit
 they cannot be turned back. E-mail addresses and secrets in assignments are no numbers but are
 permuted the same way, letter for letter and digit for digit; an address keeps its last label.
 
+A pattern may take in a word or number that follows. An IBAN or telephone number that is not valid
+as found is tried with shorter ends between its groups, an IBAN first with its country's length;
+where nothing is valid, the search goes on one character behind the candidate's start.
+
 Defined results: a null text stays null and an empty one empty, without values; text without a
 valid value is returned as it is; repeated values and rows get the same pseudonyms; texts are
 searched whole; the rows' other columns are kept whatever their names.
@@ -51,6 +55,18 @@ PATTERN = re.compile(
     """,
     re.VERBOSE,
 )
+#: Characters of an IBAN by country; others are found by their remainder alone.
+IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+BORDER = re.compile("[ .-]")
 SOME = re.compile(r"[0-9@]|(?i:token|secret|passw|key)")
 
 
@@ -210,22 +226,38 @@ def _secret(key: bytes, text: str) -> str:
 KINDS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "ip": _ip, "date": _date, "phone": _phone}
 
 
+def _readings(kind: str, text: str) -> list[str]:
+    """The candidate, and what is left of it when groups at its end belong to something else."""
+    if kind not in ("iban", "phone"):
+        return [text]
+    found = [text, *(text[: border.start()] for border in reversed(list(BORDER.finditer(text))))]
+    if kind == "iban":
+        size = IBAN_SIZES.get(text[:2])
+        found.sort(key=lambda reading: len(reading.replace(" ", "")) != size)
+    return found
+
+
 def pseudonymised(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, length) of each in the new text."""
-    parts, spans, done, size = [], [], 0, 0
-    for match in PATTERN.finditer(text):
+    parts, spans, done, size, at = [], [], 0, 0, 0
+    while match := PATTERN.search(text, at):
         kind = match.lastgroup if match.lastgroup in KINDS else next(k for k in (*KINDS, "secret") if match[k] is not None)
         if kind == "secret":
-            start, value = match.start("hidden"), _secret(key, match["hidden"])
+            start, end, value = match.start("hidden"), match.end(), _secret(key, match["hidden"])
         else:
-            start, value = match.start(), KINDS[kind](key, match[0])
+            start = match.start()
+            for reading in _readings(kind, match[0]):
+                end, value = start + len(reading), KINDS[kind](key, reading)
+                if value is not None:
+                    break
         if value is None:
+            at = start + 1
             continue
         parts += [text[done:start], value]
         size += start - done
         spans.append((kind, size, len(value)))
         size += len(value)
-        done = match.end()
+        at = done = end
     return "".join([*parts, text[done:]]), spans
 
 

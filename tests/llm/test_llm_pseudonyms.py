@@ -87,6 +87,33 @@ def test_other_kinds():
         assert one(none) == (none, [])
 
 
+def test_values_with_words_or_numbers_behind_them():
+    for iban in (
+        "AT611904300234573201", "AT61 1904 3002 3457 3201", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332",
+        "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00",
+    ):
+        alone, = one(iban)[1]
+        assert ps._remainder(alone[1].replace(" ", "")[4:] + alone[1][:4]) == 1 and alone[1] != iban
+        for behind in ("", " BIC", " USD", " 2024", " BANK WIEN 2024", " A", " 12 34"):
+            assert one(f"to {iban}{behind}.") == (f"to {alone[1]}{behind}.", [alone])
+    # No country has this prefix: its end is found by the remainder.
+    check = 98 - ps._remainder("2100041845020005XX00")
+    alone, = one(f"XX{check:02d} 2100 0418 4502 0005")[1]
+    assert one(f"XX{check:02d} 2100 0418 4502 0005 2024")[1] == [alone]
+    phone, = one("+49 30 1234 5678")[1]
+    assert one("+49 30 1234 5678 2024")[1] == [phone]
+
+
+def test_values_inside_candidates_that_are_not_valid():
+    card, = one("4111 1111 1111 1111")[1]
+    assert one("AB12 4111 1111 1111 1111") == (f"AB12 {card[1]}", [card])
+    assert one("2024 4111 1111 1111 1111") == (f"2024 {card[1]}", [card])
+    iban, = one("AT61 1904 3002 3457 3201")[1]
+    assert one("NR12 AT61 1904 3002 3457 3201 BIC") == (f"NR12 {iban[1]} BIC", [iban])
+    phone, = one("555-123-4567")[1]
+    assert one("AB12 3456 7890 1234 555-123-4567")[1] == [phone]
+
+
 def test_linked_and_distinct():
     rng = random.Random(2)
     mails = [f"u{n}.{rng.randrange(99)}@mail{n % 9}.example.com" for n in range(500)]
