@@ -9,6 +9,12 @@ documents, however they are punctuated, and different values different ones; wit
 they cannot be turned back. E-mail addresses and secrets in assignments are no numbers but are
 permuted the same way, letter for letter and digit for digit; an address keeps its last label.
 
+Forms that are covered: dates as 2024-01-31, also before a time ('T' and digits), 31.1.2024 and
+1/31/2024; telephone numbers as 555-123-4567, (555) 123-4567 with or without a country code, and
+after '+' and the country code any three to five groups of two to four digits, before which one
+single digit may stand (+33 6 12 34 56 78); cards in fours, as 4-6-5 or unbroken; IBANs in capital
+letters, in fours or unbroken. National numbers of other forms and dates in words are not looked for.
+
 A pattern may take in a word or number that follows. An IBAN or telephone number that is not valid
 as found is tried with shorter ends between its groups, an IBAN first with its country's length;
 where nothing is valid, the search goes on one character behind the candidate's start.
@@ -49,9 +55,10 @@ PATTERN = re.compile(
     |(?P<card>(?<![\w.-])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-]))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     |(?P<ip>(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d))
-    |(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<mark>[/.])\d{1,2}(?P=mark)\d{4})(?!\w|[/-]\d))
+    |(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}(?=[Tt]\d)|(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<mark>[/.])\d{1,2}(?P=mark)\d{4})(?!\w|[/-]\d)))
     |(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w)
-        |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\w))
+        |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\w)
+        |(?<![\w+])\+\d{1,3}[ .-]?\d(?:[ .-]?\d{2,4}){3,5}(?!\w))
     """,
     re.VERBOSE,
 )

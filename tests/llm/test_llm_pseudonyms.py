@@ -114,6 +114,22 @@ def test_values_inside_candidates_that_are_not_valid():
     assert one("AB12 3456 7890 1234 555-123-4567")[1] == [phone]
 
 
+def test_dates_before_a_time_and_single_first_digits():
+    day, = one("2024-01-02")[1]
+    for behind in ("T10:11:12Z", "T10:11:12.345+01:00", "t10:11", " 10:11:12"):
+        assert one(f"at 2024-01-02{behind}, x") == (f"at {day[1]}{behind}, x", [day])
+    for none in ("2023-02-29T10:11:12Z", "2024-01-02Tx", "2024-01-02x", "2024-01-02-03"):
+        assert one(none) == (none, [])
+    digits = set()
+    for phone in ("+33 6 12 34 56 78", "+33.6.12.34.56.78", "+33-6-12-34-56-78", "+33612345678", "+33 612 345 678"):
+        (kind, value), = one(f"tel {phone}, x")[1]
+        assert kind == "phone" and value != phone and re.sub(r"\d", "9", value) == re.sub(r"\d", "9", phone)
+        digits.add(re.sub(r"\D", "", value))
+    assert len(digits) == 1
+    (kind, value), = one("+32 2 123 45 67")[1]
+    assert kind == "phone" and re.fullmatch(r"\+\d\d \d \d{3} \d\d \d\d", value) and value != "+32 2 123 45 67"
+
+
 def test_linked_and_distinct():
     rng = random.Random(2)
     mails = [f"u{n}.{rng.randrange(99)}@mail{n % 9}.example.com" for n in range(500)]
