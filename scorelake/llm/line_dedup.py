@@ -1,12 +1,17 @@
 """Line dedup on levelled sorted runs of line hashes.
 
 A store holds runs: tables of (line hash, documents that have the line, largest of them), sorted
-by hash and dealt out by it. Adding a batch of documents writes one run on level 0. When a level
-has ``FAN`` runs, they are compacted into one run on the next level, so a line's numbers are
-merged again only once per level. Looking a batch up merges the runs' numbers for the batch's
-hashes: a line found in ``LEAST_DOCS`` documents or more, which is not in the largest of them, is
-to be dropped. ``dedup`` adds all batches first, so that every document is held against all
-others; a crawl that arrives over time can add and look up one batch after the other.
+by hash and dealt out by it. A batch of documents is looked up in the runs first: each run is
+joined with the batch's own hashes, and only rows of the run that the batch has go on, so that
+the batch learns which of its lines ``LEAST_DOCS`` documents or more have by now. Then its own
+numbers become a run on level 0. When a level has ``FAN`` runs, they are compacted into one run on
+the next level, so a line's numbers are merged again only once per level. (Spark's joins deal the
+runs out and sort them again; they do not rely on the order in the files.)
+
+A frequent line is dropped from every document but the largest that has it. Numbers only grow, so
+what a batch drops stays dropped; later batches can make more of its lines frequent. A line's
+last batch sees its final numbers, hence ``dedup`` joins what all look-ups found in a final pass,
+which holds every document against all others without merging the runs.
 
 A line's key is the line stripped of ASCII white space with A-Z in lower case; only keys of at
 least ``LEAST_POINTS`` code points count. Keys are compared by two 64-bit hashes. A hot line is
@@ -61,21 +66,37 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fan: int = FAN):
         self.spark, self.fan, self.levels, self.written = spark, fan, [], 0
 
-    def _write(self, stats: DataFrame, level: int) -> None:
+    def _run(self, stats: DataFrame) -> DataFrame:
+        self.written += 1
+        return saved(stats.sortWithinPartitions("a", "b"), f"line-run-{self.written}")
+
+    def _place(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.written += 1
-        run = saved(stats.sortWithinPartitions("a", "b"), f"line-run-{self.written}")
         self.levels[level].append(run)
         if len(self.levels[level]) == self.fan:
             full, self.levels[level] = self.levels[level], []
-            self._write(merged(full), level + 1)
+            self._place(self._run(merged(full)), level + 1)
 
     def add(self, lines: DataFrame) -> None:
         """A batch's lines (a, b, doc) as a run. No document may be in two batches."""
-        per_document = lines.groupBy("a", "b", "doc").agg(F.lit(1).alias("one"))
-        run = per_document.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
-        self._write(run, 0)
+        self._place(self._run(numbers_of(lines)), 0)
+
+    def look_up(self, hashes: DataFrame) -> list[DataFrame]:
+        """Of each run the rows whose (a, b) is among the hashes."""
+        return [run.join(hashes.select("a", "b"), ["a", "b"], "left_semi") for run in self.runs()]
+
+    def take(self, lines: DataFrame, least_docs: int) -> DataFrame:
+        """Looks a batch's lines (a, b, doc) up and adds them. No document may be in two batches.
+
+        Returns those (a, b, last) of its lines that ``least_docs`` documents of this and the
+        batches before have.
+        """
+        own = self._run(numbers_of(lines))
+        known = merged([own, *self.look_up(own)])
+        frequent = saved(known.filter(F.col("docs") >= least_docs).select("a", "b", "last"), "batch-frequent")
+        self._place(own, 0)
+        return frequent
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -85,6 +106,12 @@ class LineRuns:
         return merged(self.runs()).filter(F.col("docs") >= least_docs).select("a", "b", "last")
 
 
+def numbers_of(lines: DataFrame) -> DataFrame:
+    """For each (a, b) the number of documents, and the largest, of lines (a, b, doc)."""
+    per_document = lines.groupBy("a", "b", "doc").agg(F.lit(1).alias("one"))
+    return per_document.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
+
+
 def merged(runs: list[DataFrame]) -> DataFrame:
     rows = runs[0]
     for run in runs[1:]:
@@ -102,10 +129,12 @@ def dropped_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, batches: int =
     )
     lines = saved(lines, "lines")
     store = LineRuns(docs.sparkSession)
-    for batch in range(batches):
-        store.add(lines.filter(F.col("batch") == batch))
+    found = [store.take(lines.filter(F.col("batch") == batch), least_docs) for batch in range(batches)]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionAll(one)
     # Both sides are tables, so that adaptive execution can split the rows of a hot line.
-    frequent = saved(store.frequent(least_docs), "frequent-lines")
+    frequent = saved(every.groupBy("a", "b").agg(F.max("last").alias("last")), "frequent-lines")
     found = lines.join(frequent, ["a", "b"]).filter(F.col("doc") < F.col("last"))
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
 

@@ -73,6 +73,33 @@ def test_runs_are_compacted_level_by_level(spark):
     assert store.frequent(11).count() == 0
 
 
+def test_each_batch_is_looked_up_before_it_is_added(spark):
+    rng = random.Random(2)
+    store, have = line_dedup.LineRuns(spark, fan=2), defaultdict(set)
+    for batch in range(5):
+        rows = [(rng.randrange(12), 0, 10 * batch + rng.randrange(10)) for _ in range(8)]
+        before = len(store.runs())
+        for a, _, doc in rows:
+            have[a].add(doc)
+        hashes = spark.createDataFrame(rows, "a long, b long, doc long")
+        looked = store.look_up(hashes)
+        assert len(looked) == before and all({r.a for r in run.collect()} <= {a for a, _, _ in rows} for run in looked)
+        found = {r.a: r["last"] for r in store.take(hashes, 3).collect()}
+        assert found == {a: max(have[a]) for a, _, _ in rows if len(have[a]) >= 3}
+        assert sum(len(level) * 2**at for at, level in enumerate(store.levels)) == batch + 1
+
+
+def test_dedup_takes_batch_after_batch_and_merges_no_store(spark, monkeypatch):
+    taken = []
+    take = line_dedup.LineRuns.take
+    monkeypatch.setattr(line_dedup.LineRuns, "take", lambda *given: taken.append(len(given[0].runs())) or take(*given))
+    monkeypatch.setattr(line_dedup.LineRuns, "frequent", None)
+    lines = ["line %d that is long enough to be looked at, it is" % n for n in range(6)]
+    rows = [(n, "\n".join(lines[n % 3 : n % 6 + 1])) for n in range(40)]
+    assert got(documents(spark, rows)) == expected(rows)
+    assert taken == [0, 1, 1, 2]
+
+
 def test_cutting_lines_out(spark):
     for lines in (["a"], ["a", "b", "c", "d"], [""]):
         for mask in range(1 << len(lines)):
