@@ -1,15 +1,27 @@
 """Fixity audit of WARC replicas by Merkle trees.
 
 A page is a WARC record; records lie in files, in order, at offsets. Of each record only its
-address, length and digest are kept. A leaf of the tree hashes these; above, a node hashes up to
-``FAN`` children, which are an unbroken range of offsets, until one root is left. The audit
-compares the roots of two replicas and goes down only below nodes that differ, level by level,
-to the records that are altered or lost. Each level is a table a sixteenth the size of the one
-below; a node never has more than ``FAN`` children, so no group is hot.
+address, length and digest are kept. Each replica is laid out from its own records, so behind a
+lost or cut record its positions and offsets are others than in the first one. Trees are
+therefore aligned by page_id: a leaf covers the records of one id, a node above covers a fixed
+range of ``FAN`` times as many ids, which in either archive is an unbroken range of offsets. A loss
+changes the nodes above its id and no others.
+
+A node has two hashes: ``placed`` over files and offsets as they are, and ``hash`` over how far each
+offset is from the end of the records before it in its file. Nodes differ if both do: a record
+that stays where it was is in place, and so is one that moved up only because its file did. The
+audit compares the tops of two trees and goes down only below nodes that differ, level by level.
+Records of an id that differs are paired with equal ones first, others in their order.
+
+Ids may be sparse: the trees have a level for each power of ``FAN`` in the span of ids, sixteen at
+most, each with no more nodes than the one below; where ids are dense, a sixteenth. A node never
+has more than ``FAN`` children, and the records of an id are added up as numbers, in each task
+first, so no group is hot.
 
 Defined results: null addresses and bodies count as empty; pages that are equal in all columns
-are records of their own; pages without id come first; two empty archives agree; a record that
-only one side has is ``lost`` or ``extra``; other columns are not looked at.
+are records of their own; pages without id come first, as one leaf; two empty archives agree; a
+record that only one side has is ``lost`` or ``extra``; ``position``, ``file`` and ``offset`` are those
+in the first archive, for extra records in the second; other columns are not looked at.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +29,10 @@ from pyspark.sql import functions as F
 
 from scorelake.llm.common import numbered, saved
 
-FAN = 16
+FAN_BITS = 4
+FAN = 1 << FAN_BITS
+#: Below all ids: the leaf of records without one, unless ids begin higher.
+NO_ID = -(2**63)
 #: Records of a file: a node two levels above the leaves.
 FILE_RECORDS = FAN * FAN
 
@@ -55,20 +70,51 @@ def laid_out(rows: DataFrame, length: str) -> DataFrame:
     return placed.withColumn("offset", F.coalesce(F.sum(length).over(before), F.lit(0)))
 
 
-def tree(records: DataFrame, levels: int) -> list[DataFrame]:
-    """The levels (node, hash) from the leaves to the root of records (position, offset, length, sha256)."""
-    leaf = F.sha2(F.concat_ws(":", "file", "offset", "length", "sha256").cast("binary"), 256)
-    nodes = [saved(records.select(F.col("position").alias("node"), leaf.alias("hash")), "tree-0")]
+def leaf_hashes(records: DataFrame) -> DataFrame:
+    """Adds each record's hash ``packed`` by its distance from the records before it in its file,
+    and ``placed`` by its file and offset."""
+    # A file holds FILE_RECORDS records at most.
+    before = Window.partitionBy("file").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    slack = F.col("offset") - F.coalesce(F.sum("length").over(before), F.lit(0))
+    of = lambda *parts: F.sha2(F.concat_ws(":", *parts).cast("binary"), 256)
+    return records.withColumn("packed", of(slack, "length", "sha256")).withColumn("placed", of("file", "offset", "length", "sha256"))
+
+
+def _summed(name: str) -> Column:
+    """The sum of all hashes of a group, in pieces of 60 bits; no order, no list."""
+    pieces = [F.conv(F.substring(name, 1 + 15 * n, 15), 16, 10).cast("decimal(20,0)") for n in range(4)]
+    return F.sha2(F.concat_ws(":", F.count(F.lit(1)), *(F.sum(piece) for piece in pieces)).cast("binary"), 256)
+
+
+def tree(records: DataFrame, levels: int, no_id: int = NO_ID) -> list[DataFrame]:
+    """The levels (node, hash, placed) from the leaves upward of records (page_id, position, file, offset, length, sha256)."""
+    by_id = leaf_hashes(records).groupBy(F.coalesce("page_id", F.lit(no_id)).alias("node"))
+    leaves = by_id.agg(_summed("packed").alias("hash"), _summed("placed").alias("placed"))
+    nodes = [saved(leaves, "tree-0")]
     for level in range(1, levels + 1):
-        children = F.array_sort(F.collect_list(F.struct("node", "hash")))  # FAN at most
-        spelled = F.transform(children, lambda child: F.concat_ws(":", child["node"].cast("string"), child["hash"]))
-        parent = F.floor(F.col("node") / FAN).cast("long").alias("parent")
-        above = nodes[-1].select("node", "hash", parent).groupBy("parent")
-        above = above.agg(F.sha2(F.array_join(spelled, ",").cast("binary"), 256).alias("hash"))
+        children = F.array_sort(F.collect_list(F.struct("node", "hash", "placed")))  # FAN at most
+
+        def spelled(name, children=children):
+            parts = F.transform(children, lambda child: F.concat_ws(":", child["node"].cast("string"), child[name]))
+            return F.sha2(F.array_join(parts, ",").cast("binary"), 256).alias(name)
+
+        above = nodes[-1].groupBy(_parent().alias("parent")).agg(spelled("hash"), spelled("placed"))
         nodes.append(saved(above.withColumnRenamed("parent", "node"), f"tree-{level}"))
     return nodes
 
 
+def _parent() -> Column:
+    return F.shiftright("node", FAN_BITS)
+
+
+def levels_over(first: int, last: int) -> int:
+    """Levels above the leaves until one or two neighbours at the top cover all ids."""
+    levels = 1
+    while (last >> FAN_BITS * levels) - (first >> FAN_BITS * levels) > 1 and levels < 64 // FAN_BITS:
+        levels += 1
+    return levels
+
+
 def levels_for(records: int) -> int:
     levels, reach = 1, FAN
     while reach < records:
@@ -77,39 +123,60 @@ def levels_for(records: int) -> int:
 
 
 def differing(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
-    """The positions of leaves that differ, found from the roots downward."""
+    """The leaves that differ, as ``node``, found from the tops downward."""
     bad = None
     for one, two in zip(reversed(left), reversed(right), strict=True):
         if bad is not None:
             below = bad.withColumnRenamed("node", "parent")
             one, two = (
-                side.withColumn("parent", F.floor(F.col("node") / FAN).cast("long")).join(below, "parent", "left_semi").drop("parent")
-                for side in (one, two)
+                side.withColumn("parent", _parent()).join(below, "parent", "left_semi").drop("parent") for side in (one, two)
             )
-        both = one.withColumnRenamed("hash", "one").join(two.withColumnRenamed("hash", "two"), "node", "full")
-        bad = saved(both.filter(~F.col("one").eqNullSafe(F.col("two"))).select("node"), "differing")
+        both = one.select("node", F.struct("hash", "placed").alias("one")).join(
+            two.select("node", F.struct("hash", "placed").alias("two")), "node", "full"
+        )
+        agree = F.col("one.hash").eqNullSafe(F.col("two.hash")) | F.col("one.placed").eqNullSafe(F.col("two.placed"))
+        bad = saved(both.filter(~agree).select("node"), "differing")
         if not bad.limit(1).count():
             break
-    return bad.withColumnRenamed("node", "position")
+    return bad
 
 
 def audit(good: DataFrame, other: DataFrame) -> DataFrame:
     """Records of ``good`` and ``other`` (page_id, position, file, offset, length, sha256) that differ.
 
-    Returns position, page_id, file, offset, length, state, expected_sha256 and found_sha256.
+    Each side's layout is its own. Returns position, page_id, file, offset, length, state,
+    expected_sha256 and found_sha256.
     """
-    last = F.coalesce(F.max("position"), F.lit(-1))
-    records = 1 + max(side.select(last).first()[0] for side in (good, other))
-    levels = levels_for(records)
-    bad = differing(tree(good, levels), tree(other, levels))
-    at = ["page_id", "file", "offset", "length", "sha256"]
-    one = good.join(bad, "position", "left_semi").select("position", F.struct(*at).alias("a"))
-    two = other.join(bad, "position", "left_semi").select("position", F.struct(*at).alias("b"))
-    both = one.join(two, "position", "full")
+    spans = [side.select(F.min("page_id"), F.max("page_id")).first() for side in (good, other)]
+    first = min((low for low, _ in spans if low is not None), default=0)
+    last = max((high for _, high in spans if high is not None), default=0)
+    no_id = max(first - 1, NO_ID)
+    levels = levels_over(no_id, last)
+    bad = differing(tree(good, levels, no_id), tree(other, levels, no_id))
+    at = ["page_id", "file", "offset", "length", "sha256", "packed", "placed"]
+
+    def suspects(side, name):
+        of_bad = leaf_hashes(side).withColumn("node", F.coalesce("page_id", F.lit(no_id))).join(bad, "node", "left_semi")
+        nth = F.row_number().over(Window.partitionBy("node", "sha256").orderBy("position"))
+        return of_bad.select("node", F.col("sha256").alias("same"), nth.alias("nth"), F.struct("position", *at).alias(name))
+
+    # Equal records of an id first; what is left of either side is paired in order.
+    equal = saved(suspects(good, "a").join(suspects(other, "b"), ["node", "same", "nth"], "full"), "suspects")
+
+    def left(name, missing):
+        rank = F.row_number().over(Window.partitionBy("node").orderBy(f"{name}.position"))
+        return equal.filter(F.col(missing).isNull()).select("node", name, rank.alias("nth"))
+
+    in_place = (F.col("a.packed") == F.col("b.packed")) | (F.col("a.placed") == F.col("b.placed"))
+    moved = equal.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & ~in_place).select("a", "b")
+    both = moved.unionAll(left("a", "b").join(left("b", "a"), ["node", "nth"], "full").select("a", "b"))
     state = F.when(F.col("b").isNull(), "lost").when(F.col("a").isNull(), "extra").otherwise("altered")
+
+    def place(name):
+        return F.when(F.col("a").isNull(), F.col(f"b.{name}")).otherwise(F.col(f"a.{name}")).alias(name)
+
     return both.select(
-        "position",
-        *(F.coalesce(f"a.{name}", f"b.{name}").alias(name) for name in at[:-1]),
+        *map(place, ["position", *at[:4]]),
         state.alias("state"),
         F.col("a.sha256").alias("expected_sha256"),
         F.col("b.sha256").alias("found_sha256"),
@@ -126,17 +193,18 @@ def damaged(html: Column, page_id: Column) -> Column:
 
 
 def op4_merkle_fixity(spark, sf_dir):
-    """The pages' archive against a replica with some bodies damaged and every 211th record lost."""
+    """The pages' archive against a replica with some bodies damaged and every 211th record lost,
+    which is laid out from what it has."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     html = F.coalesce(F.col("html"), F.lit(""))
-    both = digests(pages, good=html, other=damaged(html, F.col("page_id")))
-    rows = saved(laid_out(both, "good_length"), "records")
-    at = ["page_id", "position", "file", "offset"]
-    good, other = (
-        rows.select(*at, F.col(f"{name}_length").alias("length"), F.col(f"{name}_sha256").alias("sha256"))
-        for name in ("good", "other")
-    )
-    return audit(good, other.filter(F.coalesce(F.col("page_id") % 211 != 13, F.lit(True))))
+    both = saved(digests(pages, good=html, other=damaged(html, F.col("page_id"))), "digests")
+    here = {"good": F.lit(True), "other": F.coalesce(F.col("page_id") % 211 != 13, F.lit(True))}
+
+    def replica(name):
+        length, sha256 = F.col(f"{name}_length").alias("length"), F.col(f"{name}_sha256").alias("sha256")
+        return saved(laid_out(both.filter(here[name]).select("page_id", length, sha256), "length"), f"records-{name}")
+
+    return audit(replica("good"), replica("other"))
 
 
 ORACLE_SQL = r"""

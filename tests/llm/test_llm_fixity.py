@@ -63,6 +63,34 @@ def test_only_nodes_above_differences_differ(spark):
         assert one.count() == -(-300 // fixity.FAN**level)
 
 
+def laid(spark, pages):
+    rows = spark.createDataFrame(pages, "page_id long, length long, sha256 string")
+    return fixity.laid_out(rows, "length")
+
+
+def states(good, other):
+    return sorted(((r.page_id, r.state, r.position) for r in fixity.audit(good, other).collect()), key=str)
+
+
+def test_replicas_laid_out_by_themselves(spark):
+    pages = [(3 * n, 10 + n % 5, f"h{n}") for n in range(600)]
+    good = laid(spark, pages)
+    other = laid(spark, [p for p in pages if p[0] != 6])
+    assert states(good, other) == [(6, "lost", 2)]
+    # Only the branch of the lost record is visited: one leaf of each level's one node.
+    levels = fixity.levels_over(0, 3 * 599)
+    assert [r.node for r in fixity.differing(fixity.tree(good, levels), fixity.tree(other, levels)).collect()] == [6]
+    cut = [(i, 3, "cut") if i == 30 else (i, n, h) for i, n, h in pages if i != 6] + [(7, 9, "new")]
+    assert states(good, laid(spark, cut)) == [(30, "altered", 10), (6, "lost", 2), (7, "extra", 2)]
+
+
+def test_records_that_share_an_id_or_have_none(spark):
+    ids = [None] * 40 + [-1, -1, -1, 0, 5, 5, 5]
+    pages = [(i, 10, f"h{n % 45}") for n, i in enumerate(ids)]
+    other = laid(spark, [page for n, page in enumerate(pages) if n not in (17, 40, 45)])
+    assert [(i, state) for i, state, _ in states(laid(spark, pages), other)] == [(-1, "lost"), (5, "lost"), (None, "lost")]
+
+
 def test_records_of_odd_pages(spark):
     rows = [(None, None, None), (1, "u", "é"), (1, "u", "é"), (2, None, ""), (3, "v", "x" * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
