@@ -1,0 +1,133 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+from llm_rows import documents, odd_texts
+
+from scorelake.llm import periods
+from scorelake.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def all_runs(words, least=periods.LEAST):
+    """Straight from the definition: for every period the maximal stretches, less those with a smaller one."""
+    found = {}
+    for period in range(1, len(words) // 2 + 1):
+        start = 0
+        for at in range(len(words) - period + 1):
+            if at + period == len(words) or words[at] != words[at + period]:
+                length = at + period - start
+                if length >= max(least, 2 * period):
+                    found.setdefault((start, length), period)
+                start = at + 1
+    return sorted((start, length, period) for (start, length), period in found.items())
+
+
+def sorted_runs(words, least=periods.LEAST):
+    return sorted(all_runs(words, least), key=lambda run: (run[0], run[2]))
+
+
+def kept(words, runs):
+    gone = {at for start, length, period in runs for at in range(start + period, start + length)}
+    return [word for at, word in enumerate(words) if at not in gone]
+
+
+def random_words(rng):
+    kind = rng.randint(0, 4)
+    size = rng.randint(0, 120)
+    if kind == 0:
+        return [rng.choice("ab") for _ in range(size)]
+    if kind == 1:
+        return [rng.choice("abc") for _ in range(rng.randint(1, 9))] * rng.randint(1, 20)
+    if kind == 2:
+        part = [rng.choice("ab") for _ in range(rng.randint(1, 6))] * rng.randint(1, 9)
+        return (part + [rng.choice("abc") for _ in range(rng.randint(0, 4))]) * rng.randint(1, 5)
+    if kind == 3:
+        # Fibonacci words have as many runs as texts can have.
+        one, two = ["a"], ["a", "b"]
+        while len(two) < size:
+            one, two = two, two + one
+        return two
+    return sum((["a"] * rng.randint(0, 30) + ["b"] * rng.randint(0, 3) for _ in range(rng.randint(0, 6))), [])
+
+
+def test_runs_of_random_texts_by_definition():
+    rng = random.Random(13)
+    for _ in range(150):
+        texts = [random_words(rng) for _ in range(rng.randint(1, 12))]
+        least = rng.choice([2, 5, 12])
+        runs, collapsed = periods.periodic([" ".join(words).encode() for words in texts], least)
+        for words, got, left in zip(texts, runs.to_pylist(), collapsed.to_pylist(), strict=True):
+            got = [(run["start"], run["length"], run["period"]) for run in got]
+            assert got == sorted_runs(words, least), words
+            assert left.decode().split() == kept(words, got)
+
+
+def test_successor_is_the_next_value():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 9, 200):
+        values = rng.permutation(size)
+        tree = periods.Wavelet(values)
+        low = rng.integers(0, size, 300)
+        high = rng.integers(low + 1, size + 1)
+        limit = rng.integers(0, size + 5, 300)
+        for got, a, b, least in zip(tree.successor(low, high, limit), low, high, limit, strict=True):
+            assert got == min((x for x in values[a:b] if x >= least), default=-1)
+
+
+def test_long_texts():
+    rng = random.Random(3)
+    part = [rng.choice("abcdefgh") for _ in range(3000)]
+    words = part * 3 + ["x"] * 20_000 + [str(n) for n in range(10_000)] + part + part[:50]
+    [found] = periods.periodic([" ".join(words).encode()])[0].to_pylist()
+    found = [(run["start"], run["length"], run["period"]) for run in found]
+    assert (0, 9000, 3000) in found and (9000, 20_000, 1) in found
+    for start, length, period in found:
+        assert words[start : start + length - period] == words[start + period : start + length]
+
+
+def expected(doc_id, text):
+    words = WORD.findall(text or "")
+    check = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    if check % 10 == 0 and words:
+        n, g = len(words), check // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [word if i < a else words[a + (i - a) % p] for i, word in enumerate(words)]
+    runs = sorted_runs(words)
+    best = max(runs, key=lambda run: (run[1], -run[0], -run[2]), default=None)
+    lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+    return (
+        len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+        hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(" ".join(kept(words, runs)).encode()).hexdigest(),
+    )
+
+
+def told(row):
+    return (
+        row.n_runs, row.start, row.length, row.period, row.exponent_milli, row.runs_sha256, row.collapsed_sha256
+    )
+
+
+def test_query_by_definition(spark, tmp_path):
+    rng = random.Random(7)
+    texts = [text for text in odd_texts(rng) if text is None or len(text.split()) < 3000]
+    texts += [" ".join(random_words(rng)) for _ in range(120)] + [(None, "a b " * 20), (-5, "é " * 30)]
+    frame = documents(spark, texts, clashing=True)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    asked = {(row.doc_id): row.text for row in frame.collect()}
+    rows = QUERIES["op13_dyadic_runs"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert told(row) == expected(row.doc_id, asked[row.doc_id]), asked[row.doc_id]
+
+
+def test_rows_are_kept(spark):
+    frame = documents(spark, ["a " * 30, None, "a " * 30], clashing=True)
+    rows = periods.collapse(frame).collect()
+    assert sorted(row.collapsed for row in rows) == ["", "a", "a"]
+    assert all(row.row.kept == "kept" for row in rows)
+    assert periods.collapse(frame.limit(0)).collect() == []
