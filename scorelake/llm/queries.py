@@ -1,6 +1,6 @@
 """The package's registered queries, ``(spark, folder) -> DataFrame``, and SQL for those SQL can express."""
 
-from scorelake.llm import bpe, fixity, language, line_dedup, near_dedup, packing, periods, pseudonyms, quality, shards, topk
+from scorelake.llm import bpe, fixity, language, line_dedup, near_dedup, packing, periods, pseudonyms, quality, resampling, shards, topk
 
 QUERIES = {
     "op1_bag_minhash": near_dedup.op1_bag_minhash,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_kneser_ney": language.op8_kneser_ney,
     "op9_line_runs": line_dedup.op9_line_runs,
     "op10_feistel_shards": shards.op10_feistel_shards,
+    "op11_head_tail_resampling": resampling.op11_head_tail_resampling,
     "op13_dyadic_runs": periods.op13_dyadic_runs,
 }
 ORACLE = {
