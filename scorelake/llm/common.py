@@ -5,8 +5,10 @@ import sys
 import unicodedata
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,10 +18,12 @@ from pyspark.sql import functions as F
 
 import scorelake
 from scorelake.session import work_folder
+from scorelake.sources import storage
 
 #: Low bits of ``monotonically_increasing_id``: the row's place in its partition.
 PLACE_BITS = (1 << 33) - 1
 CHUNK_BYTES = 4 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _SHIPPED: set[str] = set()
@@ -49,14 +53,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside go when the query ends, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def saved(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the folder all executors share, and read back.
 
-    This cuts the lineage: a lost executor costs no more than reading the table again.
+    This cuts the lineage: a lost executor costs no more than reading the table again. What was
+    shuffled for it is deleted at once; ``forget`` deletes the table when nothing needs it any more.
     """
-    path = f"{work_folder(frame.sparkSession, name)}/table"
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark = frame.sparkSession
+    folder = work_folder(spark, name)
+    with shuffles_dropped(spark):
+        frame.write.parquet(f"{folder}/table")
+    table = spark.read.schema(frame.schema).parquet(f"{folder}/table")
+    _FOLDERS[table] = folder
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` has returned; frames made of them must be written by now."""
+    for table in tables:
+        if folder := _FOLDERS.pop(table, None):
+            storage.delete(table.sparkSession, folder)
 
 
 def numbered(frame: DataFrame, order: list[str], into: str, name: str) -> tuple[DataFrame, int]:
@@ -77,6 +110,7 @@ def numbered(frame: DataFrame, order: list[str], into: str, name: str) -> tuple[
         .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(PLACE_BITS)),
         name,
     )
+    forget(told_apart)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))

@@ -1,6 +1,6 @@
 """The package's registered queries, ``(spark, folder) -> DataFrame``, and SQL for those SQL can express."""
 
-from scorelake.llm import bpe, fixity, language, line_dedup, near_dedup, packing, periods, pseudonyms, quality, resampling, shards, topk
+from scorelake.llm import bpe, fixity, language, line_dedup, near_dedup, ngrams, packing, periods, pseudonyms, quality, resampling, shards, topk
 
 QUERIES = {
     "op1_bag_minhash": near_dedup.op1_bag_minhash,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_line_runs": line_dedup.op9_line_runs,
     "op10_feistel_shards": shards.op10_feistel_shards,
     "op11_head_tail_resampling": resampling.op11_head_tail_resampling,
+    "op12_kneser_ney_scores": ngrams.op12_kneser_ney_scores,
     "op13_dyadic_runs": periods.op13_dyadic_runs,
 }
 ORACLE = {
