@@ -188,6 +188,12 @@ FROM games GROUP BY date""",
     + """
 SELECT date, id, metacritic FROM games
 WHERE date NOT LIKE '1997-%' OR (metacritic >= 80 AND date <> '1997-05')""",
+    "snapshot_read": _GAMES
+    + """
+SELECT reader, date, COUNT(*) AS games, SUM(metacritic)::BIGINT AS score_sum
+FROM games, (VALUES ('before'), ('after')) AS readers(reader)
+WHERE reader = 'before' OR date NOT LIKE '1997-%' OR (metacritic >= 80 AND date <> '1997-05')
+GROUP BY reader, date""",
     "silver_write": _GAMES + _FLAT_SILVER,
     "full_refresh": _SCORED_GAMES + _FLAT_SILVER + f" WHERE {_PASSING}",
     "json_page_sink": _GAMES
@@ -203,6 +209,11 @@ SELECT month,
 FROM ({_MONTHS}) AS calendar
 LEFT JOIN (SELECT DISTINCT date FROM games
            WHERE date NOT IN ('1995-02', '1999-07')) AS landed ON month = landed.date""",
+    "quarantined_files": _GAMES
+    + """
+SELECT date AS month, date IN ('1996-06', '2000-02') AS has_bad, date = '1998-03' AS has_unreadable,
+       COUNT(*) AS sound_games
+FROM games WHERE date NOT IN ('1995-02', '1999-07') GROUP BY date""",
     "silver_games": _GAMES + _FLAT_SILVER,
     "struct_field_nullsafe": _GAMES + " SELECT game_id, esrb_rating FROM silver",
     "cast_date": """
@@ -285,6 +296,13 @@ consoles AS ({_CONSOLES}),
 counts("check", "table", "column", failures) AS ({_SUMMARY})
 SELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM counts""",
     "bronze_games": _GAMES + f" SELECT *, 'tag ' || id AS tag FROM ({_FLAT_GAMES})",
+    "documents_as_written": """
+SELECT strftime(o_orderdate, '%Y-%m') AS date, o_orderkey AS id, 'É №' AS name,
+       '{"odd": 81.50,  "released": "' || strftime(o_orderdate, '%Y-%m-%d')
+       || '", "again": 1, "id":' || o_orderkey
+       || ', "again": 1.0e3, "long": 12345678901234567890123456789012345678901234567890'
+       || ', "name": "\\u00c9 №"}' AS document
+FROM orders""",
     "land_and_load": _GAMES
     + " SELECT date, id, metacritic FROM games WHERE metacritic BETWEEN 1 AND 100",
     "brand_metrics": _GAMES

@@ -1,28 +1,32 @@
 """Loading raw pages into the bronze table, any number of months in one job."""
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.functions import month_calendar
 from scorelake.seeds import ALL_MONTHS_WROTE, FIRST_MONTH, LAST_MONTH
-from scorelake.sources import storage
+from scorelake.sources import snapshots, storage
 from scorelake.sources.pages import (
     AS_RECORDED,
+    CORRUPT,
     PageFormat,
-    PageFormError,
     game_counts,
     marked_pages,
+    page_folders,
+    raw_files,
     raw_months,
+    read_game,
+    scan_pages,
 )
-from scorelake.sources.tables import by_month, publish_months, read_bronze, staging
+from scorelake.sources.tables import by_month, read_bronze
 
-#: Months tried side by side when a load of all months together has failed.
-AT_ONCE = 8
+#: The part of a version that has what its pages hold besides games, and where files' outcomes lie.
+PAGES, OUTCOMES = "pages", "_outcomes"
+PAGE_ROWS = "file string, date string, games bigint, complaint string, document string"
+OUTCOME = "file string, date string, length bigint, pages bigint, games bigint, status string, version string"
 
 
 def load_months(
@@ -34,63 +38,100 @@ def load_months(
 ) -> DataFrame:
     """Replace ``months`` of bronze with what raw holds; returns ``(month, status)``.
 
-    All months load in a single job that reads each page once. A month with a page that
-    does not fit keeps the rows it had, and so does one whose pages are in another form
-    than asked for. Where files cannot be read at all, the job cannot go on, and each
-    month is tried by itself; the months that fail again are to blame.
+    All months load in a single job that decodes each game once. A month with a file that cannot
+    be read, or a page or game that does not fit, keeps the rows it had, and so does one whose
+    pages are in another form than asked for; ``file_outcomes`` and ``quarantined`` tell which
+    they are. The other months are put in place together, in one commit.
     """
     months = sorted(set(months))
     if not storage.exists(spark, raw):
         raise FileNotFoundError(f"PATH_NOT_FOUND: {raw}")
-    try:
-        loaded, failed = _load(spark, raw, bronze, months, form)
-    except (PySparkException, Py4JError, PageFormError):
-        loaded, failed = _load_apart(spark, raw, bronze, months, form)
+    folders, mismatched = page_folders(spark, raw, months, form)
+    version = snapshots.new_version()
+    landed = snapshots.write(by_month(_entries(scan_pages(spark, raw, folders, form), form)), bronze, version)
+    _write_outcomes(spark, raw, bronze, version, folders, form)
+    failed = set(mismatched)
+    outcomes = file_outcomes(spark, bronze, version).filter("status <> 'read'")
+    failed |= {row["date"] for row in outcomes.select("date").distinct().collect()}  # months
+    sound = [month for month in months if month not in failed]
+    snapshots.place(spark, bronze, version, sound, landed)
+    loaded = [month for month in sound if month in landed]
     return month_report(*[month_table(spark, part) for part in (months, loaded, failed)])
 
 
-def _load(
-    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
-) -> tuple[list[str], list[str]]:
-    """Months loaded, and months with bad pages."""
-    pages = marked_pages(spark, raw, months, form)
-    # A bad page shows as a row without a game, in a folder apart from the games.
-    entries = F.arrays_zip("results", "documents")
-    games = pages.select(
+def _entries(pages: DataFrame, form: PageFormat) -> DataFrame:
+    """Bronze rows as the part ``rows``; as the part ``pages`` a row for each page, and for each game that does not fit."""
+    whole = F.col(CORRUPT).isNull() & F.col("results").isNotNull()
+    games = F.transform(
+        F.when(whole, F.col("results")).otherwise(F.array().cast("array<string>")),
+        lambda text: F.struct(text.alias("document"), F.lit(True).alias("is_game")),
+    )
+    page = F.array(F.struct(F.lit(None).cast("string").alias("document"), F.lit(False).alias("is_game")))
+    each = pages.select(
         "downloaded_at",
-        F.explode(F.when(F.col("bad"), F.array(F.lit(None))).otherwise(entries)).alias("entry"),
-        "bad",
+        "file",
         "date",
-    ).select(
+        F.when(whole, F.size("results")).otherwise(0).alias("games"),
+        F.when(~whole, "page").alias("complaint"),
+        F.explode(F.concat(page, games)).alias("entry"),
+    ).select("*", "entry.*")
+    read = each.withColumn("read", read_game(F.col("document"), form))
+    fits = F.col("is_game") & F.col("read").isNotNull() & F.col(f"read.{CORRUPT}").isNull()
+    fits = F.coalesce(fits, F.lit(False))
+    page_only = ~F.col("is_game")
+    return read.select(
         "downloaded_at",
-        F.col("entry.results").alias("game"),
-        F.col("entry.documents").alias("document"),
-        "bad",
+        F.when(fits, F.col("read").dropFields(CORRUPT)).alias("game"),
+        "document",
+        F.when(~fits, F.col("file")).alias("file"),
+        F.when(page_only, F.col("games")).cast("bigint").alias("games"),
+        F.when(page_only, F.col("complaint")).when(~fits, "game").alias("complaint"),
+        F.when(fits, snapshots.ROWS).otherwise(PAGES).alias("part"),
+        "date",
+    )
+
+
+def _page_rows(spark: SparkSession, bronze: str, version: str) -> DataFrame:
+    folder = f"{snapshots.version_folder(bronze, version)}/part={PAGES}"
+    if not storage.exists(spark, folder):
+        return spark.createDataFrame([], PAGE_ROWS)
+    return spark.read.schema(PAGE_ROWS).parquet(folder)
+
+
+def _write_outcomes(spark, raw, bronze, version, folders, form) -> None:
+    """How each file fared: read, bad (a page or game does not fit) or unreadable."""
+    seen = _page_rows(spark, bronze, version).groupBy("file").agg(
+        F.count("games").alias("pages"),
+        F.sum("games").alias("games"),
+        (F.count("complaint") > 0).alias("bad"),
+    )
+    zero = F.lit(0).cast("bigint")
+    # A file of one page that has bytes but gives no page could not be read.
+    lost = ~F.col("read") | (F.col("pages").isNull() & ~F.col("lines") & (F.col("length") > 0))
+    status = F.when(lost, "unreadable").when(F.col("bad"), "bad").otherwise("read")
+    outcomes = raw_files(spark, raw, folders, form).join(seen, "file", "left").select(
+        "file",
         "date",
+        "length",
+        F.coalesce("pages", zero).alias("pages"),
+        F.coalesce("games", zero).alias("games"),
+        status.alias("status"),
     )
-    with staging(spark, bronze) as staged:
-        by_month(games).write.partitionBy("bad", "date").parquet(staged)
-        failed = raw_months(spark, f"{staged}/bad=true")
-        landed = raw_months(spark, f"{staged}/bad=false")
-        sound = [month for month in months if month not in failed]
-        publish_months(spark, f"{staged}/bad=false", bronze, sound)
-    return [month for month in sound if month in landed], failed
+    outcomes.hint("rebalance").write.parquet(f"{bronze}/{OUTCOMES}/version={version}")
 
 
-def _load_apart(
-    spark: SparkSession, raw: str, bronze: str, months: Sequence[str], form: PageFormat
-) -> tuple[list[str], list[str]]:
-    """As ``_load``, month by month; any month's error is its own."""
+def file_outcomes(spark: SparkSession, bronze: str, version: str | None = None) -> DataFrame:
+    """``(file, date, length, pages, games, status, version)`` of a load's raw files, or of all loads'."""
+    folder = f"{bronze}/{OUTCOMES}" if version is None else f"{bronze}/{OUTCOMES}/version={version}"
+    if not storage.exists(spark, folder):
+        return spark.createDataFrame([], OUTCOME)
+    return spark.read.schema(OUTCOME).option("basePath", f"{bronze}/{OUTCOMES}").parquet(folder)
 
-    def load(month: str) -> tuple[list[str], list[str]]:
-        try:
-            return _load(spark, raw, bronze, [month], form)
-        except (PySparkException, Py4JError, PageFormError):
-            return [], [month]
 
-    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
-        outcomes = list(pool.map(load, months))
-    return [m for loaded, _ in outcomes for m in loaded], [m for _, failed in outcomes for m in failed]
+def quarantined(spark: SparkSession, bronze: str, version: str) -> DataFrame:
+    """``(file, date, complaint, document)`` of a load's pages and games that do not fit, games with their text."""
+    complaints = _page_rows(spark, bronze, version).filter("complaint IS NOT NULL")
+    return complaints.select("file", "date", "complaint", "document")
 
 
 def backfill(
@@ -111,10 +152,33 @@ def months_outside(spark: SparkSession, raw: str, first_month: str, last_month:
     return [m for m in raw_months(spark, raw) if not first_month <= m <= last_month]
 
 
+def lost_games(spark: SparkSession, bronze: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Months of which bronze does not hold as many games as their load has found in the pages.
+
+    Nothing is decoded again: the load has counted each page's games, and rows are counted by
+    the Parquet footers.
+    """
+    placed = {
+        month: version
+        for month, version in snapshots.current(spark, bronze).items()
+        if version and (months is None or month in months)
+    }
+    versions = spark.createDataFrame(sorted(placed.items()), "month string, version string")
+    found = file_outcomes(spark, bronze).groupBy(F.col("date").alias("month"), "version").agg(F.sum("games").alias("games"))
+    rows = read_bronze(spark, bronze).groupBy(F.col("date").alias("month")).agg(F.count("*").alias("loaded"))
+    # A row for each month.
+    both = F.broadcast(versions).join(found, ["month", "version"], "left").join(rows, "month", "left")
+    both = both.select("month", *(F.coalesce(name, F.lit(0)).alias(name) for name in ("games", "loaded")))
+    return both.filter("games <> loaded")
+
+
 def unreconciled(
     spark: SparkSession, raw: str, bronze: str, report: DataFrame, form: PageFormat = AS_RECORDED
 ) -> DataFrame:
-    """Loaded or empty months of which raw and bronze do not hold as many games."""
+    """Loaded or empty months of which raw, as it is now, and bronze do not hold as many games.
+
+    This reads the pages again; ``lost_games`` compares with what the load has read.
+    """
     done = report.filter("status <> 'failed'").select("month")
     months = [row["month"] for row in done.collect()]  # the report's, one row for each month
     landed = game_counts(marked_pages(spark, raw, months, form))

@@ -20,7 +20,7 @@ from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
 from scorelake.schemas import SILVER
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
-from scorelake.sources import storage, tables
+from scorelake.sources import snapshots, storage, tables
 from scorelake.sources.layout import Layout
 
 SLICE = ("1996-01", "1999-12")
@@ -148,14 +148,31 @@ def partition_replace(spark, folder):
     path = work_folder(spark, "partition_replace")
     games = feed.games(spark, folder)
     tables.write_months(games, path, compact=True)
-    reload = games.filter((F.col("game.metacritic") >= 80) & (F.col("date") != EMPTIED_MONTH))
     for _ in range(2):
-        tables.replace_months(spark, reload, path, REPLACED_MONTHS)
+        snapshots.replace_months(spark, _reloaded(games), path, REPLACED_MONTHS, tables.by_month)
     return tables.read_bronze(spark, path).select(
         "date", F.col("game.id").alias("id"), F.col("game.metacritic").cast("bigint").alias("metacritic")
     )
 
 
+def _reloaded(games: DataFrame) -> DataFrame:
+    return games.filter((F.col("game.metacritic") >= 80) & (F.col("date") != EMPTIED_MONTH))
+
+
+def snapshot_read(spark, folder):
+    """What two readers count in each month: one began before months were replaced, one after."""
+    path = work_folder(spark, "snapshot_read")
+    games = feed.games(spark, folder)
+    snapshots.replace_months(spark, games, path, _months(spark, folder), tables.by_month)
+    before = tables.read_bronze(spark, path)
+    snapshots.replace_months(spark, _reloaded(games), path, REPLACED_MONTHS, tables.by_month)
+    after = tables.read_bronze(spark, path)
+    both = before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+    return both.groupBy("reader", "date").agg(
+        F.count("*").alias("games"), F.sum("game.metacritic").cast("bigint").alias("score_sum")
+    )
+
+
 def silver_write(spark, folder):
     path = work_folder(spark, "silver_write")
     tables.write_months(_silver(spark, folder), path, compact=True)
@@ -190,9 +207,9 @@ def json_page_sink(spark, folder):
     )
 
 
-def backfill_report(spark, folder):
-    """Months with pages, without any, and with a page that is malformed, an error or no text."""
-    layout = Layout(work_folder(spark, "backfill_report"))
+def _spoiled_backfill(spark: SparkSession, folder: str) -> tuple[Layout, DataFrame]:
+    """A load of months with pages, without any, and with a page that is malformed, an error or no text."""
+    layout = Layout(work_folder(spark, "spoiled_backfill"))
     games = feed.games(spark, folder).filter(~F.col("date").isin(*MISSING_MONTHS))
     raw_pages.write_pages(_pages(games), layout.raw)
     for month, name in ((MALFORMED_MONTH, "results"), (ERROR_MONTH, "detail")):
@@ -203,8 +220,42 @@ def backfill_report(spark, folder):
         path = f"{layout.raw}/date={UNREADABLE_MONTH}/page.json.gz"
         storage.write_text(spark, path, "no compressed page")
     form = raw_pages.PageFormat(file_pattern="*.json*")
-    return bronze.backfill(
-        spark, layout.raw, layout.bronze, *feed.months_around(spark, folder), form
+    report = bronze.backfill(spark, layout.raw, layout.bronze, *feed.months_around(spark, folder), form)
+    return layout, report
+
+
+def backfill_report(spark, folder):
+    """Months with pages, without any, and with a page that is malformed, an error or no text."""
+    return _spoiled_backfill(spark, folder)[1]
+
+
+def quarantined_files(spark, folder):
+    """Of the same load, which months have files that do not fit or cannot be read, and the games in sound files."""
+    layout, _ = _spoiled_backfill(spark, folder)
+    outcomes = bronze.file_outcomes(spark, layout.bronze)
+    return outcomes.groupBy(F.col("date").alias("month")).agg(
+        F.max(F.col("status") == "bad").alias("has_bad"),
+        F.max(F.col("status") == "unreadable").alias("has_unreadable"),
+        F.sum(F.when(F.col("status") == "read", F.col("games")).otherwise(0)).alias("sound_games"),
+    )
+
+
+def documents_as_written(spark, folder):
+    """Each game's own text in bronze: order of keys, blanks, long and odd numbers, a key that is there twice."""
+    layout = Layout(work_folder(spark, "documents_as_written"))
+    orders = feed.table(spark, folder, "orders")
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    game = F.concat(
+        F.lit('{"odd": 81.50,  "released": "'), day, F.lit('", "again": 1, "id":'), key.cast("string"),
+        F.lit(', "again": 1.0e3, "long": 12345678901234567890123456789012345678901234567890, "name": "\\u00c9 №"}'),
+    )
+    page = F.concat(F.lit('{"results": ['), game, F.lit("]}")).alias("value")
+    lines = orders.select(page, F.date_format("o_orderdate", "yyyy-MM").alias("date"))
+    lines.write.partitionBy("date").text(layout.raw)
+    form = raw_pages.PageFormat(lines=True, file_pattern="*.txt")
+    bronze.backfill(spark, layout.raw, layout.bronze, *feed.months_around(spark, folder), form)
+    return tables.read_bronze(spark, layout.bronze).select(
+        "date", F.col("game.id").alias("id"), F.col("game.name").alias("name"), "document"
     )
 
 
@@ -418,8 +469,8 @@ def land_and_load(spark, folder):
     layout = Layout(work_folder(spark, "land_and_load"))
     months = _months(spark, folder)
     raw.land_months(spark, feed.games(spark, folder), layout.raw, months, feed.DOWNLOADED_AT)
-    report = bronze.load_months(spark, layout.raw, layout.bronze, months)
-    differing = bronze.unreconciled(spark, layout.raw, layout.bronze, report)
+    bronze.load_months(spark, layout.raw, layout.bronze, months)
+    differing = bronze.lost_games(spark, layout.bronze, months)
     quality.gate(quality.count_check(differing, "reconciled", "bronze_games", "date"))
     return tables.read_bronze(spark, layout.bronze).select(
         "date", F.col("game.id").alias("id"), F.col("game.metacritic").cast("bigint").alias("metacritic")
@@ -461,10 +512,12 @@ QUERIES = {
     "source_slice": source_slice,
     "partitioned_write": partitioned_write,
     "partition_replace": partition_replace,
+    "snapshot_read": snapshot_read,
     "silver_write": silver_write,
     "full_refresh": full_refresh,
     "json_page_sink": json_page_sink,
     "backfill_report": backfill_report,
+    "quarantined_files": quarantined_files,
     "silver_games": silver_games,
     "struct_field_nullsafe": struct_field_nullsafe,
     "cast_date": cast_date,
@@ -495,6 +548,7 @@ QUERIES = {
     "dq_coverage": dq_coverage,
     "dq_summary": dq_summary,
     "bronze_games": bronze_games,
+    "documents_as_written": documents_as_written,
     "land_and_load": land_and_load,
     "brand_metrics": brand_metrics,
     "brand_chart": brand_chart,

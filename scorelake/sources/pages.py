@@ -1,11 +1,11 @@
 """Raw pages: JSON objects ``{downloaded_at, results: [game, ...]}`` in month folders."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,60 +75,136 @@ def marked_pages(
     ``documents`` has each game's own JSON text, with the fields outside the schema, and
     ``games`` says how many there are.
     """
-    there = raw_months(spark, raw)
-    wanted = there if months is None else sorted(set(there) & set(months))
-    by_form: dict[bool, list[str]] = {}
-    for month in wanted:
-        by_form.setdefault(_lines(spark, raw, month, form), []).append(f"{raw}/date={month}")
-    scans = [_scan(spark, raw, folders, lines, form) for lines, folders in by_form.items()]
-    if not scans:
-        # Without any folder of raw at all this names the path that is missing.
-        scans = [_scan(spark, raw, [raw], True, form).filter("false")]
-    pages = reduce(DataFrame.unionByName, scans)
-    checked = T.StructType([*form.game.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    texts = F.transform("results", lambda game: F.to_json(game))
-    games = F.coalesce(F.array_size("results"), F.lit(0)).cast("bigint")
-    read = pages.select(
-        "downloaded_at", games.alias("games"), texts.alias("documents"), CORRUPT, "date"
-    ).withColumn("read", F.transform("documents", lambda text: F.from_json(text, checked, options)))
+    found, mismatched = page_folders(spark, raw, months, form)
+    if mismatched:
+        listed = ", ".join(f"{month} are stored as one per {kind}" for month, kind in mismatched.items())
+        raise PageFormError(f"pages of {listed}")
+    pages = scan_pages(spark, raw, found, form)
+    read = pages.withColumn("read", F.transform("results", lambda text: read_game(text, form)))
     bad = (
         F.col(CORRUPT).isNotNull()
-        | F.col("documents").isNull()
+        | F.col("results").isNull()
         | F.exists("read", lambda one: one.isNull() | one[CORRUPT].isNotNull())
     )
     return read.select(
         "downloaded_at",
         F.transform("read", lambda one: one.dropFields(CORRUPT)).alias("results"),
-        "documents",
-        "games",
+        F.col("results").alias("documents"),
+        F.coalesce(F.array_size("results"), F.lit(0)).cast("bigint").alias("games"),
         F.coalesce(bad, F.lit(True)).alias("bad"),
         "date",
     )
 
 
-def _lines(spark: SparkSession, raw: str, month: str, form: PageFormat) -> bool:
-    recorded = storage.read_text(spark, f"{raw}/date={month}/{FORM_FILE}")
-    if form.lines is None:
-        return recorded == "line"
-    if recorded is not None and form.lines != (recorded == "line"):
-        raise PageFormError(f"pages of {month} are stored as one per {recorded}")
-    return form.lines
+def read_game(text: Column, form: PageFormat = AS_RECORDED) -> Column:
+    """A game from its JSON text; one that does not fit the schema has its text in ``CORRUPT`` as well."""
+    checked = T.StructType([*form.game.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(text, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def page_folders(
+    spark: SparkSession, raw: str, months: Sequence[str] | None, form: PageFormat
+) -> tuple[dict[bool, list[str]], dict[str, str]]:
+    """Month folders by whether they have a page per line, and months recorded in another form than asked for."""
+    there = raw_months(spark, raw)
+    found: dict[bool, list[str]] = {}
+    mismatched: dict[str, str] = {}
+    for month in there if months is None else sorted(set(there) & set(months)):
+        recorded = storage.read_text(spark, f"{raw}/date={month}/{FORM_FILE}")
+        lines = recorded == "line" if form.lines is None else form.lines
+        if recorded is not None and lines != (recorded == "line"):
+            mismatched[month] = recorded
+        else:
+            found.setdefault(lines, []).append(f"{raw}/date={month}")
+    return found, mismatched
+
+
+def scan_pages(
+    spark: SparkSession, raw: str, folders: Mapping[bool, Sequence[str]], form: PageFormat = AS_RECORDED
+) -> DataFrame:
+    """Rows ``(downloaded_at, results, file, date)``, results as the games' own texts; no other column is decoded.
+
+    A file of one page, or a packed one, that cannot be read gives no rows; ``file_outcomes``
+    tells of it. Of plain files with a page per line an error in reading them is an error.
+    """
+    scans = []
+    for lines, paths in folders.items():
+        if not lines or packed_files(form):
+            whole = _scan(spark, raw, paths, lines, form, unreadable_is_empty=True)
+            scans.append(whole.filter(packed(F.col("name"))) if lines else whole)
+        if lines:
+            plain = _scan(spark, raw, paths, lines, form, unreadable_is_empty=False)
+            scans.append(plain.filter(~packed(F.col("name"))) if packed_files(form) else plain)
+    if not scans:
+        # Without any folder of raw at all this names the path that is missing.
+        scans = [_scan(spark, raw, [raw], True, form, False).filter("false")]
+    return reduce(DataFrame.unionByName, scans).drop("name")
+
+
+def packed_files(form: PageFormat) -> bool:
+    """Whether the pattern may take in compressed files."""
+    return not form.file_pattern.lower().endswith(".json")
+
+
+def packed(name: Column) -> Column:
+    return F.lower(name).rlike(r"\.(gz|gzip|bz2|deflate|snappy|lz4|zst)$")
 
 
 def _scan(
-    spark: SparkSession, raw: str, folders: list[str], lines: bool, form: PageFormat
+    spark: SparkSession, raw: str, folders: Sequence[str], lines: bool, form: PageFormat, unreadable_is_empty: bool
 ) -> DataFrame:
-    schema = "downloaded_at timestamp, results array<variant>, date string"
-    return (
+    schema = "downloaded_at timestamp, results array<string>, date string"
+    pages = (
         spark.read.schema(f"{schema}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", not lines)
+        .option("ignoreCorruptFiles", unreadable_is_empty)
         .option("basePath", raw)
         .option("pathGlobFilter", form.file_pattern)
-        .json(folders)
+        .json(list(folders))
     )
+    return pages.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"))
+
+
+def raw_files(
+    spark: SparkSession, raw: str, folders: Mapping[bool, Sequence[str]], form: PageFormat = AS_RECORDED
+) -> DataFrame:
+    """The files of the folders that hold anything: file, date, length, whether it has a page per line, and whether it can be ``read``.
+
+    They are listed, not opened, but for packed files with a page per line: of one that ends too
+    early the first pages would be read, so each of these is read to its end.
+    """
+    listed = []
+    for lines, paths in folders.items():
+        files = (
+            spark.read.format("binaryFile")
+            .option("basePath", raw)
+            .option("pathGlobFilter", form.file_pattern)
+            .load(list(paths))
+            .select(
+                F.col("_metadata.file_path").alias("file"),
+                F.substring(F.col("date").cast("string"), 1, 7).alias("date"),
+                "length",
+                F.lit(lines).alias("lines"),
+            )
+        )
+        if lines and packed_files(form):
+            sound = (
+                spark.read.option("ignoreCorruptFiles", True)
+                .option("pathGlobFilter", form.file_pattern)
+                .text(list(paths), wholetext=True)
+                .filter(packed(F.col("_metadata.file_name")) & (F.octet_length("value") >= 0))
+                .select(F.col("_metadata.file_path").alias("file"), F.lit(True).alias("sound"))
+            )
+            files = files.join(sound, "file", "left").withColumn("read", F.col("sound") | ~packed(F.col("file"))).drop("sound")
+            files = files.withColumn("read", F.coalesce("read", F.lit(False)))
+        else:
+            files = files.withColumn("read", F.lit(True))
+        listed.append(files)
+    if not listed:
+        return spark.createDataFrame([], "file string, date string, length bigint, lines boolean, read boolean")
+    return reduce(DataFrame.unionByName, listed)
 
 
 def paginate(

@@ -42,13 +42,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """What ``write_text`` has written, None when there is no such file."""
+def read_text(spark: SparkSession, path: str, whole: bool = False) -> str | None:
+    """What ``write_text`` has written, None when there is no such file; 4 KB of it if not ``whole``."""
     files, file = _resolve(spark, path)
     if not files.exists(file):
         return None
     stream = files.open(file)
-    text = bytes(stream.readNBytes(4096)).decode("utf-8")
+    text = bytes(stream.readAllBytes() if whole else stream.readNBytes(4096)).decode("utf-8")
     stream.close()
     return text
 

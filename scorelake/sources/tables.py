@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorelake.schemas import BRONZE, MAPPING, SILVER
-from scorelake.sources import storage
+from scorelake.sources import snapshots, storage
 
 # More groups even out large months, but leave small ones in more files.
 SPREAD = 8
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A month-partitioned table, columns in the order of ``schema``."""
+    """A month-partitioned table, columns in the order of ``schema``; one with snapshots as it is now."""
+    if snapshots.is_versioned(spark, path):
+        return snapshots.read(spark, path, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
@@ -34,9 +36,16 @@ def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
 
     ``compact`` shuffles rows of a month together first, for input scattered over many
     tasks; input already laid out by month needs no shuffle. A new folder is written
-    plainly; only an existing one needs the overwrite that looks at each month.
+    plainly; only an existing one needs the overwrite that looks at each month. A table with
+    snapshots gets a new version of those months.
     """
-    writer = (by_month(table) if compact else table).write.partitionBy("date")
+    rows = by_month(table) if compact else table
+    if snapshots.is_versioned(table.sparkSession, path):
+        version = snapshots.new_version()
+        landed = snapshots.write(rows, path, version)
+        snapshots.place(table.sparkSession, path, version, landed, landed)
+        return
+    writer = rows.write.partitionBy("date")
     if storage.child_names(table.sparkSession, path):
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -111,9 +120,10 @@ def _error_of(work: Callable[[str], None]) -> Callable[[str], Exception | None]:
 def replace_months(
     spark: SparkSession, table: DataFrame, path: str, months: Sequence[str]
 ) -> list[str]:
-    """Make ``months`` of the table at ``path`` hold exactly ``table``; return those with rows.
+    """Make ``months`` of the plain table at ``path`` hold exactly ``table``; return those with rows.
 
-    The new rows are written aside in full before any month is touched, so a failing
+    This is for tables that others read by their folders alone; between the two moves of a
+    month they find it missing. ``snapshots.replace_months`` leaves no such gap. The new rows are written aside in full before any month is touched, so a failing
     load leaves the table as it was. A month without new rows is removed; months not
     listed stay. The folders moved are one per month; should the driver be lost between
     two of them, loading the same months again completes the work.
