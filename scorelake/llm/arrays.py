@@ -50,6 +50,16 @@ def read_array(folder: str, name: str) -> np.ndarray:
         return np.load(io.BytesIO(file.read()))
 
 
+def has_array(folder: str, name: str) -> bool:
+    path = _mounted(folder)
+    if path is not None:
+        return os.path.exists(f"{path}/{name}.npy")
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(folder)
+    return store.get_file_info(f"{path}/{name}.npy").type == fs.FileType.File
+
+
 def in_planes(values: np.ndarray) -> bytes:
     """The bytes of all values, first the lowest of each: what is zero in most values packs well."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()

@@ -15,19 +15,21 @@ How it is built and used; everything is counted, nothing is cut off:
 
 1. Words are counted by 64-bit hash. Words so frequent that their pairs would make a shard too
    large are told from these counts; their pairs are spread over several groups.
-2. Pairs are counted in blocks of whole texts, and each block's sorted pairs are dealt to shards by
-   the first word's group. A shard, some ``SHARD_TOKENS`` tokens at most, merges its runs, writes the
-   sorted array of pair hashes with their counts to the shared folder, and hands on f_i and k.
+2. Pairs are counted in blocks of whole texts, and each block's pairs are dealt to shards by the
+   first word's group. A shard, some ``SHARD_TOKENS`` tokens at most, merges its runs, writes the
+   pairs and their counts to the shared folder, and hands on f_i and k.
 3. These are summed by word. Words are range-sorted by hash and written as sorted arrays of some
    ``WORD_ROWS`` with their counts, remaining weights and p(w).
-4. A block of texts maps the word arrays and looks its sorted words up. What is left is whether its
-   pairs are known: its sorted pairs go to the shards, with the product they are added to and the
-   texts they are in. The task that has a shard maps its array, looks all up at once, and returns a
-   sum for each text.
+4. Each shard maps the word arrays and turns its counts into gains: by how much the logarithm of
+   p(w | u) is over that of what remains behind u times p(w). It writes the sorted array of pair hashes
+   with their gains.
+5. A block of texts maps the word arrays and looks its sorted words up, which gives the score as if
+   no pair were known. Its sorted pairs go to the shards with the texts they are in; the task that
+   has a shard maps its arrays, looks all up at once, and returns the sum of gains for each text.
 
 Nothing of the model is broadcast or held in memory whole: a task maps one array at a time. The
 driver gets the totals above, the first hash of each word array, and the very frequent words (four
-for each shard at most). Each pair is shuffled once in each direction for each block.
+for each shard at most). For scoring, each different pair of a block is shuffled once.
 
 Hashes of different words, or pairs, are taken as different: among 10^9 of them, two are the same
 with a probability of 3 %, which would give these two the sum of their counts.
@@ -39,23 +41,25 @@ columns are not looked at.
 """
 
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm.arrays import from_planes, in_planes, read_array, steps, write_array
+from scorelake.llm.arrays import from_planes, has_array, in_planes, read_array, steps, write_array
 from scorelake.llm.common import arrow_map, chunks, documents, forget, saved, ship
 from scorelake.session import work_folder
+from scorelake.sources import storage
 
 #: Tokens for each shard of the pairs, rows of a word array, bytes of text in a block.
-SHARD_TOKENS = 2 << 20
+SHARD_TOKENS = 1 << 20
 WORD_ROWS = 1 << 20
 BLOCK_BYTES = 8 << 20
+MOST_TASKS = 1 << 16
 BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(name)) for name in (b" begin", b" end"))
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _FOLLOWERS = ["f1", "f2", "f3", "f4", "more"]
@@ -76,26 +80,30 @@ class Block:
     Number 0 is the begin, 1 the end, words follow; ``hashes`` has the hash of each.
     """
 
-    def __init__(self, texts: list[bytes | None]):
-        known: dict[bytes, int] = {}
-        split = [(text or b"").lower().split() for text in texts]
-        flat = list(chain.from_iterable(split))
-        words = np.fromiter([known.setdefault(word, len(known)) for word in flat], np.int64, len(flat)) + 2
-        self.sizes = np.array([len(own) + 1 for own in split], np.int64)  # tokens of each text
+    def __init__(self, texts: pa.Array):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        flat = split.flatten()
+        there = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        own = np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())[there]
+        coded = flat.filter(pa.array(there)).dictionary_encode()
+        words = coded.indices.to_numpy()
+        self.sizes = np.bincount(own, minlength=len(texts)) + 1  # tokens of each text
         ends = np.cumsum(self.sizes)
-        self.text = np.repeat(np.arange(len(split)), self.sizes)
-        self.token = np.ones(len(self.text), np.int64)
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
+        self.token = np.ones(len(self.text), np.int32)
         inside = np.ones(len(self.text), bool)
         inside[ends - 1] = False
-        self.token[inside] = words
-        self.before = np.concatenate([[0], self.token[:-1]]) if len(self.token) else self.token
+        self.token[inside] = words + 2
+        self.before = np.zeros_like(self.token)
+        self.before[1:] = self.token[:-1]
         self.before[ends - self.sizes] = 0
+        known = coded.dictionary.cast(pa.binary()).to_pylist()
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
         self.hashes = np.concatenate([np.array([BEGIN, END]), hashes])
 
     def codes(self) -> np.ndarray:
         """Each token's pair, as one number."""
-        return self.before << 32 | self.token
+        return self.before.astype(np.int64) << 32 | self.token
 
     def of_codes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.hashes[codes >> 32], self.hashes[codes & 0xFFFFFFFF]
@@ -151,16 +159,16 @@ class Model:
                 values[here][there] = found
         return count, rest, likely
 
-    def of_pairs(self, shard: int, keys: np.ndarray) -> np.ndarray:
-        """Discounted counts of the pairs of a shard, 0 for those it does not have."""
-        known = read_array(self.folder, f"pairs-{shard}-hashes")
-        if not len(known):
+    def gains(self, shard: int, keys: np.ndarray) -> np.ndarray:
+        """Gains of the pairs of a shard, 0 for those it does not have."""
+        if not has_array(self.folder, f"pairs-{shard}-hashes"):
             return np.zeros(len(keys))
+        known = read_array(self.folder, f"pairs-{shard}-hashes")
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         there = known[at] == keys
-        found = np.zeros(len(keys), np.int64)
-        found[there] = read_array(self.folder, f"pairs-{shard}-counts")[at[there]]
-        return discounted(found, self.discounts)
+        found = np.zeros(len(keys))
+        found[there] = read_array(self.folder, f"pairs-{shard}-gains")[at[there]]
+        return found
 
 
 def discounts_of(numbers: list[int]) -> list[float]:
@@ -178,7 +186,7 @@ def discounted(counts: np.ndarray, discounts: list[float]) -> np.ndarray:
 
 
 def texts_of(docs: DataFrame, *columns) -> DataFrame:
-    return docs.select(*columns, F.col("text").cast("binary").alias("text"))
+    return docs.select(*columns, F.col("text").cast("string").alias("text"))
 
 
 def signed(values: np.ndarray) -> pa.Array:
@@ -190,7 +198,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for chunk in chunks(batches, "text", BLOCK_BYTES):
-            block = Block(chunk.column("text").to_pylist())
+            block = Block(chunk.column("text"))
             counts = np.bincount(block.token, minlength=len(block.hashes))
             yield pa.RecordBatch.from_arrays([signed(block.hashes[1:]), pa.array(counts[1:])], names=["hash", "n"])
 
@@ -209,33 +217,38 @@ def shards_of(counts: DataFrame, tokens: int, shard_tokens: int) -> Shards:
 
 
 def pair_runs(docs: DataFrame, shards: Shards) -> DataFrame:
-    """For each block and shard the different pairs, sorted: first words, how many follow each, these, and counts."""
+    """For each block and shard the different pairs: first words, how many follow each, these, and counts."""
 
     def run(batches):
         for chunk in chunks(batches, "text", BLOCK_BYTES):
-            block = Block(chunk.column("text").to_pylist())
+            block = Block(chunk.column("text"))
             codes, counts = np.unique(block.codes(), return_counts=True)
             first, second = block.of_codes(codes)
             shard = shards.of(first, second)
-            order = np.lexsort((second, first, shard))
+            order = np.argsort(shard, kind="stable")  # within a shard, pairs of one first word stay together
             first, second, shard, counts = first[order], second[order], shard[order], counts[order].astype(np.uint32)
             rows = []
             for start, end in _stretches(shard):
                 own = first[start:end]
-                new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                new = np.flatnonzero(_begins(own))
                 fans = np.diff(np.append(new, end - start)).astype(np.uint32)
-                packed = (steps(own[new]), fans, second[start:end], counts[start:end])
+                packed = (own[new], fans, second[start:end], counts[start:end])
                 rows.append((int(shard[start]), *map(in_planes, packed)))
             yield _batch(rows, "shard:int32 first fans second counts")
 
     return arrow_map(texts_of(docs), run, "shard int, first binary, fans binary, second binary, counts binary")
 
 
+def _begins(values: np.ndarray) -> np.ndarray:
+    """Where a stretch of equal values begins."""
+    begins = np.ones(len(values), bool)
+    begins[1:] = values[1:] != values[:-1]
+    return begins
+
+
 def _stretches(values: np.ndarray) -> list[tuple[int, int]]:
     """Begin and end of each stretch of equal values."""
-    if not len(values):
-        return []
-    borders = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])).tolist()
+    borders = [*np.flatnonzero(_begins(values)).tolist(), len(values)]
     return list(zip(borders, borders[1:]))
 
 
@@ -250,44 +263,75 @@ def _batch(rows: list[tuple], names: str) -> pa.RecordBatch:
 
 
 def merged_shards(runs: DataFrame, folder: str) -> DataFrame:
-    """Writes each shard's arrays; returns by word hash how many tokens follow it one to four times and more, and k."""
+    """Writes each shard's pairs; returns by word hash how many tokens follow it one to four times and more, and k."""
 
     def merge(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        firsts = [np.repeat(np.cumsum(from_planes(row["first"], np.uint64)), from_planes(row["fans"], np.uint32)) for row in rows]
-        first = np.concatenate(firsts)
-        second = np.concatenate([from_planes(row["second"], np.uint64) for row in rows])
-        counts = np.concatenate([from_planes(row["counts"], np.uint32) for row in rows]).astype(np.int64)
-        order = np.lexsort((second, first))
-        first, second, counts = first[order], second[order], counts[order]
-        new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-        first, second, counts = first[new], second[new], np.add.reduceat(counts, new)
+        shard = table.column("shard")[0].as_py()
+        runs = {name: table.column(name).to_pylist() for name in ("first", "fans", "second", "counts")}
+        fans = [from_planes(raw, np.uint32) for raw in runs["fans"]]
+        first = np.concatenate([np.repeat(from_planes(raw, np.uint64), fan) for raw, fan in zip(runs["first"], fans, strict=True)])
+        second = np.concatenate([from_planes(raw, np.uint64) for raw in runs["second"]])
+        counts = np.concatenate([from_planes(raw, np.uint32) for raw in runs["counts"]]).astype(np.int64)
+        del runs, fans
         keys = pair_hashes(first, second)
         order = np.argsort(keys)
-        write_array(folder, f"pairs-{rows[0]['shard']}-hashes", keys[order])
-        small = counts.max() < 2**32
-        write_array(folder, f"pairs-{rows[0]['shard']}-counts", counts[order].astype(np.uint32 if small else np.int64))
-        new = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+        new = np.flatnonzero(_begins(keys[order]))
+        counts = np.add.reduceat(counts[order], new)
+        first, second = first[order[new]], second[order[new]]
+        order = np.argsort(first)
+        first, second, counts = first[order], second[order], counts[order]
+        begins = np.flatnonzero(_begins(first))
+        fans = np.diff(np.append(begins, len(first)))
+        kind = np.uint32 if counts.max() < 2**32 else np.int64
+        for name, values in (("first", first[begins]), ("fans", fans), ("second", second), ("counts", counts.astype(kind))):
+            write_array(folder, f"{shard}-{name}", values)
         times = np.minimum(counts, 5)
-        followers = [np.add.reduceat((times == n).astype(np.int64), new) for n in range(1, 6)]
+        followers = [np.add.reduceat((times == n).astype(np.int64), begins) for n in range(1, 6)]
         words, follows = np.unique(second, return_counts=True)
-        columns = [signed(np.concatenate([first[new], words]))]
+        columns = [signed(np.concatenate([first[begins], words]))]
         columns += [pa.array(np.concatenate([values, np.zeros(len(words), np.int64)])) for values in followers]
-        columns.append(pa.array(np.concatenate([np.zeros(len(new), np.int64), follows])))
+        columns.append(pa.array(np.concatenate([np.zeros(len(begins), np.int64), follows])))
         return pa.Table.from_arrays(columns, names=["hash", *_FOLLOWERS, "k"])
 
     ship(runs.sparkSession)
     return runs.groupBy("shard").applyInArrow(merge, "hash long, f1 long, f2 long, f3 long, f4 long, more long, k long")
 
 
+def write_gains(spark: SparkSession, model: Model, counted: str) -> None:
+    """From each shard's counts in the folder ``counted`` its arrays of pair hashes and gains."""
+
+    def run(batches):
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                if has_array(counted, f"{shard}-first"):
+                    write(shard)
+            yield pa.RecordBatch.from_arrays([batch.column("id")], names=["shard"])
+
+    def write(shard: int) -> None:
+        fans = read_array(counted, f"{shard}-fans")
+        heads, second = read_array(counted, f"{shard}-first"), read_array(counted, f"{shard}-second")
+        c, rest, _ = model.of_words(heads)
+        words, which = np.unique(second, return_inverse=True)
+        left = np.repeat(rest * c, fans) * model.of_words(words)[2][which]
+        counts = discounted(read_array(counted, f"{shard}-counts"), model.discounts)
+        gains = np.log10(1 + counts / np.maximum(left, 1e-300))
+        keys = pair_hashes(np.repeat(heads, fans), second)
+        order = np.argsort(keys)
+        write_array(model.folder, f"pairs-{shard}-hashes", keys[order])
+        write_array(model.folder, f"pairs-{shard}-gains", gains[order].astype(np.float32))
+
+    shards = spark.range(0, model.shards.count, 1, min(model.shards.count, MOST_TASKS))
+    arrow_map(shards, run, "shard long").agg(F.max("shard")).collect()
+
+
 def fitted(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, word_rows: int = WORD_ROWS) -> Model:
     """A model of all the texts, its arrays in the shared folder."""
     spark = docs.sparkSession
-    folder = work_folder(spark, "ngrams")
+    folder, counted = work_folder(spark, "ngrams"), work_folder(spark, "ngram-counts")
     counts = saved(word_counts(docs), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     shards = shards_of(counts, total["tokens"], shard_tokens)
-    parts = saved(merged_shards(pair_runs(docs, shards), folder), "word-parts")
+    parts = saved(merged_shards(pair_runs(docs, shards), counted), "word-parts")
     zeros = [F.lit(0).cast("long").alias(name) for name in (*_FOLLOWERS, "k")]
     every = parts.select("hash", F.lit(0).cast("long").alias("n"), *_FOLLOWERS, "k").unionAll(counts.select("hash", "n", *zeros))
     words = saved(every.groupBy("hash").agg(*(F.sum(name).alias(name) for name in ("n", *_FOLLOWERS, "k"))), "words")
@@ -316,7 +360,10 @@ def fitted(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, word_rows: int = W
     written = write_words(words, folder, word_rows, arrays)
     forget(words)
     firsts = np.array([first for first, _ in written], np.uint64)
-    return Model(folder, shards, total["tokens"], types, of_pairs, unknown, [name for _, name in written], firsts)
+    model = Model(folder, shards, total["tokens"], types, of_pairs, unknown, [name for _, name in written], firsts)
+    write_gains(spark, model, counted)
+    storage.delete(spark, counted)
+    return model
 
 
 def write_words(words: DataFrame, folder: str, word_rows: int, arrays) -> list[tuple[int, str]]:
@@ -347,8 +394,8 @@ def write_words(words: DataFrame, folder: str, word_rows: int, arrays) -> list[t
 
 
 _FACTS = np.dtype([("doc_id", "<i8"), ("has_id", "?"), ("tokens", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
-_REQUEST = "shard int, block long, keys binary, added binary, times binary, texts binary, facts binary"
-_SUMS = "block long, text long, doc_id long, n_tokens long, n_known long, base_score double, score double"
+_REQUEST = "shard int, block long, keys binary, times binary, texts binary, facts binary"
+_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def requests(docs: DataFrame, model: Model) -> DataFrame:
@@ -359,9 +406,9 @@ def requests(docs: DataFrame, model: Model) -> DataFrame:
         part, number = TaskContext.get().partitionId(), 0
         model = known.value
         for chunk in chunks(batches, "text", BLOCK_BYTES):
-            block = Block(chunk.column("text").to_pylist())
+            block = Block(chunk.column("text"))
             rows = _asked(block, chunk.column("doc_id").to_pylist(), model, part << 32 | number)
-            yield _batch(rows, "shard:int32 block:int64 keys added times texts facts")
+            yield _batch(rows, "shard:int32 block:int64 keys times texts facts")
             number += 1
 
     return arrow_map(texts_of(docs, F.col("doc_id").cast("long").alias("doc_id")), run, _REQUEST)
@@ -371,72 +418,70 @@ def _asked(block: Block, ids: list, model: Model, name: int) -> list[tuple]:
     order = np.argsort(block.hashes)
     count, rest, likely = (np.empty(len(order), kind) for kind in (np.int64, float, float))
     count[order], rest[order], likely[order] = model.of_words(block.hashes[order])
-    n = count[block.token]
-    base = np.log10((n + 1) / (model.tokens + model.types + 1))
-    behind = count[block.before] > 0
-    # Behind an unknown token the word's own p counts, and no pair with an unknown token is known.
-    direct = np.where(behind, rest[block.before], 1.0) * likely[block.token]
-    ask = behind & (n > 0)
-    with np.errstate(divide="ignore"):
-        sure = np.where(ask, -np.log10(np.maximum(count[block.before], 1)), np.log10(np.maximum(direct, 1e-300)))
+    known, behind = count > 0, np.where(count > 0, rest, 1.0)
+    base = np.log10((count + 1) / (model.tokens + model.types + 1))
+    alone, left = (np.log10(np.maximum(values, 1e-300)) for values in (likely, behind))
     facts = np.zeros(len(ids), _FACTS)
     facts["doc_id"] = [doc_id or 0 for doc_id in ids]
     facts["has_id"] = [doc_id is not None for doc_id in ids]
     facts["tokens"] = block.sizes
-    for kind, values in (("known", n > 0), ("base", base), ("score", sure)):
+    for kind, values in (("known", known[block.token]), ("base", base[block.token]), ("score", alone[block.token] + left[block.before])):
         facts[kind] = np.bincount(block.text, weights=values, minlength=len(ids))
-    rows = [(name % model.shards.count, name, None, None, None, None, facts.tobytes())]
-    codes, which, times = np.unique(block.codes()[ask], return_inverse=True, return_counts=True)
-    first, second = block.of_codes(codes)
+    rows = [(name % model.shards.count, name, None, None, None, facts.tobytes())]
+    # No pair with an unknown token is known.
+    ask = np.flatnonzero(known[block.token] & known[block.before])
+    texts = block.text[ask].astype(np.uint32)
+    first, second = block.hashes[block.before[ask]], block.hashes[block.token[ask]]
     shard, keys = model.shards.of(first, second), pair_hashes(first, second)
-    added = (rest[codes >> 32] * likely[codes & 0xFFFFFFFF] * count[codes >> 32]).astype(np.float32)
-    order = np.lexsort((keys, shard))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    texts = block.text[ask][np.argsort(place[which], kind="stable")].astype(np.uint32)
-    shard, keys, added, times = shard[order], keys[order], added[order], times[order].astype(np.uint32)
-    ends = np.concatenate([[0], np.cumsum(times, dtype=np.int64)])
+    del first, second, ask
+    # By shard and key; keys that differ in their lowest bits alone may come in any order.
+    order = np.argsort(shard.astype(np.uint64) << np.uint64(44) | keys >> np.uint64(20))
+    shard, keys, texts = shard[order], keys[order], texts[order]
     for start, end in _stretches(shard):
-        packed = (steps(keys[start:end]), added[start:end], times[start:end], texts[ends[start] : ends[end]])
-        rows.append((int(shard[start]), name, *map(in_planes, packed), None))
+        own = keys[start:end]
+        new = np.flatnonzero(_begins(own))
+        times = np.diff(np.append(new, end - start)).astype(np.uint32)
+        rows.append((int(shard[start]), name, *map(in_planes, (steps(own[new]), times, texts[start:end])), None))
     return rows
 
 
 def answered(asked: DataFrame, model: Model) -> DataFrame:
-    """Sums of each block's texts: one row from its words, and one from each shard."""
+    """For each block and shard the sums of gains of the block's texts; facts go on as they are."""
     known = asked.sparkSession.sparkContext.broadcast(model)
-    names = [column.split()[0] for column in _SUMS.split(", ")]
 
     def run(batches):
         model = known.value
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["facts"] is not None:
-                    facts = np.frombuffer(row["facts"], _FACTS)
-                    texts = np.arange(len(facts))
-                    columns = [
-                        pa.array(facts["doc_id"].copy(), mask=~facts["has_id"]), *(pa.array(facts[name].copy()) for name in ("tokens", "known", "base", "score")),
-                    ]
-                else:
-                    found = model.of_pairs(row["shard"], np.cumsum(from_planes(row["keys"], np.uint64)))
-                    logs = np.log10(np.maximum(found + from_planes(row["added"], np.float32), 1e-300))
+            for at in range(batch.num_rows):
+                [row] = batch.slice(at, 1).to_pylist()
+                texts = sums = None
+                if row["facts"] is None:
+                    gains = model.gains(row["shard"], np.cumsum(from_planes(row["keys"], np.uint64)))
                     texts = from_planes(row["texts"], np.uint32)
-                    sums = np.bincount(texts, weights=np.repeat(logs, from_planes(row["times"], np.uint32)))
+                    found = np.bincount(texts, weights=np.repeat(gains, from_planes(row["times"], np.uint32)))
                     texts = np.flatnonzero(np.bincount(texts))
-                    none = pa.nulls(len(texts))
-                    columns = [*(none.cast(kind) for kind in [pa.int64()] * 3 + [pa.float64()]), pa.array(sums[texts])]
-                block = np.full(len(texts), row["block"])
-                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(texts.astype(np.int64)), *columns], names=names)
+                    texts, sums = in_planes(texts.astype(np.uint32)), in_planes(found[texts])
+                yield _batch([(row["block"], row["shard"], texts, sums, row["facts"])], "block:int64 shard:int32 texts sums facts")
 
-    return arrow_map(asked.repartition("shard"), run, _SUMS)
+    # A task has a shard, or few.
+    dealt = asked.repartition(min(model.shards.count, MOST_TASKS), "shard")
+    return arrow_map(dealt, run, "block long, shard int, texts binary, sums binary, facts binary")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row; scores are log10 of probabilities."""
-    sums = answered(requests(docs, model), model).groupBy("block", "text").agg(
-        *(F.max(name).alias(name) for name in ("doc_id", "n_tokens", "n_known", "base_score")), F.sum("score").alias("score")
-    )
-    return sums.drop("block", "text")
+    names = [column.split()[0] for column in _SCORES.split(", ")]
+
+    def total(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda row: (row["facts"] is None, row["shard"]))
+        facts = np.frombuffer(rows[0]["facts"], _FACTS)
+        score = facts["score"].copy()
+        for row in rows[1:]:
+            score[from_planes(row["texts"], np.uint32)] += from_planes(row["sums"], np.float64)
+        kept = [pa.array(facts[name].copy()) for name in ("tokens", "known", "base")]
+        return pa.Table.from_arrays([pa.array(facts["doc_id"].copy(), mask=~facts["has_id"]), *kept, pa.array(score)], names=names)
+
+    return answered(requests(docs, model), model).groupBy("block").applyInArrow(total, _SCORES)
 
 
 def perplexity(score, n_tokens):
