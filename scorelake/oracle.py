@@ -64,6 +64,11 @@ WITH deduped AS (
     WHERE r_name <> 'ASIA'
 )"""
 
+_RELOADED_GAMES = _GAMES.replace(
+    "FROM orders",
+    """FROM orders WHERE year(o_orderdate) <> 1997
+       OR (o_custkey % 101 >= 80 AND strftime(o_orderdate, '%Y-%m') <> '1997-05')""",
+)
 _SCORED_GAMES = _GAMES.replace("FROM orders", "FROM orders WHERE o_custkey % 101 <> 0")
 
 
@@ -295,6 +300,19 @@ brands AS ({_brands()}),
 consoles AS ({_CONSOLES}),
 counts("check", "table", "column", failures) AS ({_SUMMARY})
 SELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM counts""",
+    "brands_by_change": _RELOADED_GAMES + _brands(),
+    "consoles_by_change": _RELOADED_GAMES + _CONSOLES,
+    "dq_unique_by_month": _GAMES
+    + """,
+placed AS (
+    SELECT id, metacritic, date FROM games
+    UNION ALL
+    SELECT id, metacritic, month FROM games, (VALUES ('1996-01'), ('1997-03')) AS months(month)
+    WHERE id % 11 = 0
+)
+SELECT id::VARCHAR AS value, COUNT(*) AS records FROM placed
+WHERE date NOT LIKE '1997-%' OR (metacritic >= 80 AND date <> '1997-05')
+GROUP BY id HAVING COUNT(*) > 1""",
     "bronze_games": _GAMES + f" SELECT *, 'tag ' || id AS tag FROM ({_FLAT_GAMES})",
     "documents_as_written": """
 SELECT strftime(o_orderdate, '%Y-%m') AS date, o_orderkey AS id, 'É №' AS name,

@@ -16,7 +16,7 @@ from scorelake.functions import (
 )
 from scorelake.operators import marts, quality
 from scorelake.operators import games as ops
-from scorelake.plans import bronze, dashboard, end_to_end, raw, refresh
+from scorelake.plans import bronze, changes, dashboard, end_to_end, raw, refresh
 from scorelake.schemas import SILVER
 from scorelake.session import work_folder
 from scorelake.sources import pages as raw_pages
@@ -450,6 +450,38 @@ def dq_summary(spark, folder):
     )
 
 
+# Marts and checks from what has changed
+
+
+def _kept_marts(spark: SparkSession, folder: str, games: DataFrame) -> changes.KeptMarts:
+    """Kept marts of all months, brought up to date after some of them were replaced."""
+    root = work_folder(spark, "kept_marts")
+    path = f"{root}/bronze"
+    marts_kept = changes.KeptMarts(spark, path, f"{root}/kept", feed.console_mapping(spark, folder))
+    snapshots.replace_months(spark, games, path, _months(spark, folder), tables.by_month)
+    marts_kept.update()
+    snapshots.replace_months(spark, _reloaded(games), path, REPLACED_MONTHS, tables.by_month)
+    marts_kept.update()
+    return marts_kept
+
+
+def brands_by_change(spark, folder):
+    return _kept_marts(spark, folder, feed.games(spark, folder)).brand_mart()
+
+
+def consoles_by_change(spark, folder):
+    return _kept_marts(spark, folder, feed.games(spark, folder)).console_mart()
+
+
+def dq_unique_by_month(spark, folder):
+    """Game ids in more than one month: every eleventh game is in two other months as well, one of them replaced."""
+    games = feed.games(spark, folder)
+    again = games.filter(F.col("game.id") % 11 == 0)
+    for month in ("1996-01", REPLACED_MONTHS[2]):
+        games = games.unionAll(again.withColumn("date", F.lit(month)))
+    return _kept_marts(spark, folder, games).repeated_games()
+
+
 # Composed jobs
 
 
@@ -547,6 +579,9 @@ QUERIES = {
     "dq_accepted_values": dq_accepted_values,
     "dq_coverage": dq_coverage,
     "dq_summary": dq_summary,
+    "brands_by_change": brands_by_change,
+    "consoles_by_change": consoles_by_change,
+    "dq_unique_by_month": dq_unique_by_month,
     "bronze_games": bronze_games,
     "documents_as_written": documents_as_written,
     "land_and_load": land_and_load,

@@ -9,6 +9,11 @@ from pyspark.sql import SparkSession
 from scorelake.sources import storage
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="scorelake-")
+
+
 def local_session(cpus: int | str = "*", app_name: str = "scorelake") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
     return (
@@ -18,15 +23,11 @@ def local_session(cpus: int | str = "*", app_name: str = "scorelake") -> SparkSe
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.warehouse.dir", f"{_local_folder()}/warehouse")
         .getOrCreate()
     )
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="scorelake-")
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 

@@ -101,17 +101,22 @@ def plain_months(spark: SparkSession, path: str) -> list[str]:
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table as it is now; what is committed later does not change the frame."""
     placed = current(spark, path)
-    wide = T.StructType([*schema.fields, T.StructField("version", T.StringType()), T.StructField("part", T.StringType())])
-    folders = [f"{version_folder(path, version)}/part={ROWS}/date={month}" for month, version in placed.items() if version]
+    found = read_versions(spark, path, {month: version for month, version in placed.items() if version}, schema)
     plain = [f"{path}/date={month}" for month in plain_months(spark, path) if month not in placed]
-    found = None
-    if folders:
-        rows = spark.read.schema(wide).option("basePath", f"{path}/{VERSIONS}").parquet(*folders)
-        found = rows.select(*schema.names)
-    if plain:
-        rows = spark.read.schema(schema).option("basePath", path).parquet(*plain).select(*schema.names)
-        found = rows if found is None else found.unionAll(rows)
-    return spark.createDataFrame([], schema) if found is None else found
+    if not plain:
+        return found
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*plain).select(*schema.names)
+    return found.unionAll(rows) if any(placed.values()) else rows
+
+
+def read_versions(spark: SparkSession, path: str, versions: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """The given months as the given versions have them, in one scan."""
+    folders = [f"{version_folder(path, version)}/part={ROWS}/date={month}" for month, version in versions.items()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    wide = T.StructType([*schema.fields, T.StructField("version", T.StringType()), T.StructField("part", T.StringType())])
+    rows = spark.read.schema(wide).option("basePath", f"{path}/{VERSIONS}").parquet(*folders)
+    return rows.select(*schema.names)
 
 
 def write(table: DataFrame, path: str, version: str) -> list[str]:
