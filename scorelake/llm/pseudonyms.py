@@ -6,14 +6,20 @@ by how many digits they have. A value becomes a number below the size of its for
 Feistel permutation with cycle walking maps it to another one, and that is written in the same
 form: check digits are made anew, separators stay. Equal values get equal pseudonyms in all
 documents, however they are punctuated, and different values different ones; without the key
-they cannot be turned back. E-mail addresses and secrets in assignments are no numbers but are
-permuted the same way, letter for letter and digit for digit; an address keeps its last label.
+they cannot be turned back. E-mail addresses and secrets are no numbers but are permuted as well,
+letter for letter and digit for digit, by a Feistel network over the characters: each round adds to
+every second character a stream of numbers from a hash of all the others, so each depends on all
+others, in time linear in the length. An address keeps its last label.
 
 Forms that are covered: dates as 2024-01-31, also before a time ('T' and digits), 31.1.2024 and
 1/31/2024; telephone numbers as 555-123-4567, (555) 123-4567 with or without a country code, and
 after '+' and the country code any three to five groups of two to four digits, before which one
 single digit may stand (+33 6 12 34 56 78); cards in fours, as 4-6-5 or unbroken; IBANs in capital
-letters, in fours or unbroken. National numbers of other forms and dates in words are not looked for.
+letters, in fours or unbroken. Secrets are runs of 16 characters or more, with the parts of a dotted
+token, behind ':' or '=' after a name that has token, secret, password, passwd, pwd or api, access,
+private or secret key in it (``aws_secret_access_key``, ``client-secret``), or behind ``Bearer``; and
+signed tokens of three parts, AWS key ids and GitHub tokens wherever they stand. National numbers of
+other forms, dates in words and secrets of other forms are not looked for.
 
 A pattern may take in a word or number that follows. An IBAN or telephone number that is not valid
 as found is tried with shorter ends between its groups, an IBAN first with its country's length;
@@ -27,6 +33,7 @@ searched whole; the rows' other columns are kept whatever their names.
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Callable
 from datetime import date
 from functools import lru_cache
@@ -49,8 +56,10 @@ ALPHABETS = (LOWER, UPPER, DIGITS, ACCENTED, ACCENTED.upper().replace("Ÿ", ""))
 PATTERN = re.compile(
     r"""
     (?P<email>(?<![\w.+-])[\w.+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})
-    |(?P<secret>(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b["']?\s*[:=]\s*["']?)
-        (?P<hidden>[A-Za-z0-9+/_-]{16,}))
+    |(?P<secret>(?:(?<![A-Za-z0-9_-])(?i:(?:[a-z0-9]+[_-])*(?:[a-z0-9]*(?:token|secret|password|passwd|pwd)|(?:api|access|private|secret)[_-]?key)
+            (?:[_-][a-z0-9]+)*)["']?\s*[:=]\s*["']?(?:(?i:bearer)\s+)?|(?<!\w)(?i:bearer)\s+)
+        (?P<hidden>[A-Za-z0-9+/_-]{16,}(?:\.[A-Za-z0-9+/_-]+)*))
+    |(?P<bare>(?<![\w.-])(?:eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,})(?![\w-]))
     |(?P<iban>\b[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b)
     |(?P<card>(?<![\w.-])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-]))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
@@ -74,17 +83,18 @@ IBAN_SIZES = {
     for country in countries.split()
 }
 BORDER = re.compile("[ .-]")
-SOME = re.compile(r"[0-9@]|(?i:token|secret|passw|key)")
+SOME = re.compile(r"[0-9@]|(?i:token|secret|passw|pwd|key|bearer)|eyJ|AKIA|ASIA|gh[pousr]_")
 
 
 class Permutation:
-    """A keyed permutation of the numbers below ``size``; ``allowed`` may leave some out."""
+    """A keyed permutation of the numbers below ``size``, 512 bits at most; ``allowed`` may leave some out."""
 
     def __init__(self, key: bytes, name: str, size: int):
         self.size = size
         self.left = math.isqrt(max(size, 1) - 1) + 1
         self.right = -(-size // self.left)
-        self.key = hashlib.blake2b(f"{name}:{size}".encode(), key=key[:64], digest_size=32).digest()
+        of_size = size.to_bytes((size.bit_length() + 7) // 8, "little")
+        self.key = hashlib.blake2b(name.encode() + b":" + of_size, key=key[:64], digest_size=32).digest()
 
     def _by(self, turn: int, half: int) -> int:
         data = turn.to_bytes(1, "little") + half.to_bytes((half.bit_length() + 8) // 8, "little")
@@ -205,20 +215,31 @@ def _remainder(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text)) % 97
 
 
+_ALPHABET = {char: alphabet for alphabet in ALPHABETS for char in alphabet}
+_PLACE = {char: place for alphabet in ALPHABETS for place, char in enumerate(alphabet)}
+
+
 def _spelled(key: bytes, name: str, text: str) -> str:
-    """The text as one number, each character a digit in the alphabet it belongs to."""
-    alphabets = [next((a for a in ALPHABETS if c in a), c) for c in text]
-    value, size = 0, 1
-    for char, alphabet in zip(text, alphabets, strict=True):
-        value = value * len(alphabet) + alphabet.index(char)
-        size *= len(alphabet)
+    """The text with each character replaced by one of its alphabet; characters of none stay."""
+    chars = list(text)
+    places = [at for at, char in enumerate(chars) if char in _ALPHABET]
+    alphabets = [_ALPHABET[chars[at]] for at in places]
+    values = [_PLACE[chars[at]] for at in places]
     form = "".join(alphabet[0] for alphabet in alphabets)
-    value = permutation(key, f"{name}:{form}", size).of(value)
-    chars = []
-    for alphabet in reversed(alphabets):
-        value, at = divmod(value, len(alphabet))
-        chars.append(alphabet[at])
-    return "".join(reversed(chars))
+    form_key = hashlib.blake2b(f"{name}:{form}".encode(), key=key[:64], digest_size=32).digest()
+    sizes = [len(alphabet) for alphabet in alphabets]
+    # Two halves of every second character, whatever the form looks like.
+    halves = [values[0::2], values[1::2]]
+    half_sizes = [sizes[0::2], sizes[1::2]]
+    for turn in range(ROUNDS):
+        here, other = turn % 2, 1 - turn % 2
+        seed = form_key + bytes([turn]) + bytes(halves[other])
+        stream = array("Q", hashlib.shake_256(seed).digest(8 * len(halves[here])))
+        halves[here] = [(value + more) % size for value, more, size in zip(halves[here], stream, half_sizes[here], strict=True)]
+    values[0::2], values[1::2] = halves
+    for at, alphabet, value in zip(places, alphabets, values, strict=True):
+        chars[at] = alphabet[value]
+    return "".join(chars)
 
 
 def _email(key: bytes, text: str) -> str:
@@ -248,9 +269,10 @@ def pseudonymised(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]
     """The text with pseudonyms, and (kind, start, length) of each in the new text."""
     parts, spans, done, size, at = [], [], 0, 0, 0
     while match := PATTERN.search(text, at):
-        kind = match.lastgroup if match.lastgroup in KINDS else next(k for k in (*KINDS, "secret") if match[k] is not None)
-        if kind == "secret":
-            start, end, value = match.start("hidden"), match.end(), _secret(key, match["hidden"])
+        kind = match.lastgroup if match.lastgroup in KINDS else next(k for k in (*KINDS, "secret", "bare") if match[k] is not None)
+        if kind in ("secret", "bare"):
+            found = match["hidden"] or match["bare"]
+            kind, start, end, value = "secret", match.end() - len(found), match.end(), _secret(key, found)
         else:
             start = match.start()
             for reading in _readings(kind, match[0]):
