@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorelake.llm.bpe import VOCABULARY, vocabulary
+from scorelake.llm.bpe import SPACE, VOCABULARY, vocabulary
 from scorelake.llm.common import arrow_map, chunks, documents, saved
 
 CAPACITY = 2048
@@ -61,7 +61,8 @@ class Encoder:
         pattern = public_tokenizers.PATTERN.replace(r"\s+(?!\S)|", "")
         self.run = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.special, self.cut = words.special, words.cut
-        self.gap = re.compile(r"(?<=\s)(?=\s\S)")
+        # The pattern's own class of white space, which is not Python's.
+        self.gap = re.compile(f"(?<=[{SPACE}])(?=[{SPACE}][^{SPACE}])")
 
     def ids(self, text: str) -> list[int]:
         if self.cut is not None and self.cut.search(text):

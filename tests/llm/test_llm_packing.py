@@ -137,3 +137,25 @@ def test_query(spark, library):
     ids = {d.doc_id: library.encode(d.text or "", add_special_tokens=False).ids + [0] for d in docs}
     used = check(QUERIES["op7_exact_complement_packing"](spark, "/root/testdata/sf0.001").collect(), ids, 2048)
     assert used <= -(-sum(map(len, ids.values())) // 2048) + 1
+
+
+def test_ids_are_the_librarys_over_all_control_characters(library):
+    """Every character of white space or control between, before and behind others of its kind."""
+    encode = packing.encoder(public_tokenizers.path(packing.VOCABULARY)).ids
+    rng = random.Random(21)
+    odd = [*range(0x21), 0x7F, *range(0x80, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F]
+    odd = [*map(chr, [*odd, 0x3000, 0xFEFF])]
+    rest = ["a", "b", "'s", "1", ".", "é", "日", "the", "<|endoftext|>"]
+    texts = [f"a{one}{two}b{one}\n\n{two}c" for one in odd for two in odd]
+    texts += ["".join(rng.choices(odd + rest * 4, k=rng.randint(1, 14))) for _ in range(20_000)]
+    texts += ["".join(rng.choices(odd, k=rng.randint(1, 8))) + "b" for _ in range(10_000)]
+    for text, expected in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encode(text) == expected.ids, repr(text)
+
+
+def test_ids_are_the_librarys_over_all_code_points(library):
+    encode = packing.encoder(public_tokenizers.path(packing.VOCABULARY)).ids
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 4096):
+        text = "".join(f"a{chr(c)}b\n\n{chr(c)}2 {chr(c)}  {chr(c)} ." for c in points[start : start + 4096])
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
