@@ -8,8 +8,11 @@ added; what the lower ones can add is bounded by the query. From the most signif
 the sums downward, the rows of the k largest are found; all rows that the bound leaves a chance
 are the boundary, and for these the exact product is taken from all the bits.
 
-Queries are dealt in small groups to all blocks, and each task works on one block and one group.
-What tasks return is k rows for each query and block.
+Blocks and groups of queries meet on a grid. Blocks are dealt to its rows and groups to its columns;
+each block goes to all cells of its row, each group to all cells of its column, so that what is
+shuffled grows with the root of the number of cells, not with blocks times groups. A task has a cell:
+it holds the cell's groups and takes its blocks one after the other. There are so many columns that
+the groups of a cell fit into ``HELD`` bytes. What tasks return is k rows for each query and block.
 
 Defined results: a vector that is null, or holds a null, a NaN or an infinity, takes no part, nor
 does a row without vec_id; only vectors of the same length are compared; a query is not matched
@@ -17,13 +20,15 @@ with rows of its own vec_id; repeated rows are candidates, and queries, of their
 the smaller vec_id; fewer candidates than k give fewer rows; other columns are not looked at.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import arrow_map
+from scorelake.llm.common import arrow_map, saved
 
 TOP = 5
 EVERY = 50
@@ -32,9 +37,11 @@ SCALE = 256
 BLOCK_ROWS = 16_384
 BLOCK_VALUES = 1 << 22
 GROUP = 64
-#: Bits that the first sums leave out, and copies of a block that are joined with groups.
+#: Bits that the first sums leave out.
 LOWER_BITS = 3
-SPREAD = 8
+#: Cells of the grid at least, if there are as many blocks and groups, and bytes of a cell's groups.
+CELLS = 24
+HELD = 64 << 20
 
 BLOCKS = "block long, dims int, rows int, ids binary, least binary, slices binary"
 GROUPS = "chunk long, dims int, ids binary, vectors binary"
@@ -214,29 +221,64 @@ class Block:
         return ids[order], scores[order]
 
 
-def search(values: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
+def grid(blocks: int, groups: int, group_bytes: int, cells: int = CELLS, held: int = HELD) -> tuple[int, int]:
+    """Rows and columns: about ``cells`` cells, as square as that goes, more columns where groups are many."""
+    columns = max(1, -(-group_bytes // held))
+    columns = max(columns, min(groups, max(math.isqrt(cells), -(-cells // max(blocks, 1)))))
+    rows = min(max(blocks, 1), max(1, -(-cells // columns)))
+    return rows, columns
+
+
+def dealt(blocks: DataFrame, groups: DataFrame, rows: int, columns: int) -> DataFrame:
+    """Each block in all cells of its row and each group in all of its column, groups first in a cell."""
+    # Numbers are (task << 33) + a running number: neighbours go to different rows or columns.
+    number = lambda name: F.shiftright(name, 33) + F.col(name).bitwiseAND((1 << 33) - 1)
+    row, column = F.pmod(number("block"), F.lit(rows)), F.pmod(number("chunk"), F.lit(columns))
+    none = F.lit(None)
+    of_blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))).select(
+        (row * columns + F.col("other")).cast("int").alias("cell"), F.lit(1).alias("kind"), "dims", "rows",
+        none.cast("long").alias("chunk"), "ids", "least", F.col("slices").alias("content"),
+    )
+    of_groups = groups.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).select(
+        (F.col("other") * columns + column).cast("int").alias("cell"), F.lit(0).alias("kind"), "dims", none.cast("int").alias("rows"),
+        "chunk", "ids", none.cast("binary").alias("least"), F.col("vectors").alias("content"),
+    )
+    cells = of_blocks.unionAll(of_groups).repartitionById(rows * columns, "cell")
+    return cells.sortWithinPartitions("cell", "kind")
+
+
+def search(values: DataFrame, queries: DataFrame, top: int = TOP, cells: int = CELLS) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query's ``top`` candidates."""
 
     def run(batches):
+        cell, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["dims"], row["rows"], row["block_ids"], row["least"], row["slices"])
-                own = np.frombuffer(row["ids"], np.int64)
-                vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(own), row["dims"])
-                out = []
-                for place, (query_id, query) in enumerate(zip(own.tolist(), vectors, strict=True)):
-                    for vec_id, score in zip(*block.best(query_id, query, top), strict=True):
-                        out.append((row["chunk"], place, query_id, int(vec_id), int(score)))
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+            for at in range(batch.num_rows):
+                [row] = batch.slice(at, 1).to_pylist()
+                if row["cell"] != cell:
+                    cell, held = row["cell"], []
+                if row["kind"] == 0:
+                    own = np.frombuffer(row["ids"], np.int64)
+                    held.append((row["chunk"], row["dims"], own, np.frombuffer(row["content"], np.int64).reshape(len(own), row["dims"])))
+                    continue
+                block = Block(row["dims"], row["rows"], row["ids"], row["least"], row["content"])
+                for chunk, dims, own, vectors in held:
+                    if dims == row["dims"]:
+                        yield found_by(block, chunk, own, vectors)
+
+    def found_by(block, chunk, own, vectors) -> pa.RecordBatch:
+        out = []
+        for place, (query_id, query) in enumerate(zip(own.tolist(), vectors, strict=True)):
+            for vec_id, score in zip(*block.best(query_id, query, top), strict=True):
+                out.append((chunk, place, query_id, int(vec_id), int(score)))
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     names = ["chunk", "place", "query_id", "vec_id", "score"]
-    blocks = indexed(values).withColumnRenamed("ids", "block_ids")
-    known = blocks.select("block", "dims")
-    salt = F.pmod(F.xxhash64("chunk"), F.lit(SPREAD)).cast("int").alias("salt")
-    dealt = grouped(queries).join(known, "dims").select("block", salt, "chunk", "ids", "vectors")
-    copies = blocks.withColumn("salt", F.explode(F.array(*map(F.lit, range(SPREAD)))))
-    found = arrow_map(copies.join(dealt, ["block", "salt"]), run, ", ".join(f"{name} long" for name in names))
+    blocks, groups = saved(indexed(values), "bit-slices"), saved(grouped(queries), "query-groups")
+    size = groups.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("vectors")), F.lit(0)).alias("bytes")).first()
+    rows, columns = grid(blocks.count(), size["n"], size["bytes"], cells)
+    found = arrow_map(dealt(blocks, groups, rows, columns), run, ", ".join(f"{name} long" for name in names))
     order = Window.partitionBy("chunk", "place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
@@ -244,7 +286,8 @@ def search(values: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
 
 def op3_bit_sliced_topk(spark, sf_dir):
     values = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
-    return search(values, values.filter(F.col("vec_id") % EVERY == 0))
+    cells = max(CELLS, 4 * spark.sparkContext.defaultParallelism)
+    return search(values, values.filter(F.col("vec_id") % EVERY == 0), cells=cells)
 
 
 ORACLE_SQL = """

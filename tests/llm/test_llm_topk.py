@@ -1,8 +1,10 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 from llm_rows import CLASHING
+from pyspark.sql import functions as F
 
 from scorelake.llm import topk
 from scorelake.llm.queries import QUERIES
@@ -66,6 +68,31 @@ def test_many_blocks_and_groups(spark, monkeypatch):
     assert got(spark, rows, every=7) == expected(rows, 7, 5)
 
 
+def test_shapes_of_the_grid():
+    assert topk.grid(0, 0, 0, 24) == (1, 1)
+    assert topk.grid(6, 17, 1 << 20, 24) == (6, 4)
+    assert topk.grid(1, 100, 1 << 20, 24) == (1, 24)
+    assert topk.grid(1000, 3, 1 << 20, 24) == (8, 3)
+    rows, columns = topk.grid(10**5, 10**4, 10**11, 4000)
+    assert columns >= 10**11 / topk.HELD and rows >= 1
+    for blocks, groups in ((61_000, 30_000), (244_000, 120_000)):
+        # Copies of a block, and of a group, do not grow with the table.
+        assert max(topk.grid(blocks, groups, 1 << 20, 4096)) <= 65
+
+
+def test_every_block_meets_every_group_once(spark):
+    blocks = spark.createDataFrame([((part << 33) + n, 2, 1, b"", b"", b"") for part in range(5) for n in range(3)], topk.BLOCKS)
+    groups = spark.createDataFrame([((part << 33) + n, 2, b"", b"") for part in range(4) for n in range(2)], topk.GROUPS)
+    cells = topk.dealt(blocks, groups, 4, 3)
+    text = cells._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange") == 1
+    rows = cells.select("cell", "kind", F.spark_partition_id().alias("task")).collect()
+    assert {(row.cell, row.task) for row in rows} == {(n, n) for n in range(12)}
+    counts = Counter((row.cell, row.kind) for row in rows)
+    assert sum(counts[cell, 0] * counts[cell, 1] for cell in range(12)) == 15 * 8
+    assert max(counts[cell, 1] for cell in range(12)) <= 4
+
+
 def test_bitmap_sums_and_choice():
     rng = np.random.default_rng(4)
     for dims, rows in ((1, 5), (9, 64), (20, 300)):
