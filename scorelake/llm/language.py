@@ -2,14 +2,16 @@
 
 Each language has a model of the letters of its words, up to five at a time, with marks for a
 word's begin and end. Counts come from a sample of labelled rows of bounded size (``SAMPLE``
-documents for each language, drawn by a hash of the id, taken whole); Spark counts words, then
-the sequences in them. A sequence's probability is its discounted share after its context plus
+documents for each language, drawn by a hash of the id, taken whole, ``SAMPLE_BYTES`` bytes of them
+and one document more at most, of the ``LANGUAGES`` most frequent languages); Spark counts words,
+then the sequences in them, and works out all shares and weights. A sequence's probability is its discounted share after its context plus
 the context's remaining weight times the probability one letter shorter; below the longest
 order a count is the number of different letters a sequence follows.
 
 The models of all languages share sorted arrays: for every order the hashes of known sequences
 with a row of discounted shares, and the hashes of contexts with a row of weights. Scoring looks
-up the different words of a small batch in these arrays by binary search. The prediction is the
+up the different words of a small batch in these arrays by binary search. The driver gets hashes
+and numbers alone, some twenty bytes for each different sequence of the sample and language. The prediction is the
 language of the lowest cross-entropy for each letter; ``score`` is that language's share of the
 likelihood, worked out on ``SURE`` letters at most, so that it stays a graded number.
 
@@ -34,10 +36,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.llm.common import arrow_map, chunks, class_of, documents, saved
+from scorelake.llm.common import arrow_map, chunks, class_of, documents, forget, saved
 
 ORDER = 5
 SAMPLE = 600
+SAMPLE_BYTES = 16 << 20
+LANGUAGES = 256
 #: Every ``APART``-th document of the sample sets the limits instead of being counted.
 APART = 5
 SURE = 30
@@ -183,16 +187,19 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def sample_of(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
+def sample_of(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """About ``most`` labelled documents of each language that may be learned from, never over twice."""
     may = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
     draw = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(2**40)) / F.lit(2.0**40)
-    share = may.groupBy("lang").agg((F.lit(float(most)) / F.count(F.lit(1))).alias("share"))
+    sizes = may.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
+    share = sizes.select("lang", (F.lit(float(most)) / F.col("rows")).alias("share"))
     drawn = may.join(F.broadcast(share), "lang").withColumn("draw", draw).filter(F.col("draw") < F.col("share"))
     by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    return drawn.withColumn("rank", F.row_number().over(by_draw)).filter(F.col("rank") <= 2 * most).select("lang", "text", "rank")
+    before = F.coalesce(F.sum(F.octet_length("text")).over(by_draw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = drawn.withColumn("rank", F.row_number().over(by_draw)).withColumn("before", before)
+    return ranked.filter((F.col("rank") <= 2 * most) & (F.col("before") <= most_bytes)).select("lang", "text", "rank")
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
@@ -241,41 +248,67 @@ def sequence_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
     ).filter("times > 0")
 
 
-def model_from(counts, order: int = ORDER) -> Model:
-    """Discounted shares and context weights from the sequence counts (a pandas frame)."""
-    languages = sorted(counts["lang"].unique())
-    column = {language: n for n, language in enumerate(languages)}
-    letters = max(2, counts.loc[counts["size"] == 1, "sequence"].nunique())
+def text_hashes(texts: list[str]) -> np.ndarray:
+    """``text_hash`` of each of the texts, 0 for an empty one."""
+    found = np.zeros(len(texts), np.uint64)
+    sizes = np.array([len(text) for text in texts], np.int64)
+    for size in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == size)
+        points = np.frombuffer("".join(texts[row] for row in rows).encode("utf-32-le"), "<u4").astype(np.uint64)
+        found[rows] = sequence_hashes(points, int(size))[size - 1 :: size]
+    return found
+
+
+def shares_and_weights(counts: DataFrame) -> DataFrame:
+    """From sequence counts rows (kind, size, lang, text, value): ``share`` of a sequence after its context, ``weight`` of a context."""
+    counts = counts.filter(F.col("sequence") != BEGIN)
+    numbers = [F.count_if(F.col("times") == n).alias(name) for n, name in ((1, "once"), (2, "twice"))]
+    discounts = counts.groupBy("lang", "size").agg(*numbers).select(
+        "lang",
+        "size",
+        F.when((F.col("once") > 0) & (F.col("twice") > 0), F.col("once") / (F.col("once") + 2 * F.col("twice")))
+        .otherwise(0.5)
+        .alias("discount"),
+    )
+    # A row for each language and size.
+    rows = counts.join(F.broadcast(discounts), ["lang", "size"])
+    rows = rows.withColumn("context", F.expr("left(sequence, char_length(sequence) - 1)"))
+    contexts = rows.groupBy("lang", "size", "context", "discount").agg(
+        F.sum("times").alias("total"), F.count(F.lit(1)).alias("different")
+    )
+    share = ((F.col("times") - F.col("discount")) / F.col("total")).cast("float").alias("value")
+    shares = rows.join(contexts.select("lang", "size", "context", "total"), ["lang", "size", "context"])
+    shares = shares.select(F.lit("share").alias("kind"), "size", "lang", F.col("sequence").alias("text"), share)
+    weight = (F.col("discount") * F.col("different") / F.col("total")).cast("float").alias("value")
+    return shares.unionAll(contexts.select(F.lit("weight"), "size", "lang", "context", weight))
+
+
+def model_from(counts: DataFrame, order: int = ORDER) -> Model:
+    """The model of sequence counts, a table that was written once."""
+    languages = [row["lang"] for row in counts.select("lang").distinct().orderBy("lang").collect()]
+    letters = max(2, counts.filter("size = 1").select("sequence").distinct().count())
     model = Model(languages, letters, [], [], [], [])
     if not languages:
         return model
-    for size in range(1, order + 1):
-        shares: dict[str, np.ndarray] = {}
-        weights: dict[str, np.ndarray] = {}
-        of_size = counts[(counts["size"] == size) & (counts["sequence"] != BEGIN)]
-        for language, rows in of_size.groupby("lang"):
-            n = column[language]
-            times = dict(zip(rows["sequence"], rows["times"], strict=True))
-            once = sum(count == 1 for count in times.values())
-            twice = sum(count == 2 for count in times.values())
-            discount = once / (once + 2 * twice) if once and twice else 0.5
-            totals: dict[str, list] = {}
-            for sequence, count in times.items():
-                entry = totals.setdefault(sequence[:-1], [0, 0])
-                entry[0] += count
-                entry[1] += 1
-            for sequence, count in times.items():
-                row = shares.setdefault(sequence, np.zeros(len(languages), np.float32))
-                row[n] = (count - discount) / totals[sequence[:-1]][0]
-            for context, (total, different) in totals.items():
-                row = weights.setdefault(context, np.ones(len(languages), np.float32))
-                row[n] = discount * different / total
-        for table, hashes, rows in ((shares, model.known, model.shares), (weights, model.contexts, model.weights)):
-            keys = np.array([text_hash(text) if text else 0 for text in table], np.uint64)
-            order_of = np.argsort(keys)
-            hashes.append(keys[order_of])
-            values = list(table.values())
-            rows.append(np.array([values[at] for at in order_of], np.float32).reshape(-1, len(languages)))
+
+    def hashed(batches):
+        for batch in batches:
+            hashes = text_hashes(batch.column("text").to_pylist())
+            columns = [batch.column("kind"), batch.column("size"), batch.column("lang"), pa.array(hashes.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("value")], names=["kind", "size", "lang", "hash", "value"])
+
+    table = arrow_map(shares_and_weights(counts), hashed, "kind string, size int, lang string, hash long, value float").toArrow()
+    kind, size = table.column("kind").to_numpy(), table.column("size").to_numpy()
+    column = np.searchsorted(languages, table.column("lang").to_numpy().astype(str))
+    hashes, value = table.column("hash").to_numpy().view(np.uint64), table.column("value").to_numpy()
+    for length in range(1, order + 1):
+        for name, missing, keys, rows in (("share", 0, model.known, model.shares), ("weight", 1, model.contexts, model.weights)):
+            here = (size == length) & (kind == name)
+            known, which = np.unique(hashes[here], return_inverse=True)
+            matrix = np.full((len(known), len(languages)), missing, np.float32)
+            matrix[which, column[here]] = value[here]
+            keys.append(known)
+            rows.append(matrix)
         if not len(model.weights[-1]):
             model.weights[-1] = np.ones((1, len(languages)), np.float32)
     return model
@@ -284,19 +317,22 @@ def model_from(counts, order: int = ORDER) -> Model:
 def fitted(docs: DataFrame, most: int = SAMPLE, order: int = ORDER) -> Model:
     """A model of the labelled documents; what reaches the driver is bounded by the sample."""
     sample = saved(sample_of(docs, most), "language-sample")
-    counts = sequence_counts(word_counts(sample), order).toPandas()
+    counts = saved(sequence_counts(word_counts(sample), order), "language-counts")
     model = model_from(counts, order)
+    forget(counts)
     if not model.languages:
+        forget(sample)
         return model
+    known = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
         for chunk in chunks(batches, "text"):
-            _, mixed, letters = model.entropies(chunk.column("text").to_pylist())
+            _, mixed, letters = known.value.entropies(chunk.column("text").to_pylist())
             columns = [chunk.column("lang"), pa.array(mixed), pa.array(letters)]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "entropy", "letters"])
 
     apart = sample.filter(F.col("rank") % APART == 0).select("lang", "text")
-    measured = arrow_map(apart, measure, "lang string, entropy double, letters long").filter("letters >= 100")
+    measured = saved(arrow_map(apart, measure, "lang string, entropy double, letters long").filter("letters >= 100"), "measured")
     centre = measured.groupBy("lang").agg(F.median("entropy").alias("centre"))
     spread = (
         measured.join(F.broadcast(centre), "lang")
@@ -304,6 +340,8 @@ def fitted(docs: DataFrame, most: int = SAMPLE, order: int = ORDER) -> Model:
         .agg((1.4826 * F.median(F.abs(F.col("entropy") - F.col("centre")))).alias("spread"))
     )
     limits = {row["lang"]: row for row in spread.collect()}  # a row for each language
+    known.destroy()
+    forget(sample, measured)
     # A language too rare to be measured rejects nothing that has letters.
     model.centre = np.array([limits[x]["centre"] if x in limits else np.inf for x in model.languages])
     model.spread = np.array([limits[x]["spread"] if x in limits else 0.0 for x in model.languages])

@@ -4,7 +4,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
 import pytest
 from llm_rows import documents, odd_texts
 
@@ -62,11 +61,12 @@ def test_counts_and_likelihoods_follow_their_definition(spark):
     order = 4
     words = {"aa": Counter({"abab": 3, "aba": 1, "cab": 2, "é": 1}), "bb": Counter({"bcb": 2, "bb": 5})}
     rows = [(lang, word, n) for lang, table in words.items() for word, n in table.items()]
-    got = language.sequence_counts(spark.createDataFrame(rows, "lang string, word string, count long"), order).toPandas()
+    counts = language.sequence_counts(spark.createDataFrame(rows, "lang string, word string, count long"), order)
+    got = counts.toPandas()
     expected = {lang: plain_counts(table, order) for lang, table in words.items()}
     flat = {(lang, size, s): n for lang, sizes in expected.items() for size, table in sizes.items() for s, n in table.items()}
     assert {(r.lang, r.size, r.sequence): r.times for r in got.itertuples()} == flat
-    model = language.model_from(got, order)
+    model = language.model_from(counts, order)
     for word in ("abab", "cab", "bcbbcb", "zz", "a"):
         marked = language.BEGIN + word + language.END
         for n, lang in enumerate(model.languages):
@@ -77,10 +77,10 @@ def test_counts_and_likelihoods_follow_their_definition(spark):
             assert model.word_scores([word, "xx"])[0, n] == pytest.approx(likely, rel=1e-4)
 
 
-def test_texts_sum_up_their_words():
-    frame = pd.DataFrame(
+def test_texts_sum_up_their_words(spark):
+    frame = spark.createDataFrame(
         [("aa", size, s, n) for size, table in plain_counts(Counter(WORDS["aa"]), 3).items() for s, n in table.items()],
-        columns=["lang", "size", "sequence", "times"],
+        "lang string, size int, sequence string, times long",
     )
     model = language.model_from(frame, 3)
     entropy, _, letters = model.entropies(["lorem, dolor", None, "", "lorem", "123"])
@@ -141,6 +141,15 @@ def test_nothing_to_learn_from_and_no_rows(spark):
 def test_the_sample_is_bounded(spark):
     docs = documents(spark, [(n, f"text {n}", "aa") for n in range(2000)])
     assert 20 <= language.sample_of(docs, most=50).count() <= 100
+    longer = documents(spark, [(n, "long text " * 100, lang) for n in range(2000) for lang in ("aa", "bb")])
+    bytes_of = language.sample_of(longer, 50, 10_000).groupBy("lang").agg({"rank": "count"}).collect()
+    assert sorted(tuple(row) for row in bytes_of) == [("aa", 11), ("bb", 11)]
+
+
+def test_hashes_of_many_texts_are_those_of_each():
+    texts = ["", "a", "ab", "ba", "日本語", "a", "\x02ab", "😀"]
+    one = [language.text_hash(text) if text else 0 for text in texts]
+    assert language.text_hashes(texts).tolist() == one
 
 
 def test_query_on_rows_never_learned_from(spark):
