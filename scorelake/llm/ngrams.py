@@ -58,7 +58,7 @@ from scorelake.sources import storage
 #: Tokens for each shard of the pairs, rows of a word array, bytes of text in a block.
 SHARD_TOKENS = 1 << 20
 WORD_ROWS = 1 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 MOST_TASKS = 1 << 16
 BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(name)) for name in (b" begin", b" end"))
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
