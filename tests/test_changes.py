@@ -129,3 +129,10 @@ def test_a_store_is_read_by_another_session(spark, tmp_path):
     store.write(again.total())
     again.drop_others()
     assert len([name for name in tmp_path.glob("runs/*")]) == 1 and again.total().count() == 10
+
+
+def test_total_of_several_runs(spark, tmp_path):
+    store = store_of(spark, tmp_path, [(0, 10), (5, 15), (8, 20)])
+    assert len(store.runs()) == 2
+    found = {int(row.key): row.n for row in store.total().collect()}
+    assert found == {n: sum(n in range(*run) for run in ((0, 10), (5, 15), (8, 20))) for n in range(20)}
