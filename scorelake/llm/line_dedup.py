@@ -1,12 +1,12 @@
 """Line dedup on levelled sorted runs of line hashes.
 
-A store holds runs: tables of (line hash, documents that have the line, largest of them), sorted
-by hash and dealt out by it. A batch of documents is looked up in the runs first: each run is
-joined with the batch's own hashes, and only rows of the run that the batch has go on, so that
-the batch learns which of its lines ``LEAST_DOCS`` documents or more have by now. Then its own
-numbers become a run on level 0. When a level has ``FAN`` runs, they are compacted into one run on
-the next level, so a line's numbers are merged again only once per level. (Spark's joins deal the
-runs out and sort them again; they do not rely on the order in the files.)
+A store holds runs: tables of (line hash, documents that have the line, largest of them), dealt into
+a fixed number of buckets by hash and sorted inside. A batch of documents becomes such a run. It is
+merge-joined with the store's runs, bucket by bucket and in their order, so that no run is shuffled or
+sorted again: the batch learns which of its lines ``LEAST_DOCS`` documents or more have by now.
+(A plain anti-join would drop lines that one document before has; runs carry numbers instead.) Then
+the run is put on level 0. When a level has ``FAN`` runs, they are merged in their order into one on
+the next level, so a line's numbers are written again only once per level.
 
 A frequent line is dropped from every document but the largest that has it. Numbers only grow, so
 what a batch drops stays dropped; later batches can make more of its lines frequent. A line's
@@ -24,15 +24,22 @@ doc_id is a document smaller than all others; repeated rows are each returned; a
 gives no rows; in the pipeline other columns are kept whatever their names.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import documents, saved
+from scorelake.llm.common import documents, forget, saved
+from scorelake.session import work_folder
+from scorelake.sources.runs import SumRuns, ordered
 
 LEAST_POINTS = 40
 LEAST_DOCS = 5
 BATCHES = 4
 FAN = 2
+#: Buckets of a run at least, and lines for each beyond that.
+BUCKETS = 16
+BUCKET_LINES = 1 << 20
 SPACE = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
 
@@ -61,30 +68,11 @@ def line_hashes(text: Column) -> Column:
 
 
 class LineRuns:
-    """The levelled runs: tables in the shared folder, named by level."""
-
-    def __init__(self, spark: SparkSession, fan: int = FAN):
-        self.spark, self.fan, self.levels, self.written = spark, fan, [], 0
-
-    def _run(self, stats: DataFrame) -> DataFrame:
-        self.written += 1
-        return saved(stats.sortWithinPartitions("a", "b"), f"line-run-{self.written}")
-
-    def _place(self, run: DataFrame, level: int) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) == self.fan:
-            full, self.levels[level] = self.levels[level], []
-            self._place(self._run(merged(full)), level + 1)
+    """The levelled runs, in the shared folder until they are dropped."""
 
-    def add(self, lines: DataFrame) -> None:
-        """A batch's lines (a, b, doc) as a run. No document may be in two batches."""
-        self._place(self._run(numbers_of(lines)), 0)
-
-    def look_up(self, hashes: DataFrame) -> list[DataFrame]:
-        """Of each run the rows whose (a, b) is among the hashes."""
-        return [run.join(hashes.select("a", "b"), ["a", "b"], "left_semi") for run in self.runs()]
+    def __init__(self, spark: SparkSession, buckets: int = BUCKETS, fan: int = FAN):
+        folder = work_folder(spark, "line-runs")
+        self.store = SumRuns(spark, folder, [("a", "bigint"), ("b", "bigint")], ["docs"], (), buckets, ["last"], fan)
 
     def take(self, lines: DataFrame, least_docs: int) -> DataFrame:
         """Looks a batch's lines (a, b, doc) up and adds them. No document may be in two batches.
@@ -92,18 +80,17 @@ class LineRuns:
         Returns those (a, b, last) of its lines that ``least_docs`` documents of this and the
         batches before have.
         """
-        own = self._run(numbers_of(lines))
-        known = merged([own, *self.look_up(own)])
-        frequent = saved(known.filter(F.col("docs") >= least_docs).select("a", "b", "last"), "batch-frequent")
-        self._place(own, 0)
+        own = self.store.write(numbers_of(lines))
+        with ordered(lines.sparkSession):
+            known = self.store.before(own).filter(F.col("after_docs") >= least_docs)
+            frequent = saved(known.select("a", "b", F.col("after_last").alias("last")), "batch-frequent")
+        self.store.place(own)
+        self.store.drop_others()
         return frequent
 
-    def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
-
-    def frequent(self, least_docs: int) -> DataFrame:
-        """Lines that all runs together have in ``least_docs`` documents or more."""
-        return merged(self.runs()).filter(F.col("docs") >= least_docs).select("a", "b", "last")
+    def drop(self) -> None:
+        self.store.levels = []
+        self.store.drop_others()
 
 
 def numbers_of(lines: DataFrame) -> DataFrame:
@@ -112,13 +99,6 @@ def numbers_of(lines: DataFrame) -> DataFrame:
     return per_document.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
 
 
-def merged(runs: list[DataFrame]) -> DataFrame:
-    rows = runs[0]
-    for run in runs[1:]:
-        rows = rows.unionAll(run)
-    return rows.groupBy("a", "b").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
-
-
 def dropped_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
     """Per document that loses lines: doc, text hash ``mark`` and the sorted ``numbers`` of the lines."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
@@ -128,13 +108,13 @@ def dropped_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, batches: int =
         .withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int"))
     )
     lines = saved(lines, "lines")
-    store = LineRuns(docs.sparkSession)
+    store = LineRuns(docs.sparkSession, max(BUCKETS, -(-lines.count() // BUCKET_LINES)))
     found = [store.take(lines.filter(F.col("batch") == batch), least_docs) for batch in range(batches)]
-    every = found[0]
-    for one in found[1:]:
-        every = every.unionAll(one)
+    store.drop()
+    every = reduce(DataFrame.unionAll, found)
     # Both sides are tables, so that adaptive execution can split the rows of a hot line.
     frequent = saved(every.groupBy("a", "b").agg(F.max("last").alias("last")), "frequent-lines")
+    forget(*found)
     found = lines.join(frequent, ["a", "b"]).filter(F.col("doc") < F.col("last"))
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
 

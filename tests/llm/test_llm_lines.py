@@ -62,38 +62,46 @@ def test_four_documents_keep_and_five_lose(spark):
 
 
 def test_runs_are_compacted_level_by_level(spark):
-    store = line_dedup.LineRuns(spark, fan=2)
+    store = line_dedup.LineRuns(spark, 4, fan=2)
     for batch in range(5):
         rows = spark.createDataFrame([(n % 3, 0, 10 * batch + n) for n in range(6)], "a long, b long, doc long")
-        store.add(rows)
-        held = sum(len(level) * 2**at for at, level in enumerate(store.levels))
-        assert held == batch + 1 and all(len(level) < 2 for level in store.levels)
-    totals = {r.a: (r.docs, r["last"]) for r in line_dedup.merged(store.runs()).collect()}
+        store.take(rows, 3)
+        levels = store.store.levels
+        held = sum(len(level) * 2**at for at, level in enumerate(levels))
+        assert held == batch + 1 and all(len(level) < 2 for level in levels)
+    totals = {r.a: (r.docs, r["last"]) for r in store.store.total().collect()}
     assert totals == {a: (10, 40 + 3 + a) for a in range(3)}
-    assert store.frequent(11).count() == 0
+    assert store.take(rows.filter("false"), 11).count() == 0
 
 
 def test_each_batch_is_looked_up_before_it_is_added(spark):
     rng = random.Random(2)
-    store, have = line_dedup.LineRuns(spark, fan=2), defaultdict(set)
+    store, have = line_dedup.LineRuns(spark, 3, fan=2), defaultdict(set)
     for batch in range(5):
         rows = [(rng.randrange(12), 0, 10 * batch + rng.randrange(10)) for _ in range(8)]
-        before = len(store.runs())
         for a, _, doc in rows:
             have[a].add(doc)
         hashes = spark.createDataFrame(rows, "a long, b long, doc long")
-        looked = store.look_up(hashes)
-        assert len(looked) == before and all({r.a for r in run.collect()} <= {a for a, _, _ in rows} for run in looked)
         found = {r.a: r["last"] for r in store.take(hashes, 3).collect()}
         assert found == {a: max(have[a]) for a, _, _ in rows if len(have[a]) >= 3}
-        assert sum(len(level) * 2**at for at, level in enumerate(store.levels)) == batch + 1
+        assert sum(len(level) * 2**at for at, level in enumerate(store.store.levels)) == batch + 1
+
+
+def test_no_run_is_shuffled_or_sorted_to_be_looked_up_or_merged(spark):
+    store = line_dedup.LineRuns(spark, 4).store
+    rows = spark.range(1000).selectExpr("id a", "id b", "id % 50 doc")
+    one, two = (store.write(line_dedup.numbers_of(rows.filter(part))) for part in ("id < 700", "id > 300"))
+    store.levels = [[one]]
+    with line_dedup.ordered(spark):
+        for frame in (store.before(two), store.merged(one, two)):
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in text and "Sort [" not in text and "SortMergeJoin" in text
 
 
 def test_dedup_takes_batch_after_batch_and_merges_no_store(spark, monkeypatch):
     taken = []
     take = line_dedup.LineRuns.take
-    monkeypatch.setattr(line_dedup.LineRuns, "take", lambda *given: taken.append(len(given[0].runs())) or take(*given))
-    monkeypatch.setattr(line_dedup.LineRuns, "frequent", None)
+    monkeypatch.setattr(line_dedup.LineRuns, "take", lambda *given: taken.append(len(given[0].store.runs())) or take(*given))
     lines = ["line %d that is long enough to be looked at, it is" % n for n in range(6)]
     rows = [(n, "\n".join(lines[n % 3 : n % 6 + 1])) for n in range(40)]
     assert got(documents(spark, rows)) == expected(rows)
