@@ -1,12 +1,13 @@
 """From raw pages to typed games to one row per game and console."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorelake.functions import month_bounds, strict_date, to_int
 from scorelake.operators.joins import join_dimension
 from scorelake.seeds import SCORE_RANGE
+from scorelake.sources.tables import read_in_order
 
 
 def unnest_results(pages: DataFrame) -> DataFrame:
@@ -54,13 +55,31 @@ def source_slice(
     A game lies in the folder of the month of its release, so other folders are not read.
     The row number last in the order lets the sort spread copies of one game over tasks.
     """
+    kept = in_slice(first_month, last_month, score_range)
+    return silver.filter(kept).orderBy("release_date", "game_id", F.monotonically_increasing_id())
+
+
+def stored_slice(
+    spark: SparkSession,
+    path: str,
+    first_month: str,
+    last_month: str,
+    score_range: tuple[int, int] = SCORE_RANGE,
+) -> DataFrame:
+    """``source_slice`` of a silver table at ``path``, months following each other without a shuffle."""
+    kept = in_slice(first_month, last_month, score_range)
+    order = ["release_date", "game_id"]
+    return read_in_order(spark, path, first_month, last_month, order, lambda rows: rows.filter(kept))
+
+
+def in_slice(first_month: str, last_month: str, score_range: tuple[int, int] = SCORE_RANGE) -> Column:
     first, _ = month_bounds(F.lit(f"{first_month}-01").cast("date"))
     _, last = month_bounds(F.lit(f"{last_month}-01").cast("date"))
-    return silver.filter(
+    return (
         F.col("date").between(first_month, last_month)
         & F.col("release_date").between(first, last)
         & F.col("metacritic_score").between(*score_range)
-    ).orderBy("release_date", "game_id", F.monotonically_increasing_id())
+    )
 
 
 def unnest_consoles(silver: DataFrame, *columns: str) -> DataFrame:

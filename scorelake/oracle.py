@@ -164,6 +164,12 @@ _SUMMARY = " UNION ALL ".join(
     ]
 )
 
+_SLICE = """
+SELECT game_id, game_name, release_date, metacritic_score FROM silver
+WHERE release_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+  AND metacritic_score BETWEEN 1 AND 100
+ORDER BY release_date, game_id"""
+
 # What the checks of a build ask of scored games and of consoles 0 to 22.
 _PASSING = f"""
 (SELECT COUNT(*) = COUNT(DISTINCT game_id) FROM silver)
@@ -179,12 +185,8 @@ ORACLE = {
     + """
 SELECT console_name, brand, is_handheld, COUNT(listed.game_id) AS listings
 FROM mapping LEFT JOIN listed USING (console_name) GROUP BY ALL""",
-    "source_slice": _GAMES
-    + """
-SELECT game_id, game_name, release_date, metacritic_score FROM silver
-WHERE release_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
-  AND metacritic_score BETWEEN 1 AND 100
-ORDER BY release_date, game_id""",
+    "source_slice": _GAMES + _SLICE,
+    "ordered_slice": _GAMES + _SLICE,
     "partitioned_write": _GAMES
     + """
 SELECT date, COUNT(*) AS games, SUM(metacritic)::BIGINT AS score_sum
@@ -337,5 +339,11 @@ FROM ({_brands()}) ORDER BY display_order NULLS LAST""",
 SELECT console_name, brand, number_of_highly_rated_games, percentage_of_highly_rated_games,
        number_of_games, {_COLOR} AS color
 FROM ({_CONSOLES})""",
+    "publish_by_table": _SCORED_GAMES
+    + f"""
+SELECT tables.name AS "table", tables.name = 'agg_consoles' AND EXISTS (SELECT 1 FROM gbc) AS failed,
+       tables.name IN ('silver_games', 'agg_brands') AND {_PASSING} AS published
+FROM (VALUES ('console_mapping'), ('silver_games'), ('agg_brands'), ('agg_consoles')) AS tables(name)
+WHERE {_PASSING}""",
     "end_to_end_load": _SCORED_GAMES + f" SELECT * FROM ({_brands()}) WHERE {_PASSING}",
 }

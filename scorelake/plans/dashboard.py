@@ -6,20 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.functions import count_label, display_rank, known_category, value_lookup
-from scorelake.plans.refresh import current_build
+from scorelake.plans.refresh import build_with
 from scorelake.seeds import BRAND_COLORS, BRANDS
 from scorelake.sources.layout import Layout
 from scorelake.sources.tables import read_mart
 
+#: Rows of a mart that is taken to the driver, at most: a mart has a row for each console or brand.
+MOST_ROWS = 10_000
+
 
 def load_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """A published mart; whoever draws it turns it into a local frame."""
-    build = current_build(spark, layout)
+    """A mart from the last build that it was published from."""
+    build = build_with(spark, layout, name)
     if build is None:
         raise LookupError(f"nothing published under {layout.root}")
     return read_mart(spark, build.gold, name)
 
 
+def local_mart(spark: SparkSession, layout: Layout, name: str, most_rows: int = MOST_ROWS):
+    """A published mart as a pandas frame, for whoever draws it; a larger one raises instead of filling the driver."""
+    frame = load_mart(spark, layout, name).limit(most_rows + 1).toPandas()
+    if len(frame) > most_rows:
+        raise ValueError(f"{name} has more than {most_rows} rows")
+    return frame
+
+
 def ordered_brands(brands: DataFrame, order: Sequence[str] = BRANDS) -> DataFrame:
     """Brands in display order; one outside the order loses its name and comes last."""
     return (

@@ -131,6 +131,13 @@ def source_slice(spark, folder):
     )
 
 
+def ordered_slice(spark, folder):
+    """The slice out of a stored silver table, months in the order of their folders."""
+    path = work_folder(spark, "ordered_slice")
+    tables.write_months(_silver(spark, folder), path, compact=True)
+    return ops.stored_slice(spark, path, *SLICE).select("game_id", "game_name", "release_date", "metacritic_score")
+
+
 # Sinks
 
 
@@ -521,6 +528,24 @@ def console_chart(spark, folder):
     return dashboard.console_chart(agg_consoles(spark, folder), feed.COLORS)
 
 
+def publish_by_table(spark, folder):
+    """What readers get when a check of the console mart alone has failed: brands of this build, no consoles."""
+    layout = Layout(work_folder(spark, "publish_by_table"))
+    tables.write_months(_scored(feed.games(spark, folder)), layout.bronze, compact=True)
+
+    def no_small_console(mart: DataFrame) -> DataFrame:
+        return quality.count_check(mart, "none_expected", refresh.CONSOLE_MART, "console_name")
+
+    try:
+        mapping = feed.listed_mapping(spark, folder)
+        refresh.refresh(spark, layout, mapping, feed.ALL_BRANDS, more_checks={refresh.CONSOLE_MART: no_small_console})
+    except quality.QualityGateError:
+        pass
+    history = refresh.check_history(spark, layout).groupBy("table").agg(F.max(F.col("status") == "fail").alias("failed"))
+    found = [name for name in refresh.TABLES if refresh.build_with(spark, layout, name)]
+    return history.select("table", "failed", F.col("table").isin(*found).alias("published"))
+
+
 def end_to_end_load(spark, folder):
     """What readers find after one run: the brand mart, or nothing if a check failed."""
     layout = Layout(work_folder(spark, "end_to_end_load"))
@@ -542,6 +567,7 @@ QUERIES = {
     "gold_scan": gold_scan,
     "seed_scan": seed_scan,
     "source_slice": source_slice,
+    "ordered_slice": ordered_slice,
     "partitioned_write": partitioned_write,
     "partition_replace": partition_replace,
     "snapshot_read": snapshot_read,
@@ -588,5 +614,6 @@ QUERIES = {
     "brand_metrics": brand_metrics,
     "brand_chart": brand_chart,
     "console_chart": console_chart,
+    "publish_by_table": publish_by_table,
     "end_to_end_load": end_to_end_load,
 }

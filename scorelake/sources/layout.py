@@ -54,6 +54,10 @@ class Layout:
     def published(self) -> str:
         return f"{self.root}/published"
 
+    @property
+    def checks(self) -> str:
+        return f"{self.root}/checks"
+
     @property
     def failed_months(self) -> str:
         return f"{self.root}/artifacts/failed_bronze_months"

@@ -21,6 +21,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(folder))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, folder = _resolve(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Delete a folder with all it holds; False when there was none."""
     files, folder = _resolve(spark, path)

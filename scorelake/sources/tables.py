@@ -4,6 +4,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from scorelake.sources import snapshots, storage
 
 # More groups even out large months, but leave small ones in more files.
 SPREAD = 8
+#: Parquet bytes that a task sorts.
+TASK_BYTES = 128 << 20
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -31,6 +34,44 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return read_months(spark, path, SILVER)
 
 
+def read_in_order(
+    spark: SparkSession,
+    path: str,
+    first_month: str,
+    last_month: str,
+    order: Sequence[str],
+    kept: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    schema: T.StructType = SILVER,
+    task_bytes: int = TASK_BYTES,
+) -> DataFrame:
+    """Rows of the months from first to last, sorted by ``order``, which sorts by month before anything else.
+
+    The folders' names tell the order of months and their sizes how many fit into a task, so no
+    range sort has to read the rows before it can deal them out: neighbouring months are read and
+    sorted in one task and follow each other without a shuffle. Only a month larger than a task is
+    range-sorted, by itself. ``kept`` filters the rows before they are sorted.
+    """
+    months = sorted(m for m in snapshots.plain_months(spark, path) if first_month <= m <= last_month)
+    sizes = {month: storage.size(spark, f"{path}/date={month}") for month in months}
+    parts = 2 * spark.sparkContext.defaultParallelism
+    bound = max(1, min(task_bytes, -(-sum(sizes.values()) // parts)))
+    groups: list[list[str]] = []
+    held = bound
+    for month in months:
+        if held + sizes[month] > bound:
+            groups.append([])
+            held = 0
+        groups[-1].append(month)
+        held += sizes[month]
+    frames = []
+    for group in groups:
+        folders = [f"{path}/date={month}" for month in group]
+        rows = kept(spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names))
+        large = sum(sizes[month] for month in group) > task_bytes
+        frames.append(rows.orderBy(*order) if large else rows.coalesce(1).sortWithinPartitions(*order))
+    return reduce(DataFrame.unionAll, frames) if frames else spark.createDataFrame([], schema)
+
+
 def write_months(table: DataFrame, path: str, compact: bool = False) -> None:
     """Write ``table`` below ``path/date=YYYY-MM``, replacing the months it has rows for.
 
