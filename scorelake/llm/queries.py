@@ -21,4 +21,5 @@ ORACLE = {
     "op3_bit_sliced_topk": topk.ORACLE_SQL,
     "op4_merkle_fixity": fixity.ORACLE_SQL,
     "op9_line_runs": line_dedup.ORACLE_SQL,
+    "op11_head_tail_resampling": resampling.ORACLE_SQL,
 }

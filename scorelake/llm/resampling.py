@@ -258,3 +258,56 @@ def resample(docs: DataFrame, target: DataFrame, seed: int = SEED, percent: int
 def op11_head_tail_resampling(spark, sf_dir):
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return resample(documents(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: CRC-32 by its shift register, one bit a step.
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, row_number() OVER () AS place, true AS is_doc,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+  UNION ALL
+  SELECT item_id, row_number() OVER (), false,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+), lists AS (
+  SELECT doc_id, place, is_doc, len(words) AS n,
+    list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS features
+  FROM texts
+), counted AS (
+  SELECT place, is_doc, feature, count(*) AS times
+  FROM (SELECT place, is_doc, unnest(features) AS feature FROM lists) GROUP BY ALL
+), steps AS (
+  -- Eight steps for each byte: the byte comes in with the first, each shifts one bit out.
+  SELECT feature, list_reduce(
+      list_transform(range(8 * octet_length(encode(feature))), lambda i:
+        CASE WHEN i % 8 = 0 THEN ('0x' || substr(hex(encode(feature)), i // 4 + 1, 2))::BIGINT ELSE 0 END),
+      lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT) AS state
+  FROM (SELECT DISTINCT feature FROM counted)
+), buckets AS (
+  SELECT feature, xor(state, 4294967295) % 10000 AS bucket FROM steps
+), hits AS (
+  SELECT place, is_doc, bucket, sum(times) AS times FROM counted JOIN buckets USING (feature) GROUP BY ALL
+), totals AS (
+  SELECT bucket, coalesce(sum(times) FILTER (is_doc), 0)::DOUBLE AS s, coalesce(sum(times) FILTER (NOT is_doc), 0)::DOUBLE AS t
+  FROM hits GROUP BY bucket
+), sums AS (SELECT sum(s) + 10000 AS ss, sum(t) + 10000 AS tt FROM totals),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ss / ((s + 1) * tt)))::BIGINT AS gain FROM totals, sums
+), weights AS (
+  SELECT place, sum(times * gain) AS total FROM hits JOIN gains USING (bucket) WHERE is_doc GROUP BY place
+), scored AS (
+  SELECT doc_id, n, greatest(2 * n - 1, 0) AS n_features,
+    CASE WHEN n = 0 THEN 0 ELSE floor(total / (2 * n - 1)) END::BIGINT AS weight,
+    ('0x' || sha256('7:' || doc_id)[1:8])::BIGINT AS h
+  FROM lists LEFT JOIN weights USING (place) WHERE is_doc
+), final AS (
+  SELECT doc_id, n, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM scored
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS may FROM final WHERE n >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * may // 100 THEN rank END AS rank
+FROM final LEFT JOIN ranked USING (doc_id)
+"""
