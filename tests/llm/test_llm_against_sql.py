@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.01"
 def test_query_equals_its_sql(spark, name):
     found = QUERIES[name](spark, FOLDER).toPandas()
     with duckdb.connect() as sql:
-        for table in ("documents", "embeddings", "pages"):
+        for table in ("documents", "embeddings", "pages", "benchmark"):
             sql.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         expected = sql.execute(ORACLE[name]).df()
     columns = sorted(found.columns)
