@@ -9,6 +9,10 @@ from scorelake.operators.joins import join_dimension
 from scorelake.seeds import SCORE_RANGE
 from scorelake.sources.tables import read_in_order
 
+#: Rows of a slice that a task sorts, about, and so few that another task is not worth it.
+TASK_ROWS = 2_000_000
+LEAST_ROWS = 10_000
+
 
 def unnest_results(pages: DataFrame) -> DataFrame:
     """One row per game of each page, with its document; a page without games gives none."""
@@ -52,11 +56,37 @@ def source_slice(
 ) -> DataFrame:
     """Scored games released in the given months, by release; no score, no row.
 
-    A game lies in the folder of the month of its release, so other folders are not read.
-    The row number last in the order lets the sort spread copies of one game over tasks.
+    A game lies in the folder of the month of its release, so other folders are not read. Games are
+    counted by day first, which reads two columns, and then dealt to tasks by ranges of days with
+    about as many games. Where a single day is too much for a task, a range sort deals them out
+    instead; the row number last in its order lets it spread copies of one game over tasks.
     """
-    kept = in_slice(first_month, last_month, score_range)
-    return silver.filter(kept).orderBy("release_date", "game_id", F.monotonically_increasing_id())
+    rows = silver.filter(in_slice(first_month, last_month, score_range))
+    days = sorted(rows.groupBy("release_date").count().collect())  # one row for each day
+    parts, part_of = _ranges([row["count"] for row in days], silver.sparkSession.sparkContext.defaultParallelism)
+    if part_of is None:
+        return rows.orderBy("release_date", "game_id", F.monotonically_increasing_id())
+    first = days[0]["release_date"] if days else None
+    place = [0] * (1 + (days[-1]["release_date"] - first).days if days else 1)
+    for row, part in zip(days, part_of, strict=True):
+        place[(row["release_date"] - first).days] = part
+    at = F.datediff("release_date", F.lit(first).cast("date"))
+    dealt = rows.repartitionById(parts, F.get(F.lit(place), at).cast("int"))
+    return dealt.sortWithinPartitions("release_date", "game_id")
+
+
+def _ranges(counts: list[int], tasks: int) -> tuple[int, list[int] | None]:
+    """How many ranges of neighbouring days, and each day's; None when a day has far more than a range's share."""
+    total = sum(counts)
+    parts = max(1, min(max(tasks, -(-total // TASK_ROWS)), -(-total // LEAST_ROWS)))
+    share = -(-total // parts)
+    if counts and max(counts) > max(2 * share, LEAST_ROWS):
+        return parts, None
+    before, found = 0, []
+    for count in counts:
+        found.append(min(before // max(share, 1), parts - 1))
+        before += count
+    return parts, found
 
 
 def stored_slice(

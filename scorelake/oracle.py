@@ -285,6 +285,8 @@ FROM orders""",
     "agg_brands": _GAMES + _brands(),
     "agg_brands_lines": _LINES + _brands(),
     "agg_consoles": _GAMES + _CONSOLES,
+    "brands_of_unique_games": _GAMES + _brands(),
+    "consoles_of_unique_games": _GAMES + _CONSOLES,
     "dq_not_null": _GAMES
     + " SELECT game_id, game_name FROM silver WHERE metacritic_score IS NULL",
     "dq_unique": _GAMES

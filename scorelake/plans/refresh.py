@@ -8,8 +8,8 @@ from types import MappingProxyType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.operators.games import games_by_console, to_silver
-from scorelake.operators.marts import brand_mart, console_mart
+from scorelake.operators.games import to_silver
+from scorelake.operators.marts import brand_mart_of, console_mart_of, sums_of_unique_games
 from scorelake.operators.quality import (
     QualityGateError,
     coverage_check,
@@ -30,6 +30,8 @@ from scorelake.sources.tables import (
 )
 
 SILVER, BRAND_MART, CONSOLE_MART = "silver_games", "agg_brands", "agg_consoles"
+#: What both marts are made from, a row for each console.
+SUMS = "console_sums"
 PUBLISHED = "version string, published_at timestamp, tables array<string>"
 #: How a version tells when it was started, and the file that says a build is not written any more.
 STARTED = "%Y%m%dT%H%M%S%f"
@@ -103,10 +105,11 @@ def _build(
     outcomes = _recorded(spark, layout, version, _with_more(game_checks(silver), SILVER, silver, more_checks))
     _raise_failures(outcomes)
 
-    # The exploded rows cost less to derive twice than to keep.
-    by_console = games_by_console(silver, mapping)
-    write_mart(brand_mart(by_console, threshold), build.gold, BRAND_MART)
-    write_mart(console_mart(by_console, threshold), build.gold, CONSOLE_MART)
+    # Ids are unique and there by now, so neither mart has to bring games together.
+    write_mart(sums_of_unique_games(silver, mapping, threshold), build.gold, SUMS)
+    sums = read_mart(spark, build.gold, SUMS)
+    write_mart(brand_mart_of(sums), build.gold, BRAND_MART)
+    write_mart(console_mart_of(sums), build.gold, CONSOLE_MART)
     brands, consoles = (read_mart(spark, build.gold, name) for name in (BRAND_MART, CONSOLE_MART))
     # The finished mart tells which consoles are listed; silver is not scanned for that.
     summary = coverage_check(unseen_in_mart(mapping, consoles)).union(mart_checks(brands, consoles))

@@ -422,6 +422,18 @@ def agg_consoles(spark, folder):
     return marts.console_mart(_by_console(spark, folder))
 
 
+def _unique_game_sums(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.sums_of_unique_games(_silver(spark, folder), feed.console_mapping(spark, folder))
+
+
+def brands_of_unique_games(spark, folder):
+    return marts.brand_mart_of(_unique_game_sums(spark, folder))
+
+
+def consoles_of_unique_games(spark, folder):
+    return marts.console_mart_of(_unique_game_sums(spark, folder))
+
+
 # Data checks
 
 
@@ -600,6 +612,8 @@ QUERIES = {
     "agg_brands": agg_brands,
     "agg_brands_lines": agg_brands_lines,
     "agg_consoles": agg_consoles,
+    "brands_of_unique_games": brands_of_unique_games,
+    "consoles_of_unique_games": consoles_of_unique_games,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,

@@ -54,6 +54,10 @@ class Layout:
     def published(self) -> str:
         return f"{self.root}/published"
 
+    @property
+    def kept(self) -> str:
+        return f"{self.root}/kept"
+
     @property
     def checks(self) -> str:
         return f"{self.root}/checks"

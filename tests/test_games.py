@@ -97,6 +97,26 @@ def test_source_slice(spark):
     assert [row.game_id for row in found.collect()] == ["3", "2"]
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_slices_are_sorted_over_several_tasks(spark, monkeypatch, hot):
+    """Dealt out by days, or by a range sort where one day is too much for a task."""
+    monkeypatch.setattr(games, "LEAST_ROWS", 10)
+    day = "if(id % 3 > 0, 5, id * 7 % 90)" if hot else "id * 7 % 90"
+    rows = spark.range(600).selectExpr(
+        f"date_format(date_add(date'2022-01-01', int({day})), 'yyyy-MM') AS date",
+        f"date_add(date'2022-01-01', int({day})) AS release_date",
+        "string(id % 250) AS game_id",
+        "int(1 + id % 99) AS metacritic_score",
+    )
+    found = games.source_slice(rows, "2022-01", "2022-03")
+    keys = [(row.release_date, row.game_id) for row in found.collect()]
+    assert len(keys) == 600 and keys == sorted(keys)
+    if not hot:
+        assert found.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    assert ("rangepartitioning" in _plan(found)) == hot
+    assert games.source_slice(rows.filter("false"), "2022-01", "2022-03").count() == 0
+
+
 def test_unnest_consoles(spark):
     listed = games.unnest_consoles(
         silver(spark, [("a", 1, ["Wii", None, "Wii"]), ("b", 1, []), ("c", 1, None)]), "game_id"

@@ -161,3 +161,35 @@ def test_unknown_brand_comes_last_without_a_name(spark):
     shown = dashboard.brand_metrics(brands, ["Nintendo", "Sony"]).collect()
     assert [row.brand for row in shown] == ["Nintendo", "Sony", None]
     assert len(dashboard.brand_metrics(brands, ["Nintendo"], tiles=2).collect()) == 2
+
+
+def test_marts_of_unique_games_from_one_pass(spark):
+    rng = random.Random(8)
+    names = [row[0] for row in CONSOLE_MAPPING] + ["unknown", None]
+    rows = [
+        (str(n), rng.choice([None, 10, 79, 80, 95]), rng.choice([None, [], rng.choices(names, k=rng.randint(1, 9))]))
+        for n in range(400)
+    ]
+    table, mapping = silver(spark, rows), console_mapping(spark)
+    listed = games_by_console(table, mapping)
+    sums = marts.sums_of_unique_games(table, mapping)
+    for found, expected in (
+        (marts.brand_mart_of(sums), marts.brand_mart(listed)),
+        (marts.console_mart_of(sums), marts.console_mart(listed)),
+    ):
+        assert found.dtypes == expected.dtypes
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    low = marts.sums_of_unique_games(table, mapping, threshold=10)
+    assert sorted(map(str, marts.brand_mart_of(low).collect())) == sorted(map(str, marts.brand_mart(listed, 10).collect()))
+
+
+def test_both_marts_scan_explode_and_shuffle_once(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    silver(spark, [("a", 90, ["Wii", "PSP"])]).write.parquet(path)
+    mapping = str(tmp_path / "mapping")
+    console_mapping(spark).coalesce(1).write.parquet(mapping)
+    sums = marts.sums_of_unique_games(spark.read.parquet(path), spark.read.parquet(mapping))
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    games_side = text.split("BroadcastExchange")[0]
+    assert games_side.count("Exchange hashpartitioning(brand") == 1 and games_side.count("Exchange") == 1
+    assert text.count("Generate posexplode") == 1 and games_side.count("FileScan") == 1

@@ -304,3 +304,17 @@ def test_job(spark, tmp_path, layout):
     )
     (mart,) = dashboard.load_mart(spark, layout, refresh.BRAND_MART).toPandas().values.tolist()
     assert mart == ["Sega", 70.0, 1, 1, 100.0]
+
+
+def test_jobs_that_update_and_audit(spark, tmp_path, layout, capsys):
+    land(tmp_path / "raw", "2022-02", good_games())
+    options = ["--root", layout.root, "--first", "2022-01", "--last", "2022-03"]
+    job.main(["backfill", *options], spark)
+    for told in ("changed: 2022-02", "changed: nothing"):
+        job.main(["update", *options], spark)
+        assert told in capsys.readouterr().out
+    job.main(["audit", *options], spark)
+    assert "2022" not in capsys.readouterr().out
+    land(tmp_path / "raw", "2022-02", [game(9)])
+    job.main(["audit", *options], spark)
+    assert "2022-02: 1 games in raw, 2 in bronze" in capsys.readouterr().out
